@@ -32,15 +32,30 @@ def latest_per_group(df: DataFrame, keys: Cols, order: Cols) -> DataFrame:
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
 
+def daily_counts(df: DataFrame, entity: str, day: str, value: str, ts: str) -> DataFrame:
+    """One row per (entity, day, value) with its row count ``__n`` and latest
+    timestamp ``__last`` (null values form their own group). A partial
+    aggregation, so a hot entity is reduced on the map side; the result feeds
+    both the frequency tie-break and the as-of look-back."""
+    return df.groupBy(entity, day, value).agg(F.count(F.lit(1)).alias("__n"),
+                                              F.max(ts).alias("__last"))
+
+
 def frequency_tiebreak(df: DataFrame, entity: str, day: str, value: str,
-                       freq_col: str = "FREQ") -> DataFrame:
+                       count_col: str | None = None, freq_col: str = "FREQ") -> DataFrame:
     """One ``value`` per (entity, day): the one the entity gave most often over
     its whole history; equal counts go to the smallest value. Null values never
-    take part (an equality join on the value would drop them)."""
-    daily = (df.filter(F.col(value).isNotNull())
-             .groupBy(entity, day, value).agg(F.count(F.lit(1)).alias("__n")))
+    take part (an equality join on the value would drop them).
+
+    ``df`` holds raw rows, or per-(entity, day, value) counts in ``count_col``.
+    After that aggregation every window group is bounded by the calendar (one
+    row per day), however skewed the raw rows are."""
+    daily = df.filter(F.col(value).isNotNull())
+    if count_col is None:
+        daily = daily.groupBy(entity, day, value).agg(F.count(F.lit(1)).alias("__n"))
+        count_col = "__n"
     per_value = Window.partitionBy(entity, value)
-    scored = daily.withColumn(freq_col, F.sum("__n").over(per_value)).drop("__n")
+    scored = daily.withColumn(freq_col, F.sum(count_col).over(per_value))
     best = latest_per_group(scored, [entity, day], [F.desc(freq_col), F.asc(value)])
     return best.select(entity, day, value)
 

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.columns import (by_code, by_equality, by_keywords, first_match, norm,
                                   prefix_before, text_after)
-from ..operators.grouping import frequency_tiebreak, latest_per_group, number_in_group
+from ..operators.grouping import (daily_counts, frequency_tiebreak, latest_per_group,
+                                  number_in_group)
 from ..operators.joins import asof_within, sized_broadcast, unresolved, within_interval
 
 DAY_KEY = ["ACCOUNT", "CALL_DATE"]
@@ -109,10 +110,15 @@ def _answers(notes: DataFrame, questions: list[str]) -> DataFrame:
             .withColumn("TOPIC_DATE", F.to_date("RESPONSE_DATE")))
 
 
-def lm_topics(sources: dict[str, DataFrame]) -> DataFrame:
-    """One topic-form answer per account-day, most frequent answer wins."""
+def lm_daily(sources: dict[str, DataFrame]) -> DataFrame:
+    """Topic-form answers cut to (ACCOUNT, day, text) with count and latest time."""
     answers = _answers(sources["COACH_NOTES_WORKFLOW"], R.LM_TOPIC_QUESTIONS)
-    return frequency_tiebreak(answers, "ACCOUNT", "TOPIC_DATE", "RESPONSE_TEXT")
+    return daily_counts(answers, "ACCOUNT", "TOPIC_DATE", "RESPONSE_TEXT", "RESPONSE_DATE")
+
+
+def lm_topics(daily: DataFrame) -> DataFrame:
+    """One topic-form answer per account-day, most frequent answer wins."""
+    return frequency_tiebreak(daily, "ACCOUNT", "TOPIC_DATE", "RESPONSE_TEXT", count_col="__n")
 
 
 def dm_topics(sources: dict[str, DataFrame]) -> DataFrame:
@@ -176,13 +182,13 @@ def inferred_text_topics(sources: dict[str, DataFrame], no_tier1: DataFrame) ->
             .select("ACCOUNT", "TOPIC_DATE", "INFERRED_TOPIC"))
 
 
-def prior_topics(sources: dict[str, DataFrame], no_tier1: DataFrame,
-                 text_topics: DataFrame) -> DataFrame:
-    """P8 (tier 3): the latest topic-form answer within the 180 days before the
-    call-day, for fallback days that have no tier-1.5 topic."""
+def prior_topics(daily: DataFrame, no_tier1: DataFrame, text_topics: DataFrame) -> DataFrame:
+    """P8 (tier 3): the latest topic-form answer (null text included) within the
+    180 days before the call-day, for fallback days without a tier-1.5 topic.
+    ``daily`` is ``lm_daily``: its latest time per (day, text) yields the
+    same latest answer as the raw rows."""
     days = unresolved(_fallback_days(no_tier1), _as_call_day(text_topics), on=DAY_KEY)
-    answers = _answers(sources["COACH_NOTES_WORKFLOW"], R.LM_TOPIC_QUESTIONS)
-    return asof_within(days, answers, "ACCOUNT", "CALL_DATE", "TOPIC_DATE", "RESPONSE_DATE",
+    return asof_within(days, daily, "ACCOUNT", "CALL_DATE", "TOPIC_DATE", "__last",
                        "RESPONSE_TEXT", R.PRIOR_LOOKBACK_DAYS, "PRIOR_RESPONSE_TEXT")
 
 
@@ -311,11 +317,12 @@ def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "r
         ce = sources["COACHING_ENROLLMENT_MODEL"]
         call_enrollment = ce.filter(is_enrolled(ce))
     out["calls"] = calls_one_per_day(sources, call_enrollment, call_filter)
-    out["lm"] = lm_topics(sources)
+    daily = lm_daily(sources)
+    out["lm"] = lm_topics(daily)
     out["dm"] = dm_topics(sources)
     out["no_tier1"] = calls_without_direct_topic(out["calls"], out["lm"], out["dm"])
     out["text_topics"] = inferred_text_topics(sources, out["no_tier1"])
-    out["prior"] = prior_topics(sources, out["no_tier1"], out["text_topics"])
+    out["prior"] = prior_topics(daily, out["no_tier1"], out["text_topics"])
     bridge = None
     if variant == "refresh":
         bridge = out["bridge"] = guid_bridge(out["calls"], sources["ELIGMEMBER"])

@@ -173,6 +173,20 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: conform(df, SOURCE_SCHEMAS[name]) for name, df in tables.items()}
 
 
+def stage_sources(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
+    """Writes the bound sources once as parquet under ``root`` (a shared
+    folder) and returns them read back: every later scan is a plain parquet
+    scan with pushed filters and pruned columns, as with warehouse tables."""
+    for name, df in load_sources(spark, sf_dir).items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    return read_staged(spark, root)
+
+
+def read_staged(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {name: spark.read.schema(schema).parquet(f"{root}/{name}")
+            for name, schema in SOURCE_SCHEMAS.items()}
+
+
 def read_warehouse(spark: SparkSession, names: dict[str, str] | None = None
                    ) -> dict[str, DataFrame]:
     """Production form: the seven sources as catalog tables (name -> table)."""

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampNTZType,
-                               TimestampType)
+                               StructField, StructType, TimestampNTZType)
 
 
 def _schema(*fields: tuple[str, object]) -> StructType:
@@ -49,17 +48,17 @@ OUTPUT_SCHEMAS: dict[str, StructType] = {
     "COACHING_CALL_TOPICS": _schema(
         ("ACCOUNT", S), ("GUID", S), ("CURRENTGUID", S), ("CUSTOMERID", S),
         ("CALL_DATE", D), ("CALL_TYPE", S), ("RAW_TOPIC", S), ("REPORT_TOPIC", S),
-        ("TOPIC_SOURCE", S), ("PROGRAM_TYPE", S), ("REFRESH_DATE", TimestampType()),
+        ("TOPIC_SOURCE", S), ("PROGRAM_TYPE", S), ("REFRESH_DATE", TimestampNTZType()),
         ("REPORT_MONTH", S)),
     "COACHING_CALL_TOBACCO": _schema(
         ("ACCOUNT", S), ("GUID", S), ("CURRENTGUID", S), ("TOBACCO_DISCUSSED", S),
-        ("REFRESH_DATE", TimestampType()), ("REPORT_MONTH", S)),
+        ("REFRESH_DATE", TimestampNTZType()), ("REPORT_MONTH", S)),
     "COACHING_CALL_GOALS": _schema(
         ("ACCOUNT", S), ("GOAL_TYPE", S), ("GOAL_DOMAIN", S), ("GOAL_STATUS", S),
         ("GOAL_DESCRIPTION", S), ("RAW_ACTION_NAME", S), ("MEMBERACTION_ID", L),
         ("ACTIONTYPE_ID", L), ("ACTIONSTATUS_ID", L), ("FOCUSAREA_ID", L),
         ("GOAL_SET_DATE", D), ("GOAL_CLOSE_DATE", D), ("CURRENTGUID", S),
-        ("GUID", S), ("GOAL_NUMBER", L), ("REFRESH_DATE", TimestampType()),
+        ("GUID", S), ("GOAL_NUMBER", L), ("REFRESH_DATE", TimestampNTZType()),
         ("REPORT_MONTH", S)),
 }
 
