@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -305,23 +306,40 @@ def active_enrollment(sources: dict[str, DataFrame], as_of: dt.date | str) -> Da
 
 
 def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "refresh",
-          call_filter: Column | None = None) -> dict[str, DataFrame]:
-    """All steps of one variant, as lazy DataFrames keyed by step name."""
+          call_filter: Column | None = None, reuse: bool = True) -> dict[str, DataFrame]:
+    """All steps of one variant, as lazy DataFrames keyed by step name.
+
+    Steps read by several later steps (call-days, daily answers, tier
+    tables) are persisted (memory, spilling to disk) when ``reuse`` is set:
+    otherwise each branch of the plan would recompute them, because column
+    pruning makes the branches' sub-plans differ and defeats exchange reuse.
+    All of them hold at most one row per account-day (or per account-day-
+    answer), a small fraction of the raw calls and notes. Cached blocks lost
+    with an executor are recomputed from lineage. ``release(out)`` frees them.
+    """
     if variant not in ("refresh", "adhoc"):
         raise ValueError(f"unknown variant {variant!r}")
     out: dict[str, DataFrame] = {}
+    cached: list[DataFrame] = []
+
+    def shared(df: DataFrame) -> DataFrame:
+        if not reuse:
+            return df
+        cached.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
     if variant == "refresh":
-        out["enrolled"] = enrolled_population(sources)
+        out["enrolled"] = shared(enrolled_population(sources))
         call_enrollment = out["enrolled"]
     else:
         ce = sources["COACHING_ENROLLMENT_MODEL"]
         call_enrollment = ce.filter(is_enrolled(ce))
-    out["calls"] = calls_one_per_day(sources, call_enrollment, call_filter)
-    daily = lm_daily(sources)
-    out["lm"] = lm_topics(daily)
-    out["dm"] = dm_topics(sources)
-    out["no_tier1"] = calls_without_direct_topic(out["calls"], out["lm"], out["dm"])
-    out["text_topics"] = inferred_text_topics(sources, out["no_tier1"])
+    out["calls"] = shared(calls_one_per_day(sources, call_enrollment, call_filter))
+    daily = shared(lm_daily(sources))
+    out["lm"] = shared(lm_topics(daily))
+    out["dm"] = shared(dm_topics(sources))
+    out["no_tier1"] = shared(calls_without_direct_topic(out["calls"], out["lm"], out["dm"]))
+    out["text_topics"] = shared(inferred_text_topics(sources, out["no_tier1"]))
     out["prior"] = prior_topics(daily, out["no_tier1"], out["text_topics"])
     bridge = None
     if variant == "refresh":
@@ -332,4 +350,11 @@ def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "r
     out["goals"] = goals_classified(sources)
     goal_rows = out["enrolled"] if variant == "refresh" else active_enrollment(sources, as_of)
     out["goals_numbered"] = goals_numbered(out["goals"], goal_rows)
+    out["_cached"] = cached  # type: ignore[assignment]
     return out
+
+
+def release(out: dict[str, DataFrame]) -> None:
+    """Unpersist the intermediates a ``build`` cached."""
+    for df in out.get("_cached", []):  # type: ignore[union-attr]
+        df.unpersist()

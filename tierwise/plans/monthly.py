@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from ..sources import snapshots as S
 from . import periods as P
 from . import reports as RP
-from .cascade import TOPIC_COLUMNS, build, tobacco_flag
+from .cascade import TOPIC_COLUMNS, build, release, tobacco_flag
 
 
 def run_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
@@ -33,6 +33,7 @@ def run_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     topics = S.read_snapshots(spark, root, S.TOPICS, month)
     S.write_month(tobacco_flag(topics.select(*TOPIC_COLUMNS)), root, S.TOBACCO, as_of, refreshed)
     S.write_month(out["goals_numbered"], root, S.GOALS, as_of, refreshed)
+    release(out)
     return {
         "topics": topics,
         "tobacco": S.read_snapshots(spark, root, S.TOBACCO, month),
@@ -45,8 +46,10 @@ def run_adhoc(sources: dict[str, DataFrame], as_of: dt.date,
     """The workbook build (ad-hoc variant), materialized by reliable checkpoints."""
     out = build(sources, as_of, "adhoc", call_filter)
     topics = out["topics"].checkpoint()
-    return {"topics": topics, "tobacco": tobacco_flag(topics).checkpoint(),
-            "goals_numbered": out["goals_numbered"].checkpoint()}
+    res = {"topics": topics, "tobacco": tobacco_flag(topics).checkpoint(),
+           "goals_numbered": out["goals_numbered"].checkpoint()}
+    release(out)
+    return res
 
 
 def workbook(out: dict[str, DataFrame]) -> dict[str, DataFrame]:
