@@ -78,3 +78,14 @@ def test_within_interval_semi(spark):
                                   "ACCOUNT string, S date, E date")
     got = within_interval(left, right, "ACCOUNT", "D", "S", "E").collect()
     assert [tuple(r) for r in got] == [("a", BASE)]
+
+
+def test_skew_safe_numbering_matches_window(spark):
+    rnd = random.Random(11)
+    data = [("hot" if rnd.random() < 0.6 else f"k{rnd.randrange(20)}", rnd.randrange(50), i)
+            for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, d int, id long")
+    order = [F.asc("d"), F.asc("id")]
+    plain = {r["id"]: r["N"] for r in number_in_group(df, ["k"], order, "N", skew_safe=False).collect()}
+    safe = {r["id"]: r["N"] for r in number_in_group(df, ["k"], order, "N", slices=7).collect()}
+    assert safe == plain and len(safe) == 3000

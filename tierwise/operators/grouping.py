@@ -60,10 +60,35 @@ def frequency_tiebreak(df: DataFrame, entity: str, day: str, value: str,
     return best.select(entity, day, value)
 
 
-def number_in_group(df: DataFrame, keys: Cols, order: Cols, name: str) -> DataFrame:
-    """``row_number()`` of each row inside its ``keys`` group under ``order``."""
-    w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
-    return df.withColumn(name, F.row_number().over(w).cast("long"))
+def number_in_group(df: DataFrame, keys: Cols, order: Cols, name: str,
+                    skew_safe: bool = True, slices: int | None = None) -> DataFrame:
+    """``row_number()`` of each row inside its ``keys`` group under ``order``
+    (``order`` must be a total order for a deterministic result).
+
+    ``skew_safe=False`` is the plain window: one task per group, fine while
+    groups are small. ``skew_safe=True`` never holds a group in one task:
+    rows are range-partitioned on (keys, order) into ``slices`` contiguous
+    slices of the total order, numbered inside each (slice, group), and
+    shifted by the row counts of the same group in earlier slices (a tiny
+    table: slices x groups). A hot group is simply cut across slices."""
+    if not skew_safe:
+        w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    key_names = [k for k in keys]
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
+              .withColumn("__slice", F.spark_partition_id()))
+    local = ranged.withColumn(
+        "__local", F.row_number().over(Window.partitionBy("__slice", *key_names)
+                                       .orderBy(*_cols(order))))
+    earlier = Window.partitionBy(*key_names).orderBy("__slice").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("__slice", *key_names).agg(F.count(F.lit(1)).alias("__n"))
+               .withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+               .drop("__n"))
+    return (local.join(offsets, ["__slice", *key_names])
+            .withColumn(name, (F.col("__local") + F.col("__offset")).cast("long"))
+            .drop("__slice", "__local", "__offset"))
 
 
 def distinct_members(df: DataFrame, group: Cols, member: str,
