@@ -45,3 +45,21 @@ def test_empty_result_clears_only_its_month(spark):
     S.write_month(topics(spark, 0), root, S.TOPICS, JULY)
     df = S.read_snapshots(spark, root, S.TOPICS, month=None)
     assert sorted((r[0], r[1]) for r in df.groupBy("REPORT_MONTH").count().collect()) == [("199806", 2)]
+
+
+def test_write_report_sections(spark):
+    out = tempfile.mkdtemp(prefix="tw-report-")
+    sections = {"a": topics(spark, 2), "b": topics(spark, 1).select("ACCOUNT", "GUID")}
+    S.write_report(sections, out)
+    S.write_report(sections, out + "/csv", fmt="csv")
+    assert spark.read.parquet(f"{out}/a").count() == 2
+    assert spark.read.option("header", "true").csv(f"{out}/csv/b").columns == ["ACCOUNT", "GUID"]
+
+
+def test_read_warehouse_conforms(spark):
+    from tierwise.sources.binding import read_warehouse
+    from tierwise.sources.schemas import SOURCE_SCHEMAS
+    for name, schema in SOURCE_SCHEMAS.items():
+        spark.createDataFrame([], schema).createOrReplaceTempView(f"wh_{name}")
+    got = read_warehouse(spark, {n: f"wh_{n}" for n in SOURCE_SCHEMAS})
+    assert {n: df.schema for n, df in got.items()} == SOURCE_SCHEMAS

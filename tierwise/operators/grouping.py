@@ -70,14 +70,20 @@ def number_in_group(df: DataFrame, keys: Cols, order: Cols, name: str,
     rows are range-partitioned on (keys, order) into ``slices`` contiguous
     slices of the total order, numbered inside each (slice, group), and
     shifted by the row counts of the same group in earlier slices (a tiny
-    table: slices x groups). A hot group is simply cut across slices."""
+    table: slices x groups). A hot group is simply cut across slices.
+
+    The sliced rows are written once with a reliable ``checkpoint()``: both
+    the numbering and the offsets must see the same slices, and every new
+    evaluation of a range repartition samples its own boundaries."""
     if not skew_safe:
         w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
         return df.withColumn(name, F.row_number().over(w).cast("long"))
+    from ..session import shared_dir  # the checkpoint below needs the shared folder
+    shared_dir(df.sparkSession)
     key_names = [k for k in keys]
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
-              .withColumn("__slice", F.spark_partition_id()))
+              .withColumn("__slice", F.spark_partition_id())).checkpoint()
     local = ranged.withColumn(
         "__local", F.row_number().over(Window.partitionBy("__slice", *key_names)
                                        .orderBy(*_cols(order))))

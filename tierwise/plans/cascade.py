@@ -19,6 +19,7 @@ partial aggregation before their first shuffle.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,7 @@ from ..functions.columns import (by_code, by_equality, by_keywords, first_match,
                                   prefix_before, text_after)
 from ..operators.grouping import (daily_counts, frequency_tiebreak, latest_per_group,
                                   number_in_group)
-from ..operators.joins import asof_within, sized_broadcast, unresolved, within_interval
+from ..operators.joins import asof_within, sized_broadcast, unresolved, within_interval  # noqa: F401
 
 DAY_KEY = ["ACCOUNT", "CALL_DATE"]
 CALL_DAY_COLUMNS = ["ACCOUNT", "GUID", "CUSTOMERID", "CALL_TYPE", "CALL_DATE"]
@@ -287,16 +288,21 @@ def goals_classified(sources: dict[str, DataFrame]) -> DataFrame:
 
 def goals_numbered(goals: DataFrame, enrollment_rows: DataFrame) -> DataFrame:
     """Goals of accounts with an enrollment row, bridged to the latest
-    row's members and numbered per account by set date, then name."""
+    row's members and numbered per account by set date, then name.
+
+    Numbering runs before the bridge join: the join keeps all or none of an
+    account's goals, so the numbers are the same, and the numbering then
+    works on the plain goal scan."""
     latest = latest_per_group(
         enrollment_rows.select("ACCOUNT", "CURRENTGUID", "GUID", "BIENDDATE"), ["ACCOUNT"],
         [F.desc_nulls_last("BIENDDATE"), F.asc_nulls_last("GUID"),
          F.asc_nulls_last("CURRENTGUID")]).select("ACCOUNT", "CURRENTGUID", "GUID")
-    joined = goals.join(latest, "ACCOUNT", "inner")
-    return number_in_group(
-        joined, ["ACCOUNT"],
+    numbered = number_in_group(
+        goals, ["ACCOUNT"],
         [F.asc_nulls_last("GOAL_SET_DATE"), F.asc_nulls_last("RAW_ACTION_NAME"),
          F.asc_nulls_last("MEMBERACTION_ID")], "GOAL_NUMBER")
+    return numbered.join(latest, "ACCOUNT", "inner").select(
+        *GOAL_COLUMNS, "CURRENTGUID", "GUID", "GOAL_NUMBER")
 
 
 def active_enrollment(sources: dict[str, DataFrame], as_of: dt.date | str) -> DataFrame:
@@ -305,6 +311,27 @@ def active_enrollment(sources: dict[str, DataFrame], as_of: dt.date | str) -> Da
     return ce.filter(F.col("BIENDDATE") >= F.lit(str(as_of)).cast("date"))
 
 
+class Steps(dict):
+    """Step name -> DataFrame. Entries registered with ``later`` are built on
+    first access (goal numbering materializes its slices, so it only runs
+    when asked for)."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self._later: dict[str, Callable[[], DataFrame]] = {}
+
+    def later(self, name: str, make: Callable[[], DataFrame]) -> None:
+        self._later[name] = make
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.keys() and name in self._later:
+            self[name] = self._later.pop(name)()
+        return super().__getitem__(name)
+
+    def __contains__(self, name: object) -> bool:
+        return super().__contains__(name) or name in self._later
+
+
 def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "refresh",
           call_filter: Column | None = None, reuse: bool = True) -> dict[str, DataFrame]:
     """All steps of one variant, as lazy DataFrames keyed by step name.
@@ -319,7 +346,7 @@ def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "r
     """
     if variant not in ("refresh", "adhoc"):
         raise ValueError(f"unknown variant {variant!r}")
-    out: dict[str, DataFrame] = {}
+    out = Steps()
     cached: list[DataFrame] = []
 
     def shared(df: DataFrame) -> DataFrame:
@@ -349,7 +376,7 @@ def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "r
     out["tobacco"] = tobacco_flag(out["topics"])
     out["goals"] = goals_classified(sources)
     goal_rows = out["enrolled"] if variant == "refresh" else active_enrollment(sources, as_of)
-    out["goals_numbered"] = goals_numbered(out["goals"], goal_rows)
+    out.later("goals_numbered", lambda: goals_numbered(out["goals"], goal_rows))
     out["_cached"] = cached  # type: ignore[assignment]
     return out
 

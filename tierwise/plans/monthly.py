@@ -13,7 +13,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ..sources import snapshots as S
 from . import periods as P
 from . import reports as RP
@@ -44,6 +46,7 @@ def run_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
 def run_adhoc(sources: dict[str, DataFrame], as_of: dt.date,
               call_filter: Column | None = None) -> dict[str, DataFrame]:
     """The workbook build (ad-hoc variant), materialized by reliable checkpoints."""
+    shared_dir(next(iter(sources.values())).sparkSession)
     out = build(sources, as_of, "adhoc", call_filter)
     topics = out["topics"].checkpoint()
     res = {"topics": topics, "tobacco": tobacco_flag(topics).checkpoint(),
@@ -52,10 +55,53 @@ def run_adhoc(sources: dict[str, DataFrame], as_of: dt.date,
     return res
 
 
+def _desc(col: str) -> Column:
+    return F.desc(col)
+
+
+def _period_rank() -> Column:
+    return RP.rank_by(F.col("PERIOD"), P.PERIOD_NAMES)
+
+
+# Display order of every report (O1-O5): the source job's ORDER BY, plus the
+# label as a final tie-break. Applied by ``present``; the comparisons and
+# checks are order-insensitive.
+ORDERS: dict[str, list] = {
+    "out_topics_summary": [lambda: _desc("CALLS"), "CALL_TOPIC"],
+    "out_tier_breakdown": [lambda: _desc("CALLS"), "TOPIC_SOURCE"],
+    "out_tobacco_summary": [lambda: RP.yes_no_order()],
+    "out_goal_type_domain": [lambda: RP.domain_order(), "GOAL_DOMAIN"],
+    "out_goal_domain_status": [lambda: RP.domain_order(), "GOAL_DOMAIN"],
+    "out_goal_number_status": ["GOAL_NUMBER"],
+    "out_goal_type_status": ["GOAL_TYPE"],
+    "dash_engagement_by_topic": [lambda: _desc("MEMBERS"), "WELLBEING_TOPIC"],
+    "dash_goal_status_by_topic": [lambda: _desc("COMPLETED"), "WELLBEING_TOPIC"],
+    "dash_goal_status_distribution": [lambda: RP.status_order()],
+    "dash_goal_progression": [lambda: RP.domain_order(), "GOAL_DOMAIN"],
+    "period_engagement": [_period_rank, lambda: _desc("MEMBERS"), "WELLBEING_TOPIC"],
+    "period_goal_distribution": [_period_rank, lambda: RP.status_order()],
+    "period_goal_progression": [_period_rank, lambda: RP.domain_order(), "GOAL_DOMAIN"],
+    "enrolled_members_by_period": [_period_rank],
+    "period_topics_classic": [lambda: _desc("CALLS"), "CALL_TOPIC"],
+    "period_goal_domain_status": [lambda: RP.domain_order(short=True), "GOAL_DOMAIN"],
+    "cmp_goal_status": [lambda: RP.status_order()],
+    "cmp_engagement": [lambda: _desc("MONTH"), "WELLBEING_TOPIC"],
+    "cmp_goal_progression": [lambda: RP.domain_order(), "GOAL_DOMAIN"],
+}
+
+
+def present(key: str, df: DataFrame) -> DataFrame:
+    """``df`` sorted in the report's display order (unchanged when it has none)."""
+    order = ORDERS.get(key)
+    if not order:
+        return df
+    return df.orderBy(*[o() if callable(o) else F.col(o) for o in order])
+
+
 def workbook(out: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The eight workbook sections (R1-R8) over an ad-hoc build."""
     t, tob, g = out["topics"], out["tobacco"], out["goals_numbered"]
-    return {
+    return _presented({
         "out_topics_summary": RP.topics_summary(t, "GUID", 2),
         "out_tier_breakdown": RP.tier_breakdown(t),
         "out_tobacco_summary": RP.tobacco_summary(t, tob),
@@ -64,19 +110,19 @@ def workbook(out: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "out_goal_number_status": RP.goal_number_status(g),
         "out_goal_type_status": RP.goal_type_status(g),
         "out_validation_counts": RP.validation_counts(t, tob, g),
-    }
+    })
 
 
 def dashboard(snap: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The five dashboard sections (R9-R13) over one month's snapshots."""
     t, tob, g = snap["topics"], snap["tobacco"], snap["goals_numbered"]
-    return {
+    return _presented({
         "dash_engagement_by_topic": RP.engagement_by_topic(t, g),
         "dash_goal_status_by_topic": RP.goal_status_by_topic(t, g),
         "dash_goal_status_distribution": RP.goal_status_distribution(g),
         "dash_goal_progression": RP.goal_progression(g),
         "dash_tobacco_focus": RP.tobacco_focus(tob, g),
-    }
+    })
 
 
 PERIOD_KEYS = {
@@ -96,4 +142,8 @@ def period_report(spark: SparkSession, sources: dict[str, DataFrame], snap: dict
     """The period report (R14-R28) for one customer over the snapshots."""
     start, end = P.default_range(as_of, start, end)
     res = P.build_periods(spark, sources, snap, customer, start, end)
-    return {key: res[name] for key, name in PERIOD_KEYS.items()}
+    return _presented({key: res[name] for key, name in PERIOD_KEYS.items()})
+
+
+def _presented(sections: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {key: present(key, df) for key, df in sections.items()}

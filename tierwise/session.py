@@ -49,5 +49,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="tierwise-shared-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
