@@ -63,3 +63,15 @@ def test_read_warehouse_conforms(spark):
         spark.createDataFrame([], schema).createOrReplaceTempView(f"wh_{name}")
     got = read_warehouse(spark, {n: f"wh_{n}" for n in SOURCE_SCHEMAS})
     assert {n: df.schema for n, df in got.items()} == SOURCE_SCHEMAS
+
+
+def test_refresh_date_ignores_session_time_zone(spark):
+    root = tempfile.mkdtemp(prefix="tw-snap-")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        S.write_month(topics(spark, 1), root, S.TOPICS, JULY)
+        got = S.read_snapshots(spark, root, S.TOPICS).first()["REFRESH_DATE"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == dt.datetime(1998, 7, 15)

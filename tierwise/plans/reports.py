@@ -54,18 +54,34 @@ def _is_tobacco(df: DataFrame) -> Column:
 def tobacco_summary(topics: DataFrame, tobacco: DataFrame) -> DataFrame:
     """Yes (tobacco call-days), No (all call-days of never-flagged GUIDs; a
     null GUID never qualifies) and Grand Total, each with shares of the
-    total. Yes + No need not add up to the total (kept as specified)."""
-    def block(df: DataFrame, label: str) -> DataFrame:
-        return df.agg(F.lit(label).alias("TOBACCO_DISCUSSED"),
-                      F.countDistinct("GUID").alias("MEMBERS"), _count().alias("CALLS"))
-
-    yes = block(topics.filter(_is_tobacco(topics)), "Yes")
-    no = block(not_in(topics, "GUID", tobacco, "GUID", drop_null_members=True), "No")
-    total = block(topics, "Grand Total")
-    totals = one_row_totals(topics, __m=F.countDistinct("GUID"), __c=_count())
-    return yes.unionByName(no).unionByName(total).crossJoin(totals).select(
-        "TOBACCO_DISCUSSED", "MEMBERS", pct(F.col("MEMBERS"), F.col("__m"), 2).alias("PCT_MEMBERS"),
-        "CALLS", pct(F.col("CALLS"), F.col("__c"), 2).alias("PCT_OF_CALLS"))
+    total. Yes + No need not add up to the total (kept as specified).
+
+    One pass: call-days are cut to one row per GUID (rows, tobacco rows),
+    marked with the flag set, then one global aggregate yields all three
+    lines; ``stack`` turns them into rows."""
+    per_guid = topics.groupBy("GUID").agg(
+        _count().alias("__rows"),
+        F.sum(F.when(_is_tobacco(topics), 1).otherwise(0)).alias("__yes"))
+    flagged = (tobacco.filter(F.col("GUID").isNotNull()).select("GUID").distinct()
+               .withColumn("__flagged", F.lit(True)))
+    m = per_guid.join(flagged, "GUID", "left")
+    known = F.col("GUID").isNotNull()
+    never = known & F.col("__flagged").isNull()
+    totals = m.agg(
+        F.count(F.when(known & (F.col("__yes") > 0), 1)).alias("yes_m"),
+        F.coalesce(F.sum("__yes"), F.lit(0)).alias("yes_c"),
+        F.count(F.when(never, 1)).alias("no_m"),
+        F.coalesce(F.sum(F.when(never, F.col("__rows"))), F.lit(0)).alias("no_c"),
+        F.count(F.when(known, 1)).alias("all_m"),
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("all_c"))
+    lines = F.array(*[F.struct(F.lit(label).alias("TOBACCO_DISCUSSED"),
+                               F.col(m_).cast("long").alias("MEMBERS"),
+                               F.col(c_).cast("long").alias("CALLS"))
+                      for label, m_, c_ in (("Yes", "yes_m", "yes_c"), ("No", "no_m", "no_c"),
+                                            ("Grand Total", "all_m", "all_c"))])
+    return totals.select(F.inline(lines), "all_m", "all_c").select(
+        "TOBACCO_DISCUSSED", "MEMBERS", pct(F.col("MEMBERS"), F.col("all_m"), 2).alias("PCT_MEMBERS"),
+        "CALLS", pct(F.col("CALLS"), F.col("all_c"), 2).alias("PCT_OF_CALLS"))
 
 
 def goal_type_domain(goals: DataFrame) -> DataFrame:
@@ -105,23 +121,25 @@ VALIDATION_SECTIONS = [
 def validation_counts(topics: DataFrame, tobacco: DataFrame, goals: DataFrame) -> DataFrame:
     """Rows and distinct members per tier section, tobacco and goals.
 
-    Topics are first cut to (source, GUID, rows); every section is a small
-    aggregate of that table."""
-    per_member = topics.groupBy("TOPIC_SOURCE", "GUID").agg(_count().alias("__n"))
-    parts = []
-    for label, test in VALIDATION_SECTIONS:
-        df = per_member if test is None else per_member.filter(test(F.col("TOPIC_SOURCE")))
-        parts.append(df.agg(F.lit(label).alias("SECTION"),
-                            F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("ROWS"),
-                            F.countDistinct("GUID").alias("MEMBERS")))
-    parts.append(tobacco.agg(F.lit("TOBACCO").alias("SECTION"), _count().alias("ROWS"),
-                             F.countDistinct("GUID").alias("MEMBERS")))
-    parts.append(goals.agg(F.lit("GOALS").alias("SECTION"), _count().alias("ROWS"),
-                           F.countDistinct("CURRENTGUID").alias("MEMBERS")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    One pass over the call-days: per GUID, the rows of each section; then
+    one global aggregate (rows = sum, members = GUIDs with rows > 0)."""
+    source = F.col("TOPIC_SOURCE")
+    per_guid = topics.groupBy("GUID").agg(*[
+        F.sum(F.when(F.lit(True) if test is None else test(source), 1).otherwise(0)).alias(f"__s{i}")
+        for i, (_, test) in enumerate(VALIDATION_SECTIONS)])
+    known = F.col("GUID").isNotNull()
+    sums = per_guid.agg(*[agg for i in range(len(VALIDATION_SECTIONS)) for agg in (
+        F.coalesce(F.sum(f"__s{i}"), F.lit(0)).cast("long").alias(f"r{i}"),
+        F.count(F.when(known & (F.col(f"__s{i}") > 0), 1)).alias(f"m{i}"))])
+    lines = F.array(*[F.struct(F.lit(label).alias("SECTION"), F.col(f"r{i}").alias("ROWS"),
+                               F.col(f"m{i}").alias("MEMBERS"))
+                      for i, (label, _) in enumerate(VALIDATION_SECTIONS)])
+    tiers = sums.select(F.inline(lines))
+    tob = tobacco.agg(F.lit("TOBACCO").alias("SECTION"), _count().alias("ROWS"),
+                      F.countDistinct("GUID").alias("MEMBERS"))
+    gl = goals.agg(F.lit("GOALS").alias("SECTION"), _count().alias("ROWS"),
+                   F.countDistinct("CURRENTGUID").alias("MEMBERS"))
+    return tiers.unionByName(tob).unionByName(gl)
 
 
 def _topic_member_pairs(topics: DataFrame, keys: list[str]) -> DataFrame:

@@ -28,7 +28,9 @@ def report_month(as_of: dt.date) -> str:
 def stamp(df: DataFrame, as_of: dt.date, refreshed: dt.datetime | None = None) -> DataFrame:
     """REFRESH_DATE (one value per run) and REPORT_MONTH columns."""
     ts = refreshed or dt.datetime.combine(as_of, dt.time())
-    return (df.withColumn("REFRESH_DATE", F.lit(ts).cast("timestamp_ntz"))
+    # From text: a Python datetime literal is an instant and would move with
+    # the session time zone; the column is a wall-clock time.
+    return (df.withColumn("REFRESH_DATE", F.lit(ts.isoformat(" ")).cast("timestamp_ntz"))
             .withColumn(MONTH_COL, F.date_format(F.lit(as_of), "yyyyMM")))
 
 
