@@ -156,3 +156,22 @@ def test_tobacco_summary_null_guid(spark):
     got = {r["TOBACCO_DISCUSSED"]: (r["MEMBERS"], r["CALLS"])
            for r in RP.tobacco_summary(t, tob).collect()}
     assert got == {"Yes": (1, 1), "No": (1, 1), "Grand Total": (2, 3)}
+
+
+def test_period_reports_for_customer_without_calls(spark):
+    from tierwise.plans import monthly as M
+    src = sources(spark, calls=[call("A1", DAY)], actions=[action("A1", 1, "Tobacco: quit")])
+    out = build(src, AS_OF, "refresh")
+    rep = M.period_report(spark, src, out, "NOBODY", AS_OF, D(1998, 6, 1), D(1998, 6, 30))
+    tob = rows(rep["period_tobacco"], "PERIOD", "METRIC", "VALUE")
+    assert len(tob) == 25
+    assert {v for _, m, v in tob if m != "Completion Rate"} == {"0"}
+    assert {v for _, m, v in tob if m == "Completion Rate"} == {None}
+    assert rep["period_engagement"].count() == 0
+    assert rows(rep["kpi_headlines"], "KPI", "MONTH", "L12M") == [
+        ("Goals Completed", 0, 0), ("Members Coached", 0, 0), ("Tobacco Participants", 0, 0)]
+    assert rows(rep["tobacco_goal_gap"], "PARTICIPANTS", "GAP", "GAP_PCT") == [(0, 0, 0.0)]
+    assert rows(rep["enrolled_members_by_period"], "PERIOD", "ENROLLED_MEMBERS") == [
+        (p, 0) for p in sorted(["month", "prior_month", "l12m", "r90", "p90"])]
+    assert rows(rep["cmp_tobacco"], "METRIC", "MONTH", "MOM_CHANGE")[0] == (
+        "Active Tobacco Participants", "0", "0")

@@ -356,16 +356,18 @@ def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "r
         return df
 
     if variant == "refresh":
-        out["enrolled"] = shared(enrolled_population(sources))
+        out["enrolled"] = enrolled_population(sources)
         call_enrollment = out["enrolled"]
     else:
         ce = sources["COACHING_ENROLLMENT_MODEL"]
         call_enrollment = ce.filter(is_enrolled(ce))
+    # Cached: the reductions that sit directly on a raw-table scan. Cheap
+    # derivations of them (LM top-1, unresolved days) are recomputed.
     out["calls"] = shared(calls_one_per_day(sources, call_enrollment, call_filter))
     daily = shared(lm_daily(sources))
-    out["lm"] = shared(lm_topics(daily))
+    out["lm"] = lm_topics(daily)
     out["dm"] = shared(dm_topics(sources))
-    out["no_tier1"] = shared(calls_without_direct_topic(out["calls"], out["lm"], out["dm"]))
+    out["no_tier1"] = calls_without_direct_topic(out["calls"], out["lm"], out["dm"])
     out["text_topics"] = shared(inferred_text_topics(sources, out["no_tier1"]))
     out["prior"] = prior_topics(daily, out["no_tier1"], out["text_topics"])
     bridge = None
