@@ -360,6 +360,15 @@ WHERE G.GOAL_STATUS IN ({in_list(R.REPORTED_STATUSES)}) AND {flt('T.', s, e)}
 GROUP BY G.GOAL_STATUS"""
 
 
+def _goal_dist_once(p, s, e) -> str:
+    return f"""SELECT '{p}' AS PERIOD, G.GOAL_STATUS, count(*) AS COUNT,
+  {pct('count(*)', 'sum(count(*)) OVER ()', 1)} AS GOAL_PCT
+FROM goals_num G
+WHERE G.GOAL_STATUS IN ({in_list(R.REPORTED_STATUSES)})
+  AND G.CURRENTGUID IN (SELECT T.CURRENTGUID FROM topics T WHERE {flt('T.', s, e)})
+GROUP BY G.GOAL_STATUS"""
+
+
 def _goal_prog(p, s, e) -> str:
     done = f"sum(CASE WHEN G.GOAL_STATUS = {q(R.COMPLETED)} THEN 1 ELSE 0 END)"
     return f"""SELECT '{p}' AS PERIOD, G.GOAL_DOMAIN, count(*) AS TOTAL_GOALS, CAST({done} AS BIGINT) AS COMPLETED,
@@ -595,6 +604,7 @@ UNION ALL SELECT {q(R.TOBACCO_METRICS[4])}, {pct_text(pct(done, 'count(*)', 1))}
         "period_engagement": with_ctes(PERIOD_CTES, "SELECT * FROM pe"),
         "period_goal_distribution": with_ctes(PERIOD_CTES, "SELECT * FROM pgd"),
         "period_goal_progression": with_ctes(PERIOD_CTES, "SELECT * FROM pgp"),
+        "period_goal_distribution_goals": with_ctes(REFRESH, _period_union(_goal_dist_once)),
         "period_tobacco": with_ctes(PERIOD_CTES, "SELECT * FROM ptob"),
         "enrolled_members_by_period": with_ctes(REFRESH, _period_union(_enrolled)),
         "period_topics_classic": refresh(f"""SELECT REPORT_TOPIC AS CALL_TOPIC, count(DISTINCT CURRENTGUID) AS MEMBERS,

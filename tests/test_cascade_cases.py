@@ -140,6 +140,8 @@ def test_goals_joined_to_calls_count_per_call(spark):
     pt = P.period_topics(out["topics"], pdf, "cust_a")
     dist = P.goal_distribution(pt, out["goals_numbered"]).filter(F.col("PERIOD") == "month")
     assert rows(dist, "GOAL_STATUS", "COUNT") == [("Completed", 6)]
+    once = P.goal_distribution(pt, out["goals_numbered"], mode="goals").filter(F.col("PERIOD") == "month")
+    assert rows(once, "GOAL_STATUS", "COUNT") == [("Completed", 2)]
     dash = RP.goal_status_distribution(out["goals_numbered"])
     assert rows(dash, "GOAL_STATUS", "COUNT") == [("Completed", 2)]
 

@@ -108,3 +108,29 @@ def asof_within(left: DataFrame, right: DataFrame, entity: str, left_day: str,
              .filter(F.col("__day").isNotNull() & F.col("__best").isNotNull()))
     return found.select(F.col(entity), F.col("__day").alias(left_day),
                         F.col("__best.v").alias(out_value))
+
+
+def joined_count(facts: DataFrame, events: DataFrame, member: str, by: Sequence[str],
+                 event_keys: Sequence[str] = (), mode: str = "joined",
+                 name: str = "COUNT") -> DataFrame:
+    """Counts of ``facts`` joined to ``events`` on ``member``, per
+    (``event_keys``, ``by``) - ``by`` are columns of ``facts``, ``event_keys``
+    of ``events`` (e.g. a period).
+
+    ``mode="joined"``: the row count of the many-to-many join (each fact once
+    per matching event), formed as sum(events of member x facts of member)
+    from two per-member aggregates, so no row pair is ever materialized.
+    ``mode="goals"``: each fact once when its member has any event (semi join).
+    Null members never match."""
+    ev = (events.filter(F.col(member).isNotNull())
+          .groupBy(*event_keys, member).agg(F.count(F.lit(1)).alias("__events")))
+    per_member = (facts.filter(F.col(member).isNotNull())
+                  .groupBy(member, *by).agg(F.count(F.lit(1)).alias("__facts")))
+    if mode == "joined":
+        weight = F.col("__events") * F.col("__facts")
+    elif mode == "goals":
+        weight = F.col("__facts")
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    return (ev.join(per_member, member).groupBy(*event_keys, *by)
+            .agg(F.sum(weight).cast("long").alias(name)))

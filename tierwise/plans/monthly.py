@@ -80,6 +80,7 @@ ORDERS: dict[str, list] = {
     "dash_goal_progression": [lambda: RP.domain_order(), "GOAL_DOMAIN"],
     "period_engagement": [_period_rank, lambda: _desc("MEMBERS"), "WELLBEING_TOPIC"],
     "period_goal_distribution": [_period_rank, lambda: RP.status_order()],
+    "period_goal_distribution_goals": [_period_rank, lambda: RP.status_order()],
     "period_goal_progression": [_period_rank, lambda: RP.domain_order(), "GOAL_DOMAIN"],
     "enrolled_members_by_period": [_period_rank],
     "period_topics_classic": [lambda: _desc("CALLS"), "CALL_TOPIC"],
@@ -127,6 +128,7 @@ def dashboard(snap: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 PERIOD_KEYS = {
     "period_engagement": "engagement", "period_goal_distribution": "goal_distribution",
+    "period_goal_distribution_goals": "goal_distribution_goals",
     "period_goal_progression": "goal_progression", "period_tobacco": "tobacco",
     "enrolled_members_by_period": "enrolled", "period_topics_classic": "topics_classic",
     "period_tobacco_classic": "tobacco_classic", "period_goal_domain_status": "goal_domain_status",

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.columns import (pct, percent_text, report_filter, signed_thousands,
                                  thirds)
-from ..operators.joins import in_periods, not_in, overlap_periods
+from ..operators.joins import in_periods, joined_count, not_in, overlap_periods
 from .cascade import fep_members, is_enrolled
 from .reports import engagement_by_topic, metric_rows, topics_summary
 
@@ -64,22 +64,13 @@ def period_topics(topics: DataFrame, periods_df: DataFrame, customer: str) -> Da
     return in_periods(scoped, "CALL_DATE", periods_df).drop("START_DATE", "END_DATE")
 
 
-def _member_calls(ptopics: DataFrame) -> DataFrame:
-    """Call-days per (PERIOD, member): the weight of each goal of that member."""
-    return (ptopics.filter(F.col("CURRENTGUID").isNotNull())
-            .groupBy("PERIOD", "CURRENTGUID").agg(F.count(F.lit(1)).alias("__calls")))
-
-
 def _weighted_goals(ptopics: DataFrame, goals: DataFrame, by: list[str],
-                    goal_filter: Column | None = None) -> DataFrame:
-    """(PERIOD, *by, __n) where __n is the row count of goals ⋈ call-days on
-    CURRENTGUID; both sides are pre-aggregated per member."""
+                    goal_filter: Column | None = None, mode: str = "joined") -> DataFrame:
+    """(PERIOD, *by, __n): goal rows counted against the period's call-days on
+    CURRENTGUID - once per call-day (``mode="joined"``, the source report's
+    join) or once per goal (``mode="goals"``)."""
     g = goals if goal_filter is None else goals.filter(goal_filter)
-    per_member = (g.filter(F.col("CURRENTGUID").isNotNull())
-                  .groupBy("CURRENTGUID", *by).agg(F.count(F.lit(1)).alias("__goals")))
-    return (_member_calls(ptopics).join(per_member, "CURRENTGUID")
-            .groupBy("PERIOD", *by)
-            .agg(F.sum(F.col("__calls") * F.col("__goals")).cast("long").alias("__n")))
+    return joined_count(g, ptopics, "CURRENTGUID", by, ["PERIOD"], mode, "__n")
 
 
 def engagement(ptopics: DataFrame, goals: DataFrame) -> DataFrame:
@@ -87,11 +78,12 @@ def engagement(ptopics: DataFrame, goals: DataFrame) -> DataFrame:
     return engagement_by_topic(ptopics, goals, ["PERIOD"], open_name="OPEN_GOALS")
 
 
-def goal_distribution(ptopics: DataFrame, goals: DataFrame) -> DataFrame:
-    """Per period, goal rows by reported status (joined to call-days)
-    and their share of the period's rows (1 dp)."""
+def goal_distribution(ptopics: DataFrame, goals: DataFrame, mode: str = "joined") -> DataFrame:
+    """Per period, goal rows by reported status (joined to call-days, or
+    each goal once with ``mode="goals"``) and their share of the period's rows
+    (1 dp)."""
     n = _weighted_goals(ptopics, goals, ["GOAL_STATUS"],
-                        F.col("GOAL_STATUS").isin(*R.REPORTED_STATUSES))
+                        F.col("GOAL_STATUS").isin(*R.REPORTED_STATUSES), mode)
     total = F.sum("__n").over(Window.partitionBy("PERIOD"))
     return n.select("PERIOD", "GOAL_STATUS", F.col("__n").alias("COUNT"),
                     pct(F.col("__n"), total, 1).alias("GOAL_PCT"))
@@ -328,6 +320,7 @@ def build_periods(spark: SparkSession, sources: dict[str, DataFrame], out: dict[
     res = {"periods": pdf, "ptopics": pt}
     res["engagement"] = engagement(pt, goals)
     res["goal_distribution"] = goal_distribution(pt, goals)
+    res["goal_distribution_goals"] = goal_distribution(pt, goals, mode="goals")
     res["goal_progression"] = goal_progression(pt, goals)
     res["tobacco_numbers"] = _tobacco_numbers(pt, out["tobacco"], goals, pdf)
     res["tobacco"] = tobacco(pt, out["tobacco"], goals, pdf)
