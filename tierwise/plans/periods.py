@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -126,7 +127,11 @@ def _tobacco_numbers(ptopics: DataFrame, tobacco: DataFrame, goals: DataFrame,
 def tobacco(ptopics: DataFrame, tobacco_df: DataFrame, goals: DataFrame,
             periods_df: DataFrame) -> DataFrame:
     """The five tobacco metrics per period, as text."""
-    nums = _tobacco_numbers(ptopics, tobacco_df, goals, periods_df)
+    return tobacco_from_numbers(_tobacco_numbers(ptopics, tobacco_df, goals, periods_df))
+
+
+def tobacco_from_numbers(nums: DataFrame) -> DataFrame:
+    """R17 text rows from the per-period numbers (P, A, C, I)."""
     return metric_rows(nums, [
         (R.TOBACCO_METRICS[0], F.col("P")), (R.TOBACCO_METRICS[1], F.col("A")),
         (R.TOBACCO_METRICS[2], F.col("C")), (R.TOBACCO_METRICS[3], F.col("I")),
@@ -313,17 +318,22 @@ def tobacco_goal_gap(tob_numbers: DataFrame) -> DataFrame:
 
 def build_periods(spark: SparkSession, sources: dict[str, DataFrame], out: dict[str, DataFrame],
                   customer: str, start: dt.date, end: dt.date) -> dict[str, DataFrame]:
-    """All period reports over one refresh build ``out``."""
+    """All period reports over one refresh build ``out``.
+
+    The customer's period call-days and the four base reports feed every
+    comparison, so they are persisted once per bundle (they are small: one
+    customer's call-days x at most five periods, and aggregates of them)."""
     pdf = periods(spark, start, end)
-    pt = period_topics(out["topics"], pdf, customer)
+    pt = period_topics(out["topics"], pdf, customer).persist(StorageLevel.MEMORY_AND_DISK)
     goals = out["goals_numbered"]
     res = {"periods": pdf, "ptopics": pt}
-    res["engagement"] = engagement(pt, goals)
-    res["goal_distribution"] = goal_distribution(pt, goals)
+    res["engagement"] = engagement(pt, goals).persist(StorageLevel.MEMORY_AND_DISK)
+    res["goal_distribution"] = goal_distribution(pt, goals).persist(StorageLevel.MEMORY_AND_DISK)
     res["goal_distribution_goals"] = goal_distribution(pt, goals, mode="goals")
-    res["goal_progression"] = goal_progression(pt, goals)
-    res["tobacco_numbers"] = _tobacco_numbers(pt, out["tobacco"], goals, pdf)
-    res["tobacco"] = tobacco(pt, out["tobacco"], goals, pdf)
+    res["goal_progression"] = goal_progression(pt, goals).persist(StorageLevel.MEMORY_AND_DISK)
+    res["tobacco_numbers"] = _tobacco_numbers(pt, out["tobacco"], goals, pdf).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    res["tobacco"] = tobacco_from_numbers(res["tobacco_numbers"])
     res["enrolled"] = enrolled_members(sources, pdf, customer)
     res["topics_classic"] = topics_classic(pt)
     res["tobacco_classic"] = tobacco_classic(pt, out["tobacco"])
