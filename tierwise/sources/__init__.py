@@ -1 +1 @@
-"""sources."""
+"""Sources and sinks: schemas, source loading, month snapshots, report export."""
