@@ -57,9 +57,9 @@ def test_question_filters_reach_the_scan(plans):
                      r"RESPONSE_TEXT:string>", text)
 
 
-def test_lookback_is_a_range_frame_not_a_band_join(plans):
+def test_lookback_is_a_running_window_not_a_band_join(plans):
     text = plans["prior_topic_180d"]
-    assert "RangeFrame" in text or "specifiedwindowframe(RangeFrame" in text
+    assert "specifiedwindowframe(RowFrame, unboundedpreceding$(), -1)" in text
     assert "BroadcastNestedLoopJoin" not in text
 
 

@@ -85,29 +85,33 @@ def asof_within(left: DataFrame, right: DataFrame, entity: str, left_day: str,
     lies in ``[left_day - days, left_day - 1]``. Rows without any candidate
     are dropped; a candidate with a null value is returned as null.
 
-    Instead of a band join (which pairs each call-day with up to ``days`` days
-    of answers), the right side is collapsed to one row per (entity, day) and
-    unioned with the left keys; a range frame over the day number then finds
-    the answer. Every window group is bounded by the calendar: at most two
-    rows per entity per day.
+    No band join (which pairs each call-day with every answer-day of its
+    window): the right side is collapsed to one row per (entity, day), unioned
+    with the left keys, and one running window per entity carries the last
+    answer seen - ordered by day with keys before same-day answers, so the
+    answer found is the latest one strictly before the key's day; it counts
+    when it is at most ``days`` old. O(1) per row whatever the answer density;
+    window groups hold at most two rows per entity per day.
     """
     one_per_day = latest_per_group(
         right.select(entity, right_day, right_ts, value),
         [entity, right_day], [F.desc(right_ts), F.asc_nulls_last(value)])
     answers = one_per_day.select(
-        F.col(entity), F.unix_date(F.col(right_day)).alias("__d"),
-        F.struct(F.col(right_ts).alias("ts"), F.col(value).alias("v")).alias("__c"),
+        F.col(entity), F.unix_date(F.col(right_day)).alias("__d"), F.lit(1).alias("__kind"),
+        F.struct(F.unix_date(F.col(right_day)).alias("d"), F.col(value).alias("v")).alias("__c"),
         F.lit(None).cast("date").alias("__day"))
     keys = left.select(entity, left_day).distinct().select(
-        F.col(entity), F.unix_date(F.col(left_day)).alias("__d"),
+        F.col(entity), F.unix_date(F.col(left_day)).alias("__d"), F.lit(0).alias("__kind"),
         F.lit(None).cast(answers.schema["__c"].dataType).alias("__c"),
         F.col(left_day).alias("__day"))
-    frame = Window.partitionBy(entity).orderBy("__d").rangeBetween(-days, -1)
+    before = Window.partitionBy(entity).orderBy("__d", "__kind").rowsBetween(
+        Window.unboundedPreceding, -1)
     found = (answers.unionByName(keys)
-             .withColumn("__best", F.max("__c").over(frame))
-             .filter(F.col("__day").isNotNull() & F.col("__best").isNotNull()))
+             .withColumn("__last", F.last("__c", ignorenulls=True).over(before))
+             .filter(F.col("__day").isNotNull() & F.col("__last").isNotNull()
+                     & (F.col("__last.d") >= F.col("__d") - days)))
     return found.select(F.col(entity), F.col("__day").alias(left_day),
-                        F.col("__best.v").alias(out_value))
+                        F.col("__last.v").alias(out_value))
 
 
 def joined_count(facts: DataFrame, events: DataFrame, member: str, by: Sequence[str],
