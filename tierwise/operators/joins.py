@@ -10,8 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .grouping import latest_per_group
-
 # Broadcast only below this many rows; the check itself reads at most this
 # many rows + 1, so it stays cheap whatever the table's size.
 BROADCAST_MAX_ROWS = 100_000
@@ -86,26 +84,30 @@ def asof_within(left: DataFrame, right: DataFrame, entity: str, left_day: str,
     are dropped; a candidate with a null value is returned as null.
 
     No band join (which pairs each call-day with every answer-day of its
-    window): the right side is collapsed to one row per (entity, day), unioned
-    with the left keys, and one running window per entity carries the last
-    answer seen - ordered by day with keys before same-day answers, so the
-    answer found is the latest one strictly before the key's day; it counts
-    when it is at most ``days`` old. O(1) per row whatever the answer density;
-    window groups hold at most two rows per entity per day.
+    window): the right rows are unioned with the left keys and one running
+    window per entity carries the last answer seen. Rows are ordered by day
+    (keys before same-day answers, so only earlier days count), then time,
+    then value descending with nulls first - the last row before a key is the
+    latest answer, ties to the smallest value, nulls last. It counts when it
+    is at most ``days`` old. One shuffle, O(1) per row whatever the answer
+    density; ``right`` should already be cut to (entity, day, value) rows
+    (as ``daily_counts`` does), which bounds every window group by the
+    calendar.
     """
-    one_per_day = latest_per_group(
-        right.select(entity, right_day, right_ts, value),
-        [entity, right_day], [F.desc(right_ts), F.asc_nulls_last(value)])
-    answers = one_per_day.select(
+    answers = right.select(
         F.col(entity), F.unix_date(F.col(right_day)).alias("__d"), F.lit(1).alias("__kind"),
+        F.col(right_ts).alias("__ts"), F.col(value).alias("__v"),
         F.struct(F.unix_date(F.col(right_day)).alias("d"), F.col(value).alias("v")).alias("__c"),
         F.lit(None).cast("date").alias("__day"))
     keys = left.select(entity, left_day).distinct().select(
         F.col(entity), F.unix_date(F.col(left_day)).alias("__d"), F.lit(0).alias("__kind"),
+        F.lit(None).cast(answers.schema["__ts"].dataType).alias("__ts"),
+        F.lit(None).cast(answers.schema["__v"].dataType).alias("__v"),
         F.lit(None).cast(answers.schema["__c"].dataType).alias("__c"),
         F.col(left_day).alias("__day"))
-    before = Window.partitionBy(entity).orderBy("__d", "__kind").rowsBetween(
-        Window.unboundedPreceding, -1)
+    before = (Window.partitionBy(entity)
+              .orderBy("__d", "__kind", "__ts", F.desc_nulls_first("__v"))
+              .rowsBetween(Window.unboundedPreceding, -1))
     found = (answers.unionByName(keys)
              .withColumn("__last", F.last("__c", ignorenulls=True).over(before))
              .filter(F.col("__day").isNotNull() & F.col("__last").isNotNull()
