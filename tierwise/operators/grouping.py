@@ -48,12 +48,15 @@ def frequency_tiebreak(df: DataFrame, entity: str, day: str, value: str,
     take part (an equality join on the value would drop them).
 
     ``df`` holds raw rows, or per-(entity, day, value) counts in ``count_col``.
-    After that aggregation every window group is bounded by the calendar (one
-    row per day), however skewed the raw rows are."""
+    After that aggregation an entity holds at most days x values rows, however
+    skewed the raw rows are, so the reduced rows are hash-partitioned by the
+    entity once: both windows - (entity, value) and (entity, day) - then run
+    on that partitioning without another shuffle."""
     daily = df.filter(F.col(value).isNotNull())
     if count_col is None:
         daily = daily.groupBy(entity, day, value).agg(F.count(F.lit(1)).alias("__n"))
         count_col = "__n"
+    daily = daily.repartition(entity)
     per_value = Window.partitionBy(entity, value)
     scored = daily.withColumn(freq_col, F.sum(count_col).over(per_value))
     best = latest_per_group(scored, [entity, day], [F.desc(freq_col), F.asc(value)])
