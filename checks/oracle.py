@@ -476,7 +476,13 @@ FROM (SELECT k.METRIC, {v('l12m')} AS L12M, {v('month')} AS MONTH, {v('prior_mon
       FROM (VALUES {', '.join(f'({q(m)})' for m in R.TOBACCO_METRICS)}) k(METRIC)) z"""
 
 
+def _distinct_members(p, s, e) -> str:
+    return (f"SELECT 'Distinct Members Coached' AS KPI, '{p}' AS PERIOD, "
+            f"count(DISTINCT T.CURRENTGUID) AS v FROM topics T WHERE {flt('T.', s, e)}")
+
+
 KPI_CTES = PERIOD_CTES + [("kv", f"""SELECT 'Members Coached' AS KPI, PERIOD, CAST(sum(MEMBERS) AS BIGINT) AS v FROM pe GROUP BY PERIOD
+UNION ALL {_period_union(_distinct_members)}
 UNION ALL SELECT 'Goals Completed', PERIOD, CAST(sum(COUNT) AS BIGINT) FROM pgd WHERE GOAL_STATUS = {q(R.COMPLETED)} GROUP BY PERIOD
 UNION ALL SELECT 'Tobacco Participants', PERIOD, CAST(VALUE AS BIGINT) FROM ptob WHERE METRIC = {q(R.TOBACCO_METRICS[0])}""")]
 
@@ -491,7 +497,8 @@ FROM (SELECT KPI, L12M, MONTH, PRIOR,
       FROM (SELECT k.KPI, CAST({g('l12m')} AS BIGINT) AS L12M, CAST({g('month')} AS BIGINT) AS MONTH,
                    CAST({g('prior_month')} AS BIGINT) AS PRIOR, CAST({g('r90')} AS BIGINT) AS R90,
                    CAST({g('p90')} AS BIGINT) AS P90
-            FROM (VALUES ('Members Coached'), ('Goals Completed'), ('Tobacco Participants')) k(KPI)
+            FROM (VALUES ('Members Coached'), ('Distinct Members Coached'), ('Goals Completed'),
+                         ('Tobacco Participants')) k(KPI)
             LEFT JOIN kv ON kv.KPI = k.KPI GROUP BY k.KPI) a) b"""
 
 

@@ -171,7 +171,8 @@ def test_period_reports_for_customer_without_calls(spark):
     assert {v for _, m, v in tob if m == "Completion Rate"} == {None}
     assert rep["period_engagement"].count() == 0
     assert rows(rep["kpi_headlines"], "KPI", "MONTH", "L12M") == [
-        ("Goals Completed", 0, 0), ("Members Coached", 0, 0), ("Tobacco Participants", 0, 0)]
+        ("Distinct Members Coached", 0, 0), ("Goals Completed", 0, 0), ("Members Coached", 0, 0),
+        ("Tobacco Participants", 0, 0)]
     assert rows(rep["tobacco_goal_gap"], "PARTICIPANTS", "GAP", "GAP_PCT") == [(0, 0, 0.0)]
     assert rows(rep["enrolled_members_by_period"], "PERIOD", "ENROLLED_MEMBERS") == [
         (p, 0) for p in sorted(["month", "prior_month", "l12m", "r90", "p90"])]

@@ -281,22 +281,29 @@ def compare_tobacco(tob: DataFrame) -> DataFrame:
         F.when(is_rate, dash).otherwise(change_text).alias("DELTA_90D"))
 
 
-def kpi_headlines(eng: DataFrame, dist: DataFrame, tob: DataFrame) -> DataFrame:
+KPI_LABELS = ["Members Coached", "Distinct Members Coached", "Goals Completed",
+              "Tobacco Participants"]
+
+
+def kpi_headlines(eng: DataFrame, dist: DataFrame, tob: DataFrame,
+                  ptopics: DataFrame) -> DataFrame:
     """Headline KPIs per period. 'Members Coached' sums the per-topic
     member counts (a member in three topics counts three times), as the
-    source report does; tobacco's 90-day figures are the month's values."""
+    source report does; 'Distinct Members Coached' counts each member once;
+    tobacco's 90-day figures are the month's values."""
     members = eng.groupBy("PERIOD").agg(F.sum("MEMBERS").alias("__v")) \
         .withColumn("KPI", F.lit("Members Coached"))
+    distinct = ptopics.groupBy("PERIOD").agg(F.countDistinct("CURRENTGUID").alias("__v")) \
+        .withColumn("KPI", F.lit("Distinct Members Coached"))
     completed = (dist.filter(F.col("GOAL_STATUS") == R.COMPLETED)
                  .groupBy("PERIOD").agg(F.sum("COUNT").alias("__v"))
                  .withColumn("KPI", F.lit("Goals Completed")))
     participants = (tob.filter(F.col("METRIC") == R.TOBACCO_METRICS[0])
                     .select("PERIOD", F.col("VALUE").try_cast("long").alias("__v"))
                     .withColumn("KPI", F.lit("Tobacco Participants")))
-    allv = members.unionByName(completed).unionByName(participants)
+    allv = members.unionByName(distinct).unionByName(completed).unionByName(participants)
     spark = eng.sparkSession
-    labels = spark.createDataFrame([("Members Coached",), ("Goals Completed",),
-                                    ("Tobacco Participants",)], "KPI string")
+    labels = spark.createDataFrame([(k,) for k in KPI_LABELS], "KPI string")
     wide = F.broadcast(labels).join(by_period(allv, "KPI", "__v"), "KPI", "left")
     c = {p: F.coalesce(F.col(p), F.lit(0)).cast("long") for p in PERIOD_NAMES}
     is_tob = F.col("KPI") == "Tobacco Participants"
@@ -342,6 +349,7 @@ def build_periods(spark: SparkSession, sources: dict[str, DataFrame], out: dict[
     res["cmp_engagement"] = compare_engagement(res["engagement"])
     res["cmp_goal_progression"] = compare_goal_progression(res["goal_progression"])
     res["cmp_tobacco"] = compare_tobacco(res["tobacco"])
-    res["kpi_headlines"] = kpi_headlines(res["engagement"], res["goal_distribution"], res["tobacco"])
+    res["kpi_headlines"] = kpi_headlines(res["engagement"], res["goal_distribution"], res["tobacco"],
+                                         pt)
     res["tobacco_goal_gap"] = tobacco_goal_gap(res["tobacco_numbers"])
     return res
