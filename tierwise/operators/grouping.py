@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,18 +76,20 @@ def number_in_group(df: DataFrame, keys: Cols, order: Cols, name: str,
     shifted by the row counts of the same group in earlier slices (a tiny
     table: slices x groups). A hot group is simply cut across slices.
 
-    The sliced rows are written once with a reliable ``checkpoint()``: both
-    the numbering and the offsets must see the same slices, and every new
-    evaluation of a range repartition samples its own boundaries."""
+    Both the numbering and the offsets must see the same slices, and every
+    new *plan* of a range repartition samples its own boundaries, so the
+    sliced rows are persisted (memory, spilling to disk) and both branches
+    read that one cached plan. Lost blocks are recomputed through the same
+    physical plan, whose range partitioner is fixed, so the slices stay the
+    same after an executor loss."""
     if not skew_safe:
         w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
         return df.withColumn(name, F.row_number().over(w).cast("long"))
-    from ..session import shared_dir  # the checkpoint below needs the shared folder
-    shared_dir(df.sparkSession)
     key_names = [k for k in keys]
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
-              .withColumn("__slice", F.spark_partition_id())).checkpoint()
+              .withColumn("__slice", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
     local = ranged.withColumn(
         "__local", F.row_number().over(Window.partitionBy("__slice", *key_names)
                                        .orderBy(*_cols(order))))
