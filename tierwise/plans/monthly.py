@@ -4,13 +4,14 @@ ad-hoc workbook build, and the report bundles that read their results.
 Reports never re-run the cascade: the refresh writes the three snapshot
 tables once and the dashboard / period reports read them back (with
 partition pruning on the month), as the source job's reports read its
-persistent tables. The ad-hoc build is cut from its lineage with a reliable
-``checkpoint()`` into the cluster's shared checkpoint folder.
+persistent tables. The ad-hoc build is written once as session tables in
+the cluster's shared folder and read back.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,13 +45,17 @@ def run_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
 
 
 def run_adhoc(sources: dict[str, DataFrame], as_of: dt.date,
-              call_filter: Column | None = None) -> dict[str, DataFrame]:
-    """The workbook build (ad-hoc variant), materialized by reliable checkpoints."""
-    shared_dir(next(iter(sources.values())).sparkSession)
+              call_filter: Column | None = None, root: str | None = None) -> dict[str, DataFrame]:
+    """The workbook build (ad-hoc variant), written once as session tables
+    under ``root`` (default: a fresh folder in the shared checkpoint folder)
+    and read back, so the eight sections never re-run the cascade."""
+    spark = next(iter(sources.values())).sparkSession
+    root = root or f"{shared_dir(spark)}/tierwise-adhoc/{uuid.uuid4().hex}"
     out = build(sources, as_of, "adhoc", call_filter)
-    topics = out["topics"].checkpoint()
-    res = {"topics": topics, "tobacco": tobacco_flag(topics).checkpoint(),
-           "goals_numbered": out["goals_numbered"].checkpoint()}
+    topics = S.materialize(out["topics"], f"{root}/topics")
+    res = {"topics": topics,
+           "tobacco": S.materialize(tobacco_flag(topics), f"{root}/tobacco"),
+           "goals_numbered": S.materialize(out["goals_numbered"], f"{root}/goals")}
     release(out)
     return res
 

@@ -72,6 +72,14 @@ def read_snapshots(spark: SparkSession, root: str, table: str,
     return df
 
 
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Writes ``df`` once as parquet under ``path`` (shared storage) and returns
+    it read back: cuts the lineage with a single computation (an eager
+    reliable ``checkpoint()`` of an uncached plan computes it twice)."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_report(sections: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> None:
     """One named result set per report section."""
     for name, df in sections.items():
