@@ -89,3 +89,51 @@ def test_skew_safe_numbering_matches_window(spark):
     plain = {r["id"]: r["N"] for r in number_in_group(df, ["k"], order, "N", skew_safe=False).collect()}
     safe = {r["id"]: r["N"] for r in number_in_group(df, ["k"], order, "N", slices=7).collect()}
     assert safe == plain and len(safe) == 3000
+
+
+def test_sized_broadcast_checks_the_bound(spark):
+    from tierwise.operators.joins import sized_broadcast
+    small = spark.range(5)
+    big = spark.range(50)
+    assert "broadcast" in str(sized_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(sized_broadcast(big, 10)._jdf.queryExecution().logical()).lower()
+
+
+def test_period_joins(spark):
+    from tierwise.operators.joins import in_periods, overlap_periods
+    periods = spark.createDataFrame([("p1", BASE, BASE + dt.timedelta(days=9)),
+                                     ("p2", BASE + dt.timedelta(days=5), BASE + dt.timedelta(days=20))],
+                                    "PERIOD string, START_DATE date, END_DATE date")
+    days = spark.createDataFrame([(1, BASE + dt.timedelta(days=7)), (2, BASE + dt.timedelta(days=15)),
+                                  (3, BASE + dt.timedelta(days=30))], "id int, D date")
+    got = sorted((r["id"], r["PERIOD"]) for r in in_periods(days, "D", periods).collect())
+    assert got == [(1, "p1"), (1, "p2"), (2, "p2")]
+    spans = spark.createDataFrame([(1, BASE - dt.timedelta(days=3), BASE),
+                                   (2, BASE + dt.timedelta(days=21), BASE + dt.timedelta(days=40))],
+                                  "id int, S date, E date")
+    got = sorted((r["id"], r["PERIOD"]) for r in overlap_periods(spans, "S", "E", periods).collect())
+    assert got == [(1, "p1")]
+
+
+def test_joined_count_modes(spark):
+    from tierwise.operators.joins import joined_count
+    facts = spark.createDataFrame([("m1", "C"), ("m1", "C"), ("m1", "W"), ("m2", "C"), (None, "C")],
+                                  "M string, S string")
+    events = spark.createDataFrame([("p", "m1"), ("p", "m1"), ("p", "m1"), ("q", "m2"), ("p", None)],
+                                   "P string, M string")
+    joined = {(r["P"], r["S"]): r["N"] for r in
+              joined_count(facts, events, "M", ["S"], ["P"], "joined", "N").collect()}
+    once = {(r["P"], r["S"]): r["N"] for r in
+            joined_count(facts, events, "M", ["S"], ["P"], "goals", "N").collect()}
+    assert joined == {("p", "C"): 6, ("p", "W"): 3, ("q", "C"): 1}
+    assert once == {("p", "C"): 2, ("p", "W"): 1, ("q", "C"): 1}
+
+
+def test_crosstab_and_distinct(spark):
+    from tierwise.operators.grouping import distinct_members, status_crosstab
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 1), ("a", "x", 2), ("b", "y", None)],
+                               "g string, s string, m int")
+    got = {r["g"]: (r["X"], r["X_PCT"], r["Y"]) for r in
+           status_crosstab(df, ["g"], "s", [("x", "X", "X_PCT"), ("y", "Y", None)], 1).collect()}
+    assert got == {"a": (2, 66.7, 1), "b": (0, 0.0, 1)}
+    assert {r["g"]: r["MEMBERS"] for r in distinct_members(df, ["g"], "m").collect()} == {"a": 2, "b": 0}

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.columns import pct, percent_text, rank_by
-from ..operators.grouping import one_row_totals, share_of_total, status_crosstab
+from ..operators.grouping import (distinct_members, one_row_totals, share_of_total,
+                                  status_crosstab)
 from ..operators.joins import not_in
 
 STATUS_COLUMNS_2DP = [
@@ -166,7 +167,7 @@ def engagement_by_topic(topics: DataFrame, goals: DataFrame, keys: list[str] | N
     call-days are reduced to distinct (topic, member) pairs first, so the join
     never multiplies goals by calls."""
     keys = keys or []
-    members = topics.groupBy(*keys, "REPORT_TOPIC").agg(F.countDistinct("CURRENTGUID").alias("MEMBERS"))
+    members = distinct_members(topics, [*keys, "REPORT_TOPIC"], "CURRENTGUID")
     pairs = _topic_member_pairs(topics, keys)
     goal_counts = _goal_ids_by_topic(pairs, goals, keys, "COMPLETED_GOALS", open_name)
     if keys:
