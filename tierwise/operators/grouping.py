@@ -64,10 +64,10 @@ def frequency_tiebreak(df: DataFrame, entity: str, day: str, value: str,
     return best.select(entity, day, value)
 
 
-def number_in_group(df: DataFrame, keys: Cols, order: Cols, name: str,
+def number_in_group(df: DataFrame, keys: Sequence[str], order: Cols, name: str,
                     skew_safe: bool = True, slices: int | None = None) -> DataFrame:
-    """``row_number()`` of each row inside its ``keys`` group under ``order``
-    (``order`` must be a total order for a deterministic result).
+    """``row_number()`` of each row inside its ``keys`` group (column names)
+    under ``order`` (a total order, for a deterministic result).
 
     ``skew_safe=False`` is the plain window: one task per group, fine while
     groups are small. ``skew_safe=True`` never holds a group in one task:
@@ -85,7 +85,7 @@ def number_in_group(df: DataFrame, keys: Cols, order: Cols, name: str,
     if not skew_safe:
         w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
         return df.withColumn(name, F.row_number().over(w).cast("long"))
-    key_names = [k for k in keys]
+    key_names = list(keys)
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
               .withColumn("__slice", F.spark_partition_id())
@@ -135,8 +135,7 @@ def status_crosstab(df: DataFrame, group: Cols, column: str,
         aggs.append(F.sum(F.when(F.col(column) == value, 1).otherwise(0)).cast("long")
                     .alias(count_name))
     out = df.groupBy(*_cols(group)).agg(*aggs)
-    cols = [c if isinstance(c, str) else c for c in group]
-    select: list[str | Column] = list(cols)
+    select: list[str | Column] = list(group)
     if total_name:
         select.append(F.col("__rows").alias(total_name))
     for _, count_name, pct_name in values:
