@@ -57,3 +57,8 @@ def test_matches_oracle(spark, key):
     want = con.execute(E.oracle_sql()[key]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
+
+
+def test_tier_percentages_sum_to_100(spark):
+    pct = [r["PCT"] for r in E.queries()["out_tier_breakdown"](spark, SF).collect()]
+    assert abs(sum(pct) - 100.0) <= 0.005 * len(pct) + 1e-9

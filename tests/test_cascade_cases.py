@@ -178,3 +178,17 @@ def test_period_reports_for_customer_without_calls(spark):
         (p, 0) for p in sorted(["month", "prior_month", "l12m", "r90", "p90"])]
     assert rows(rep["cmp_tobacco"], "METRIC", "MONTH", "MOM_CHANGE")[0] == (
         "Active Tobacco Participants", "0", "0")
+
+
+def test_period_tobacco_classic_null_flag_member(spark):
+    t = spark.createDataFrame(
+        [("A1", "G1", "M1", "CUST_A", DAY, "Tobacco", None, "x", "s", None, "l12m"),
+         ("A2", "G2", "M2", "CUST_A", DAY, "Lifestyle", None, "x", "s", None, "l12m"),
+         ("A3", "G3", None, "CUST_A", DAY, "Lifestyle", None, "x", "s", None, "l12m")],
+        "ACCOUNT string, GUID string, CURRENTGUID string, CUSTOMERID string, CALL_DATE date, "
+        "CALL_TYPE string, RAW_TOPIC string, REPORT_TOPIC string, TOPIC_SOURCE string, "
+        "PROGRAM_TYPE string, PERIOD string")
+    tob = spark.createDataFrame([("A1", "G1", "M1", "Yes"), ("A9", "G9", None, "Yes")],
+                                "ACCOUNT string, GUID string, CURRENTGUID string, TOBACCO_DISCUSSED string")
+    got = {r["TOBACCO_DISCUSSED"]: (r["MEMBERS"], r["CALLS"]) for r in P.tobacco_classic(t, tob).collect()}
+    assert got == {"Yes": (1, 1), "No": (1, 1)}
