@@ -64,6 +64,13 @@ def _desc(col: str) -> Column:
     return F.desc(col)
 
 
+def _metric_rank() -> Column:
+    return RP.rank_by(F.col("METRIC"), RP.R.TOBACCO_METRICS)
+
+
+VALIDATION_ORDER = [label for label, _ in RP.VALIDATION_SECTIONS] + ["TOBACCO", "GOALS"]
+
+
 def _period_rank() -> Column:
     return RP.rank_by(F.col("PERIOD"), P.PERIOD_NAMES)
 
@@ -79,10 +86,16 @@ ORDERS: dict[str, list] = {
     "out_goal_domain_status": [lambda: RP.domain_order(), "GOAL_DOMAIN"],
     "out_goal_number_status": ["GOAL_NUMBER"],
     "out_goal_type_status": ["GOAL_TYPE"],
+    "out_validation_counts": [lambda: RP.rank_by(F.col("SECTION"), VALIDATION_ORDER)],
     "dash_engagement_by_topic": [lambda: _desc("MEMBERS"), "WELLBEING_TOPIC"],
     "dash_goal_status_by_topic": [lambda: _desc("COMPLETED"), "WELLBEING_TOPIC"],
     "dash_goal_status_distribution": [lambda: RP.status_order()],
     "dash_goal_progression": [lambda: RP.domain_order(), "GOAL_DOMAIN"],
+    "dash_tobacco_focus": [lambda: _metric_rank()],
+    "period_tobacco": [_period_rank, lambda: _metric_rank()],
+    "period_tobacco_classic": [lambda: RP.yes_no_order()],
+    "cmp_tobacco": [lambda: _metric_rank()],
+    "kpi_headlines": [lambda: RP.rank_by(F.col("KPI"), P.KPI_LABELS)],
     "period_engagement": [_period_rank, lambda: _desc("MEMBERS"), "WELLBEING_TOPIC"],
     "period_goal_distribution": [_period_rank, lambda: RP.status_order()],
     "period_goal_distribution_goals": [_period_rank, lambda: RP.status_order()],
