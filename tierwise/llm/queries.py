@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwise.llm.ngram_join import ngram_jaccard_join
+from tierwise.llm.quality import quality_rules, trusted_ids
 
 #: Least Jaccard similarity of linked documents, in percent, and words of a shingle.
 NEAR_PERCENT = 80
@@ -23,8 +24,16 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard_join(spark, docs, words=NEAR_WORDS, percent=NEAR_PERCENT).documents
 
 
+def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Base features, base verdict and verdict of every document."""
+    return quality_rules(_table(spark, sf, "documents"), trusted_ids(_table(spark, sf, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_ngram_jaccard_join": op1_ngram_jaccard_join}
+    return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op8_quality_rules": op8_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
