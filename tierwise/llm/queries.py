@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwise.llm.decontam import benchmark_matches
 from tierwise.llm.ngram_join import ngram_jaccard_join
+from tierwise.llm.packing import pack_documents
 from tierwise.llm.quality import quality_rules, trusted_ids
 
 #: Least Jaccard similarity of linked documents, in percent, and words of a shingle.
 NEAR_PERCENT = 80
 NEAR_WORDS = 5
+#: The vocabulary of byte_bpe_50k.json as ranks; both give the same ids.
+RANKS_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,6 +29,16 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard_join(spark, docs, words=NEAR_WORDS, percent=NEAR_PERCENT).documents
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """One row for each benchmark item found in a document."""
+    return benchmark_matches(spark, _table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """One row for each piece of each document in its sequence."""
+    return pack_documents(_table(spark, sf, "documents"), RANKS_PATH)
+
+
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Base features, base verdict and verdict of every document."""
     return quality_rules(_table(spark, sf, "documents"), trusted_ids(_table(spark, sf, "labels")))
@@ -32,6 +47,8 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op5_benchmark_decontamination": op5_benchmark_decontamination,
+        "op6_packing": op6_packing,
         "op8_quality_rules": op8_quality_rules,
     }
 
