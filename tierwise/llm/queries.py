@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierwise.llm.decontam import benchmark_matches
 from tierwise.llm.ngram_join import ngram_jaccard_join
 from tierwise.llm.packing import pack_documents
+from tierwise.llm.pii import pii_report, train_pii
 from tierwise.llm.quality import quality_rules, trusted_ids
 
 #: Least Jaccard similarity of linked documents, in percent, and words of a shingle.
@@ -44,12 +45,19 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(_table(spark, sf, "documents"), trusted_ids(_table(spark, sf, "labels")))
 
 
+def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and spans of the personal data of every document."""
+    docs = _table(spark, sf, "documents")
+    return pii_report(docs, train_pii(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_packing": op6_packing,
         "op8_quality_rules": op8_quality_rules,
+        "op9_pii": op9_pii,
     }
 
 
