@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierwise.llm.decontam import benchmark_matches
 from tierwise.llm.ngram_join import ngram_jaccard_join
 from tierwise.llm.packing import pack_documents
 from tierwise.llm.pii import pii_report, train_pii
 from tierwise.llm.quality import quality_rules, trusted_ids
+from tierwise.llm.substring_dedup import substring_dedup
+from tierwise.llm.suffix_dedup import suffix_dedup
 
 #: Least Jaccard similarity of linked documents, in percent, and words of a shingle.
 NEAR_PERCENT = 80
@@ -30,6 +33,23 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard_join(spark, docs, words=NEAR_WORDS, percent=NEAR_PERCENT).documents
 
 
+_REMOVED = "aggregate(removed, 0L, (n, r) -> n + r.e - r.s)"
+
+
+def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Byte counts and the digest of what remains of every document."""
+    return suffix_dedup(spark, _table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", F.expr(_REMOVED).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Word counts and the digest of what remains of every document."""
+    return substring_dedup(spark, _table(spark, sf, "documents")).select(
+        "doc_id", "n_words", F.expr(_REMOVED).alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """One row for each benchmark item found in a document."""
     return benchmark_matches(spark, _table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
@@ -54,6 +74,8 @@ def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
+        "op3_substring_dedup": op3_substring_dedup,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_packing": op6_packing,
         "op8_quality_rules": op8_quality_rules,
