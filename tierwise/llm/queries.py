@@ -13,8 +13,10 @@ from tierwise.llm.ngram_join import ngram_jaccard_join
 from tierwise.llm.packing import pack_documents
 from tierwise.llm.pii import pii_report, train_pii
 from tierwise.llm.quality import quality_rules, trusted_ids
+from tierwise.llm.scratch import Scratch
 from tierwise.llm.substring_dedup import substring_dedup
 from tierwise.llm.suffix_dedup import suffix_dedup
+from tierwise.llm.warc import page_summary, read_warc, write_warc
 
 #: Least Jaccard similarity of linked documents, in percent, and words of a shingle.
 NEAR_PERCENT = 80
@@ -60,6 +62,14 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(_table(spark, sf, "documents"), RANKS_PATH)
 
 
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    scratch = Scratch(spark, "warc")
+    path = scratch.path("archive")
+    write_warc(spark, _table(spark, sf, "pages"), path, scratch)
+    return page_summary(read_warc(spark, path, with_payload=False))
+
+
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Base features, base verdict and verdict of every document."""
     return quality_rules(_table(spark, sf, "documents"), trusted_ids(_table(spark, sf, "labels")))
@@ -78,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_substring_dedup": op3_substring_dedup,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_packing": op6_packing,
+        "op7_warc": op7_warc,
         "op8_quality_rules": op8_quality_rules,
         "op9_pii": op9_pii,
     }

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwise.llm.marks import keep_marked, mark_table
 from tierwise.llm.scratch import Scratch
 from tierwise.llm.text import chunks, mix, powers
 
@@ -37,8 +38,6 @@ from tierwise.llm.text import chunks, mix, powers
 WIDE_ANCHOR = 5_000
 #: Units that a resolver takes at once (whole groups; one group may be larger).
 GROUP_UNITS = 1 << 19
-MARK_BITS = 1 << 24
-_PIECE = 1 << 14
 
 PLACE = ["doc", "rid", "lo"]
 
@@ -123,32 +122,6 @@ def _scan(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
-def _mark_slots(rids: np.ndarray) -> np.ndarray:
-    return (mix(rids.astype(np.int64).view(np.uint64)) % np.uint64(MARK_BITS)).astype(np.int64)
-
-
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of a bit table of fixed size that holds the rids of this partition."""
-    table = np.zeros(MARK_BITS // 8, np.uint8)
-    for batch in batches:
-        slot = _mark_slots(batch.column(0).to_numpy(zero_copy_only=False))
-        np.bitwise_or.at(table, slot >> 3, np.uint8(1) << (slot & 7).astype(np.uint8))
-    pieces = table.reshape(-1, _PIECE)
-    held = np.flatnonzero(pieces.any(axis=1))
-    yield pa.record_batch([pa.array(held, pa.int64()),
-                           pa.array([pieces[k].tobytes() for k in held], pa.binary())],
-                          names=["piece", "bits"])
-
-
-def _keep_marked(marks: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = marks.value
-        for batch in batches:
-            slot = _mark_slots(batch.column(0).to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array(((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1) == 1))
-    return run
-
-
 CUT = "gkey long, key long, ctx long, rel int, doc long, rid long, lo int, units binary"
 
 
@@ -267,11 +240,8 @@ def covered_ranges(spark: SparkSession, rows: DataFrame, units: Units, scratch:
         firsts.join(many, "key").select("key", "ctx", "first.*", (F.col("n") > WIDE_ANCHOR).alias("wide"))
         .groupBy("rid").agg(F.collect_list(F.struct("key", "ctx", "doc", "rid", "lo", "hi", "wide"))
                             .alias("wanted")), "wanted")
-    table = np.zeros(MARK_BITS // 8, np.uint8)
-    for row in wanted.select("rid").mapInArrow(_marks, "piece long, bits binary").toLocalIterator():
-        table[row.piece * _PIECE:(row.piece + 1) * _PIECE] |= np.frombuffer(row.bits, np.uint8)
-    marks = spark.sparkContext.broadcast(table)
-    texts = (rows.select("rid", "text").mapInArrow(_keep_marked(marks), "rid long, text string")
+    marks = spark.sparkContext.broadcast(mark_table(wanted.select("rid")))
+    texts = (rows.select("rid", "text").mapInArrow(keep_marked(marks), "rid long, text string")
              .dropDuplicates(["rid"]).join(wanted, "rid"))
     cut = (texts.mapInArrow(_cut(units), CUT).repartition("gkey")
            .sortWithinPartitions("gkey"))
