@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.llm.decontam import benchmark_matches
+from tierwise.llm.html_extract import extract_text, train_extractor
 from tierwise.llm.ngram_join import ngram_jaccard_join
 from tierwise.llm.packing import pack_documents
 from tierwise.llm.pii import pii_report, train_pii
@@ -52,6 +53,13 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf, "pages")
+    found = extract_text(spark, pages, train_extractor(spark, pages))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """One row for each benchmark item found in a document."""
     return benchmark_matches(spark, _table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
@@ -86,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op3_substring_dedup": op3_substring_dedup,
+        "op4_html_extraction": op4_html_extraction,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_packing": op6_packing,
         "op7_warc": op7_warc,

@@ -67,14 +67,14 @@ class Boosted:
 
 
 def train(sample: DataFrame, features: list[str], label: str = "label", rounds: int = 12,
-          depth: int = 3) -> Boosted | None:
+          depth: int = 3, step: float = 0.3) -> Boosted | None:
     """Boosted trees for a 0/1 label; None where the sample lacks one of the two classes."""
     counts = {r[label]: r["count"] for r in sample.groupBy(label).count().collect()}
     if not (counts.get(0) and counts.get(1)):
         return None
     rows = VectorAssembler(inputCols=features, outputCol="x").transform(sample)
     model = GBTClassifier(featuresCol="x", labelCol=label, maxIter=rounds, maxDepth=depth,
-                          seed=7).fit(rows.select("x", label))
+                          stepSize=step, seed=7).fit(rows.select("x", label))
     trees = []
     for weight, tree in zip(model.treeWeights, model.trees):
         lines = tree.toDebugString.strip().split("\n")[1:]
