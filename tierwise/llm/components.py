@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from tierwise.llm.scratch import Scratch
 
 
+#: Number of links and a checksum of them, to see when a round changes nothing.
+CHECKSUM = ["count(1)", "bit_xor(xxhash64(u, v))"]
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
     return (both.where("v > u").join(low, "u")
-            .select(F.col("v").alias("u"), F.col("low").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.col("low").alias("v")))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -34,16 +38,13 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     The centre is the smallest node of the component and has a row itself. No
     links give no rows; self links and repeated links change nothing.
     """
-    def mark(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first())
-
-    now = scratch.save(links.where("u is not null and v is not null and u != v")
-                       .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                       .distinct(), "links")
-    seen = mark(now)
+    now, seen = scratch.save_observed(
+        links.where("u is not null and v is not null and u != v")
+        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
+        "links", CHECKSUM)
     while seen[0]:
-        now = scratch.save(_small_star(_large_star(now)), "star")
-        last, seen = seen, mark(now)
+        last = seen
+        now, seen = scratch.save_observed(_small_star(_large_star(now)), "star", CHECKSUM)
         if last == seen:
             break
     return (now.select(F.col("u").alias("node"), F.col("v").alias("centre"))

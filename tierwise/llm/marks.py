@@ -37,11 +37,25 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                           names=["piece", "bits"])
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of the same number in a partition, combined."""
+    found: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            bits = np.frombuffer(raw, np.uint8)
+            found[k] = found[k] | bits if k in found else bits
+    yield pa.record_batch([pa.array(list(found), pa.int64()),
+                           pa.array([v.tobytes() for v in found.values()], pa.binary())],
+                          names=["piece", "bits"])
+
+
 def mark_table(ids: DataFrame) -> np.ndarray:
     """The table of a one-column frame of long ids; a null counts as 0."""
+    schema = "piece long, bits binary"
+    pieces = ids.mapInArrow(_pieces, schema).repartition("piece").mapInArrow(_joined, schema)
     table = np.zeros(BITS // 8, np.uint8)
-    for row in ids.mapInArrow(_pieces, "piece long, bits binary").toLocalIterator():
-        table[row.piece * _PIECE:(row.piece + 1) * _PIECE] |= np.frombuffer(row.bits, np.uint8)
+    for row in pieces.collect():  # the table's bytes, once
+        table[row.piece * _PIECE:(row.piece + 1) * _PIECE] = np.frombuffer(row.bits, np.uint8)
     return table
 
 

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from tierwise.llm.decontam import benchmark_matches
 from tierwise.llm.html_extract import extract_text, train_extractor
+from tierwise.llm.licenses import license_finds, train_licenses
 from tierwise.llm.ngram_join import ngram_jaccard_join
 from tierwise.llm.packing import pack_documents
 from tierwise.llm.pii import pii_report, train_pii
 from tierwise.llm.quality import quality_rules, trusted_ids
-from tierwise.llm.scratch import Scratch
+from tierwise.llm.scratch import Scratch, workers_find_package
 from tierwise.llm.substring_dedup import substring_dedup
 from tierwise.llm.suffix_dedup import suffix_dedup
 from tierwise.llm.warc import page_summary, read_warc, write_warc
@@ -27,6 +28,7 @@ RANKS_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
@@ -89,6 +91,12 @@ def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii_report(docs, train_pii(docs))
 
 
+def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """One row for each licence paragraph of each document."""
+    docs = _table(spark, sf, "documents")
+    return license_finds(spark, docs, train_licenses(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -100,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_warc": op7_warc,
         "op8_quality_rules": op8_quality_rules,
         "op9_pii": op9_pii,
+        "op10_license_scan": op10_license_scan,
     }
 
 

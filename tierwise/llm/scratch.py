@@ -6,17 +6,32 @@ part of it. A run's folder has a name of its own and is never overwritten.
 
 from __future__ import annotations
 
+import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tierwise.session import shared_dir
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver has it.
+
+    A cluster job ships the package itself (``--py-files`` or an installed
+    wheel); this covers sessions whose workers run where the driver does.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 class Scratch:
     """A folder of its own in the shared folder, for one run of an operator."""
 
     def __init__(self, spark: SparkSession, operator: str) -> None:
+        workers_find_package(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/tierwise-llm/{operator}-{uuid.uuid4().hex}"
         self._n = 0
@@ -30,3 +45,10 @@ class Scratch:
         path = self.path(name)
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def save_observed(self, df: DataFrame, name: str, sums: list[str]) -> tuple[DataFrame, list]:
+        """As ``save``, with the values of aggregate expressions over the rows written."""
+        seen = Observation()
+        named = [F.expr(e).alias(f"o{k}") for k, e in enumerate(sums)]
+        saved = self.save(df.observe(seen, *named), name)
+        return saved, [seen.get[f"o{k}"] for k in range(len(sums))]

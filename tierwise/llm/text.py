@@ -70,12 +70,16 @@ def chunks(batch: pa.RecordBatch, column: str,
         start = end
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the index of each row's first word."""
+def words(data: np.ndarray, offs: np.ndarray,
+          space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the index of each row's first word.
+
+    ``space`` tells which bytes part words.
+    """
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    inside = ~IS_SPACE[data]
+    inside = ~space[data]
     edge = np.zeros(n + 1, bool)
     edge[offs] = True
     before = np.empty(n, bool)
