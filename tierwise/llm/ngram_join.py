@@ -9,14 +9,15 @@ first, so copies cost one row each. Between classes:
   have such a subset in common, so an equal subset key is a candidate;
 * heavy sets scan inverted lists: shingles are ordered rare first, by counts
   in a table of fixed size, and only the prefix that any partner must hit is
-  listed. Light sets near the boundary are listed too, for their heavy partners.
+  listed; a pair must also have as many listed shingles in common as its sizes
+  demand. Light sets near the boundary are listed too, for their heavy partners.
 
 The boundary is the largest size whose subset rows cost no more than its
 inverted-list entries, from the shingle counts of the whole input.
 
 Candidates are not expanded into all pairs of a list. Every member of a list
-is first compared with the list's leader (the member with the fewest rarer
-shingles); components of the links found are built, and only pairs of one list
+is first compared with the list's leader (the member that shares most of its
+listed shingles); components of the links found are built, and only pairs of one list
 that lie in different components, and pass the size and position bounds, are
 compared after that. Links inside a component that is already known are not
 needed for any result here, so no component is lost or merged wrongly.
@@ -43,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierwise.llm.components import components
+from tierwise.llm.marks import keep_marked, mark_table, may_hold
 from tierwise.llm.scratch import Scratch
 from tierwise.llm.text import chunks, mix, row_shingles
 
@@ -168,18 +170,53 @@ def _signatures(words: int, percent: int, boundary: int,
     return run
 
 
-def _sets(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sets(words: int, marks: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(node, items) of the texts whose id may be marked; the caller drops the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(may_hold(marks.value, batch.column(0))))
             for part, data, offs in chunks(batch, "text"):
-                sets = list(row_shingles(data, offs, words))
+                sets = [s for s in row_shingles(data, offs, words) if len(s)]
                 yield pa.record_batch([
-                    pa.array([_key(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([_key(s) for s in sets], pa.int64()),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                     names=["node", "items"])
     return run
 
 
+def _pair_sets(spark: SparkSession, texts: DataFrame, members: DataFrame, pairs: DataFrame,
+               words: int) -> DataFrame:
+    """(node, items) of every class in ``pairs``, made from one text of each.
+
+    Their ids mark a bit table of fixed size, so other texts are dropped where
+    they are read (or, in a full table, by the join) and no text is shuffled.
+    """
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    ids = (members.where("node is not null").join(nodes, "node", "left_semi")
+           .groupBy("node").agg(F.min("id").alias("id")).select("id"))
+    return (texts.mapInArrow(_sets(words, spark.sparkContext.broadcast(mark_table(ids))),
+                             "node long, items array<long>")
+            .join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+
+
+def _promising(pairs: DataFrame, heads: DataFrame, percent: int, boundary: int) -> DataFrame:
+    """Of (u, v) pairs those with enough listed shingles in common.
+
+    Listed are all but ceil(n * percent / 100) - 1 shingles of a set, in one
+    order for all sets, so linked sets have at least their needed intersection
+    less that many in common among the listed. Pairs of light sets come from
+    equal subsets and are all kept.
+    """
+    left = heads.select(F.col("node").alias("u"), F.col("size").alias("a"), F.col("head").alias("ha"))
+    right = heads.select(F.col("node").alias("v"), F.col("size").alias("b"), F.col("head").alias("hb"))
+    need = F.expr(f"ceil({percent} * (a + b) / {100 + percent}.0 - 1e-9)")
+    common = need - F.expr(f"ceil({percent} * greatest(a, b) / 100.0 - 1e-9)") + 1
+    return (pairs.join(left, "u").join(right, "v")
+            .where((F.greatest("a", "b") <= boundary)
+                   | (F.size(F.array_intersect("ha", "hb")) >= common))
+            .select("u", "v"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of (u, v) pairs those that link, by exact intersection."""
     left = sets.select(F.col("node").alias("u"), F.col("items").alias("a"))
@@ -211,7 +248,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     pieces = (scan.where("kind = 1").select(F.col("id").alias("piece"), "counts")
               .repartition("piece").mapInArrow(_sum_pieces, "piece long, counts binary"))
     counts = np.zeros(COUNT_SLOTS, np.uint64)
-    for row in pieces.toLocalIterator():  # COUNT_SLOTS numbers in all, at every input size
+    for row in pieces.collect():  # COUNT_SLOTS numbers in all, at every input size
         counts[row.piece * _PIECE:(row.piece + 1) * _PIECE] = np.frombuffer(row.counts, np.uint64)
     total = float(counts.sum())
     square = float((counts.astype(np.float64) ** 2).sum())
@@ -236,24 +273,26 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
                | (F.least(F.col("size") - F.col("pos"), F.col("o_size") - F.col("o_pos")) >= need))
             & ((F.col("pos") < 0) == (F.col("o_pos") < 0))
             & ((F.col("pos") < 0) | (F.greatest("size", "o_size") > boundary)))
-    leader = (lists.groupBy("token")
-              .agg(F.min(F.struct("pos", "node", "size")).alias("l"))
+    ordered = [F.least("node", "o_node").alias("u"), F.greatest("node", "o_node").alias("v")]
+    heads = scratch.save(lists.groupBy("node").agg(
+        F.first("size").alias("size"), F.count(F.lit(1)).alias("shared"),
+        F.array_sort(F.collect_list(F.when(F.col("pos") >= 0, F.col("token")))).alias("head")), "heads")
+    leader = (lists.join(heads.select("node", "shared"), "node").groupBy("token")
+              .agg(F.max(F.struct("shared", "node", "size", "pos")).alias("l"))
               .select("token", F.col("l.node").alias("o_node"), F.col("l.size").alias("o_size"),
                       F.col("l.pos").alias("o_pos")))
-    ordered = [F.least("node", "o_node").alias("u"), F.greatest("node", "o_node").alias("v")]
-    first = (lists.join(leader, "token").where((F.col("node") != F.col("o_node")) & fits)
-             .select(*ordered).distinct())
-
-    # texts of the classes that share any list, one document for each class
-    wanted = (members.where("node is not null")
-              .join(lists.select("node").distinct(), "node", "left_semi")
-              .groupBy("node").agg(F.min("id").alias("id")).select("id").distinct())
-    sets = scratch.save(
-        texts.join(wanted, texts["id"].eqNullSafe(wanted["id"])).select("text").mapInArrow(_sets(words), "node long, items array<long>")
-        .where("node is not null").dropDuplicates(["node"]), "sets")
-
-    found = scratch.save(_verified(first, sets, percent), "leader-links")
-    known = components(found, scratch)
+    first = scratch.save(_promising(
+        lists.join(leader, "token").where((F.col("node") != F.col("o_node")) & fits)
+        .select(*ordered).distinct(), heads, percent, boundary), "leader-pairs")
+    found = scratch.save(
+        _verified(first, _pair_sets(spark, texts, members, first, words), percent), "leader-links")
+
+    # two hops put all members of a list linked with its leader under one label; nodes
+    # with the same label are connected, which is all that is needed here
+    both = found.union(found.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("near"))
+    known = (both.join(near.select(F.col("u").alias("v"), "near"), "v").groupBy("u")
+             .agg(F.min("near").alias("centre")).withColumnRenamed("u", "node"))
     placed = (lists.join(known, "node", "left")
               .withColumn("centre", F.coalesce("centre", "node")))
     # a list whose members are all of one component has nothing left to compare
@@ -262,10 +301,13 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     placed = scratch.save(placed.join(open_lists, "token"), "open-lists")
     other = placed.select("token", *[F.col(c).alias(f"o_{c}")
                                      for c in ("node", "size", "pos", "centre")])
-    second = (placed.join(other, "token")
-              .where((F.col("node") < F.col("o_node")) & (F.col("centre") != F.col("o_centre")) & fits)
-              .select(*ordered).distinct())
-    links = scratch.save(found.union(_verified(second, sets, percent)).distinct(), "all-links")
+    second = scratch.save(_promising(
+        placed.join(other, "token")
+        .where((F.col("node") < F.col("o_node")) & (F.col("centre") != F.col("o_centre")) & fits)
+        .select(*ordered).distinct().join(first, ["u", "v"], "left_anti"),
+        heads, percent, boundary), "open-pairs")
+    links = scratch.save(found.union(
+        _verified(second, _pair_sets(spark, texts, members, second, words), percent)), "all-links")
 
     final = components(links, scratch)
     centred = (members.join(final, "node", "left")
@@ -276,3 +318,28 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
                  .select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"),
                          F.coalesce("component_id", "id").alias("component_id")))
     return NgramJoin(documents, links, members.select(F.col("id").alias("doc_id"), "node"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest id.
+
+    Repeated rows of one document are one document; rows with a null id can't
+    be told apart and all stay. Only documents that may go are shuffled.
+    """
+    found = ngram_jaccard_join(spark, docs, words=words, percent=percent).documents
+    gone = found.where("doc_id != component_id").select("doc_id").distinct()
+    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")) \
+        .where("n > 1").select("doc_id")
+    scratch = Scratch(spark, "ngram-keep")
+    gone, again = scratch.save(gone, "gone"), scratch.save(again, "again")
+    marks = spark.sparkContext.broadcast(mark_table(gone.union(again)))
+    ordered = docs.select("doc_id", *[c for c in docs.columns if c != "doc_id"])
+    ordered = ordered.withColumn("doc_id", F.col("doc_id").cast("long"))
+    sure = ordered.where("doc_id is not null").mapInArrow(keep_marked(marks, False), ordered.schema)
+    rest = (ordered.where("doc_id is not null").mapInArrow(keep_marked(marks), ordered.schema)
+            .join(gone, "doc_id", "left_anti"))
+    # which of a document's rows stays doesn't matter where they are equal; else the smallest text does
+    rest = rest.groupBy("doc_id").agg(F.min(F.struct(*[c for c in ordered.columns if c != "doc_id"])).alias("r")) \
+        .select("doc_id", "r.*")
+    return (sure.union(rest).union(ordered.where("doc_id is null"))
+            .select(*[F.col(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]))
