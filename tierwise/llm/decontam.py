@@ -140,6 +140,16 @@ def _find(items: object, error_percent: int) -> Callable[[Iterator[pa.RecordBatc
     return run
 
 
+def _without_match(items: object, column: int, error_percent: int) -> Callable[
+        [Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(items.value, error_percent)
+        for batch in batches:
+            clean = [next(matcher.matches(text.as_py()), None) is None for text in batch.column(column)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+    return run
+
+
 def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
     """Normalized items, a bounded block at a time."""
     block, size = [], 0
@@ -156,6 +166,11 @@ def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]
         yield block
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"),
+                            F.col("text").cast("string").alias("text"))
+
+
 def benchmark_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
                       error_percent: int = ERROR_PERCENT,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -164,8 +179,7 @@ def benchmark_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
     Places are code points of the normalized text; the start is the end less
     the item's length.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
-                             F.col("text").cast("string").alias("text"))
+    items = _items(benchmark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
     found = [texts.mapInArrow(_find(spark.sparkContext.broadcast(block), error_percent), MATCH_SCHEMA)
@@ -173,3 +187,13 @@ def benchmark_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
     if not found:
         return spark.createDataFrame([], MATCH_SCHEMA)
     return reduce(DataFrame.union, found)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
+                      error_percent: int = ERROR_PERCENT,
+                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` in whose text no item is found."""
+    for block in _blocks(_items(benchmark), block_bytes):
+        keep = _without_match(spark.sparkContext.broadcast(block), docs.columns.index("text"), error_percent)
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs

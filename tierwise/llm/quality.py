@@ -110,20 +110,34 @@ def base_features(docs: DataFrame) -> DataFrame:
         """).alias("n_repeat_words")).drop("p")
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: int = THRESHOLD,
-                  slots: int = SLOTS) -> DataFrame:
-    """Base features and verdict of every (doc_id, text) row."""
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    weights = slot_weights(slot_counts(docs, trusted, slots), slots)
-    scored = (base_features(docs).withColumn("weights", weights.scalar())
+def _judged(docs: DataFrame, trusted: DataFrame, threshold: int, slots: int) -> DataFrame:
+    """``docs`` as a struct ``row``, with base features, base_failed, llr and kept."""
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
+    weights = slot_weights(slot_counts(rows, trusted, slots), slots)
+    scored = (base_features(rows).withColumn("weights", weights.scalar())
               .withColumn("llr", F.expr(f"""
         if(n_words > 0, aggregate(sequence(0, size(w) - 1), 0L, (s, i) -> s
             + get(weights, int(pmod(xxhash64(get(w, i)), {slots}L)))
             + if(i + 1 < size(w),
                  get(weights, int(pmod(xxhash64(get(w, i), get(w, i + 1)), {slots}L))), 0L)), 0L)""")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return scored.select(
+    return (scored.withColumn("base_failed", failed)
+            .withColumn("kept", ~F.col("base_failed")
+                        & (F.col("llr") >= F.lit(threshold) * (2 * F.col("n_words") - 1))))
+
+
+def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: int = THRESHOLD,
+                  slots: int = SLOTS) -> DataFrame:
+    """Base features and verdict of every (doc_id, text) row; llr_millionths is the sum over its n-grams."""
+    return _judged(docs.select("doc_id", "text"), trusted, threshold, slots).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"),
-        (~failed & (F.col("llr") >= F.lit(threshold) * (2 * F.col("n_words") - 1))).alias("kept"),
-        F.col("llr").alias("llr_millionths"))
+        "base_failed", "kept", F.col("llr").alias("llr_millionths"))
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, threshold: int = THRESHOLD,
+              slots: int = SLOTS) -> DataFrame:
+    """The rows of ``docs`` that pass, whatever their other columns are called."""
+    # the row number keeps the filter above the features: pushed below, it would repeat them all
+    judged = _judged(docs, trusted, threshold, slots).select(
+        "row", "kept", F.monotonically_increasing_id().alias("number"))
+    return judged.where("kept and number >= 0").select("row.*")
