@@ -1,4 +1,10 @@
-"""Training-data pipeline over ``documents``: one operator a stage."""
+"""Training-data pipeline over ``documents``: one operator a stage.
+
+Every stage takes what its predecessor kept and its decisions take effect: low
+quality goes, one document of each group of near duplicates stays, documents
+with benchmark items go, personal data is replaced, and what is left is packed
+into sequences. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -6,29 +12,62 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.llm.ngram_join import ngram_jaccard_join
-from tierwise.llm.queries import NEAR_PERCENT, NEAR_WORDS
-from tierwise.llm.scratch import Scratch
+from tierwise.llm.decontam import drop_contaminated
+from tierwise.llm.ngram_join import keep_one_of_each
+from tierwise.llm.packing import pack_documents
+from tierwise.llm.pii import redact, train_pii
+from tierwise.llm.quality import keep_good, trusted_ids
+from tierwise.llm.queries import NEAR_PERCENT, NEAR_WORDS, RANKS_PATH
+from tierwise.llm.scratch import Scratch, workers_find_package
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the likelihood-ratio threshold."""
+    return keep_good(docs, trusted_ids(_table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates."""
-    found = ngram_jaccard_join(spark, docs, words=NEAR_WORDS, percent=NEAR_PERCENT).documents
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    """One document, the one with the smallest id, of each group of near duplicates."""
+    return keep_one_of_each(spark, docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_contaminated(spark, docs, _table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return redact(docs, train_pii(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in training sequences."""
+    workers_find_package(spark)
+    return pack_documents(docs, RANKS_PATH)
 
 
 STAGES = [
+    ("quality_rules", quality),
     ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("pii", personal_data),
+    ("packing", packing),
 ]
 
-#: SQL can't express the similarity join, so the tests hold the result against brute force.
+#: SQL can't express the hashed scores, trained trees or token ids of the stages,
+#: so the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over ``documents``; each result is written and read again."""
     scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     return reduce(lambda got, stage: scratch.save(stage[1](spark, got, sf_dir), stage[0]),
                   STAGES, docs)
