@@ -117,30 +117,31 @@ FROM orders JOIN customer ON o_custkey = c_custkey"""),
   {d(B.ENROLLMENT_EPOCH)} + CAST(c_custkey % 1500 AS INTEGER) AS BIEFFECTIVEDATE,
   {d(B.ENROLLMENT_EPOCH)} + CAST(c_custkey % 1500 AS INTEGER) + {B.ENROLLMENT_SPAN_DAYS} AS BIENDDATE
 FROM customer"""),
-    ("elig", f"""SELECT {_guid('c_custkey')} AS GUID, {_acct('c_custkey', 'M')} AS CURRENTGUID,
+    ("elig", f"""SELECT CASE WHEN c_custkey % 23 = 22 THEN 'N' || CAST(c_custkey AS VARCHAR) ELSE {_guid('c_custkey')} END AS GUID, {_acct('c_custkey', 'M')} AS CURRENTGUID,
   CASE WHEN c_custkey % 50 = 10 THEN 'xFep01' ELSE 'ORG' END AS ORGUNITID, {CUST} AS CUSTOMERID
-FROM customer WHERE c_custkey % 23 <> 22"""),
-    ("lmn", f"""SELECT {_acct('o_custkey')} AS ACCOUNT, {pick('l_suppkey % 6', B.LM_QUESTION_BY_SUPP6)} AS QUESTION_ID,
+FROM customer"""),
+    ("lmn", f"""SELECT {_acct('o_custkey')} AS ACCOUNT,
+  CASE WHEN l_partkey % 4 <> 3 OR l_linenumber = 1 THEN {pick('l_suppkey % 6', B.LM_QUESTION_BY_SUPP6)}
+       ELSE {q(B.OTHER_QUESTION)} END AS QUESTION_ID,
   (CASE WHEN l_linenumber % 2 = 1 THEN o_orderdate ELSE l_shipdate END) + {_minutes('l_partkey')} AS RESPONSE_DATE,
   CASE WHEN l_suppkey % 6 = 0 THEN {pick('l_partkey % 8', B.FORM_V1_ANSWERS)}
        WHEN l_suppkey % 6 = 1 THEN {pick('l_partkey % 6', B.FORM_V2_ANSWERS)}
        ELSE {pick('l_partkey % 16', B.NOTE_TEXTS)} END AS RESPONSE_TEXT
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_partkey % 4 <> 3 OR l_linenumber = 1"""),
-    ("dmn", f"""SELECT {_acct('o_custkey')} AS ACCOUNT, {pick('l_suppkey % 2', B.DM_QUESTION_BY_SUPP2)} AS QUESTION_ID,
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
+    ("dmn", f"""SELECT {_acct('o_custkey')} AS ACCOUNT,
+  CASE WHEN l_partkey % 9 = 0 THEN {pick('l_suppkey % 2', B.DM_QUESTION_BY_SUPP2)}
+       ELSE {q(B.OTHER_QUESTION)} END AS QUESTION_ID,
   o_orderdate + {_minutes('l_partkey')} AS RESPONSE_DATE,
   CASE WHEN l_suppkey % 2 = 0 THEN {pick('l_partkey % 4', B.DM_FOCUS_ANSWERS)}
        ELSE {pick('l_partkey % 16', B.NOTE_TEXTS)} END AS RESPONSE_TEXT
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_partkey % 9 = 0"""),
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
     ("ma", f"""SELECT {_acct('o_custkey')} AS ACCOUNT,
   ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS MemberAction_ID,
-  CAST(1 + l_suppkey % 4 AS INTEGER) AS ActionType_ID, CAST(1 + l_partkey % 5 AS INTEGER) AS ActionStatus_ID,
+  CAST(CASE WHEN l_linenumber <= 2 THEN 1 + l_suppkey % 4 ELSE 4 + l_suppkey % 4 END AS INTEGER) AS ActionType_ID, CAST(1 + l_partkey % 5 AS INTEGER) AS ActionStatus_ID,
   CAST(l_suppkey % 12 AS INTEGER) AS FocusArea_ID, {pick('l_partkey % 31', B.ACTION_NAMES)} AS Action_Name,
   CAST(l_shipdate AS DATE) AS Action_Date,
   CASE WHEN l_partkey % 5 >= 2 THEN CAST(l_shipdate AS DATE) + 30 END AS Close_Date
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_linenumber <= 2"""),
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
 ]
 
 # ---------------------------------------------------------------------------
@@ -443,7 +444,7 @@ def _cmp_engagement() -> str:
             for p in ("l12m", "prior_month", "r90", "p90")}
     return f"""SELECT WELLBEING_TOPIC, L12M, MONTH, PRIOR, MONTH - PRIOR AS MOM_DELTA,
   {thirds('R90')} AS AVG_90D, {thirds('P90')} AS PRIOR_AVG_90D, {thirds('R90 - P90')} AS DELTA_90D,
-  {signed('MONTH - PRIOR')} AS MOM_DELTA_TEXT, {signed(thirds('R90 - P90'))} AS DELTA_90D_TEXT
+  {signed('MONTH - PRIOR')} AS MOM_DELTA_TEXT, CASE WHEN R90 > P90 THEN '+' ELSE '' END || format('{{:,}}', {thirds('R90 - P90')}) AS DELTA_90D_TEXT
 FROM (SELECT m.WELLBEING_TOPIC, CAST({cols['l12m']} AS BIGINT) AS L12M, m.MEMBERS AS MONTH,
              CAST({cols['prior_month']} AS BIGINT) AS PRIOR, CAST({cols['r90']} AS BIGINT) AS R90,
              CAST({cols['p90']} AS BIGINT) AS P90

@@ -6,6 +6,7 @@ import tempfile
 import pytest
 
 from tierwise import jobs
+from tierwise.plans import monthly as M
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver data not present")
@@ -19,7 +20,9 @@ def test_refresh_then_reports(spark):
     jobs.main(["period-report", *common, "--out", f"{root}/period", "--customer", "CUST_A",
                "--start", "1998-06-01", "--end", "1998-06-30", "--format", "csv"])
     jobs.main(["workbook", *common, "--out", f"{root}/wb", "--customer", "CUST_A"])
-    assert spark.read.parquet(f"{root}/snap/COACHING_CALL_TOPICS").count() == 200
+    jobs.main(["dashboard", *common, "--out", f"{root}/all", "--month", "all"])
+    assert M.snapshot(spark, f"{root}/snap")["topics"].count() == 200
+    assert spark.read.parquet(f"{root}/all/dash_tobacco_focus").count() == 5
     assert spark.read.parquet(f"{root}/dash/dash_tobacco_focus").count() == 5
     assert spark.read.option("header", "true").csv(f"{root}/period/kpi_headlines").count() == 4
     assert spark.read.parquet(f"{root}/wb/out_validation_counts").count() == 8

@@ -80,23 +80,27 @@ def test_within_interval_semi(spark):
     assert [tuple(r) for r in got] == [("a", BASE)]
 
 
-def test_skew_safe_numbering_matches_window(spark):
+def test_bucketed_numbering_matches_window(spark):
     rnd = random.Random(11)
-    data = [("hot" if rnd.random() < 0.6 else f"k{rnd.randrange(20)}", rnd.randrange(50), i)
-            for i in range(3000)]
+    data = [("hot" if rnd.random() < 0.6 else f"k{rnd.randrange(20)}",
+             None if rnd.random() < 0.1 else rnd.randrange(50), i) for i in range(3000)]
     df = spark.createDataFrame(data, "k string, d int, id long")
-    order = [F.asc("d"), F.asc("id")]
-    plain = {r["id"]: r["N"] for r in number_in_group(df, ["k"], order, "N", skew_safe=False).collect()}
-    safe = {r["id"]: r["N"] for r in number_in_group(df, ["k"], order, "N", slices=7).collect()}
-    assert safe == plain and len(safe) == 3000
-
-
-def test_sized_broadcast_checks_the_bound(spark):
-    from tierwise.operators.joins import sized_broadcast
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "broadcast" in str(sized_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(sized_broadcast(big, 10)._jdf.queryExecution().logical()).lower()
+    order = [F.asc_nulls_last("d"), F.asc("id")]
+    bucket = F.coalesce(F.col("d") - F.col("d") % 7, F.lit(999))
+    plain = {r["id"]: r["N"] for r in number_in_group(df, ["k"], order, "N").collect()}
+    cut = number_in_group(df, ["k"], order, "N", bucket=bucket)
+    assert {r["id"]: r["N"] for r in cut.collect()} == plain and len(plain) == 3000
+    groups = spark.createDataFrame([("hot", "x"), ("k3", "y"), ("none", "z")], "k string, g string")
+    kept = number_in_group(df, ["k"], order, "N", bucket=bucket, groups=groups).collect()
+    assert {r["id"]: (r["N"], r["g"]) for r in kept} == {
+        i: (plain[i], {"hot": "x", "k3": "y"}[k]) for k, _, i in data if k in ("hot", "k3")}
+
+
+def test_text_of_a_change_takes_its_sign_from_the_raw_difference(spark):
+    from tierwise.functions.columns import signed_thousands, thirds
+    rows = spark.createDataFrame([(1,), (0,), (-1,), (2,), (-2,), (4500,)], "raw long")
+    got = {r[0]: r[1] for r in rows.select("raw", signed_thousands(thirds(F.col("raw")), F.col("raw"))).collect()}
+    assert got == {1: "+0", 0: "0", -1: "0", 2: "+1", -2: "-1", 4500: "+1,500"}
 
 
 def test_period_joins(spark):

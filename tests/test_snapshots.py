@@ -6,6 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tierwise.sources import snapshots as S
+from tierwise.sources.schemas import OUTPUT_SCHEMAS
 
 JUNE, JULY = dt.date(1998, 6, 15), dt.date(1998, 7, 15)
 
@@ -19,32 +20,59 @@ def topics(spark, n):
         "PROGRAM_TYPE string")
 
 
+def load(spark, root, n, as_of, tobacco=0):
+    t = topics(spark, n)
+    flags = spark.createDataFrame([("G", "Yes")] * tobacco, "GUID string, TOBACCO_FLAG string")
+    return S.load_month(spark, {S.TOPICS: t, S.TOBACCO: conform_like(spark, flags, S.TOBACCO),
+                                S.GOALS: conform_like(spark, None, S.GOALS)}, root, as_of)
+
+
+def conform_like(spark, df, table):
+    schema = OUTPUT_SCHEMAS[table]
+    if df is None:
+        return spark.createDataFrame([], schema)
+    n = df.count()
+    return spark.createDataFrame([tuple(None for _ in schema.fields)] * n, schema)
+
+
+def months(df):
+    return sorted((r[0], r[1]) for r in df.groupBy("REPORT_MONTH").count().collect())
+
+
 def test_month_reload_is_idempotent_and_typed(spark):
     root = tempfile.mkdtemp(prefix="tw-snap-")
-    S.write_month(topics(spark, 3), root, S.TOPICS, JUNE)
-    S.write_month(topics(spark, 3), root, S.TOPICS, JULY)
-    S.write_month(topics(spark, 3), root, S.TOPICS, JULY)
-    df = S.read_snapshots(spark, root, S.TOPICS, month=None)
-    assert dict(df.schema.fields and [(f.name, f.dataType.simpleString()) for f in df.schema.fields])[
-        "REPORT_MONTH"] == "string"
-    assert sorted((r[0], r[1]) for r in df.groupBy("REPORT_MONTH").count().collect()) == [
-        ("199806", 3), ("199807", 3)]
+    load(spark, root, 3, JUNE)
+    load(spark, root, 3, JULY)
+    load(spark, root, 3, JULY)
+    df = S.read_snapshots(spark, root, None)[S.TOPICS]
+    assert df.schema == OUTPUT_SCHEMAS[S.TOPICS]
+    assert months(df) == [("199806", 3), ("199807", 3)]
     # month=None reads every month: counts double, distinct members do not.
     agg = df.agg(F.count(F.lit(1)), F.countDistinct("CURRENTGUID")).first()
     assert tuple(agg) == (6, 2)
-    assert S.read_snapshots(spark, root, S.TOPICS).count() == 3          # latest month only
-    assert S.read_snapshots(spark, root, S.TOPICS, "199806").count() == 3
-    refreshed = S.read_snapshots(spark, root, S.TOPICS).first()["REFRESH_DATE"]
+    assert S.read_snapshots(spark, root)[S.TOPICS].count() == 3          # latest month only
+    assert S.read_snapshots(spark, root, "199806")[S.TOPICS].count() == 3
+    assert S.read_snapshots(spark, root, "199901")[S.TOPICS].count() == 0
+    refreshed = S.read_snapshots(spark, root)[S.TOPICS].first()["REFRESH_DATE"]
     assert refreshed == dt.datetime(1998, 7, 15)
 
 
-def test_empty_result_clears_only_its_month(spark):
+def test_empty_tables_belong_to_their_month(spark):
+    root = tempfile.mkdtemp(prefix="tw-snap-")
+    load(spark, root, 2, JUNE, tobacco=1)
+    load(spark, root, 4, JULY, tobacco=0)
+    got = S.read_snapshots(spark, root)
+    assert (got[S.TOPICS].count(), got[S.TOBACCO].count()) == (4, 0)
+    load(spark, root, 0, JULY)
+    assert S.read_snapshots(spark, root)[S.TOPICS].count() == 0
+    assert months(S.read_snapshots(spark, root, None)[S.TOPICS]) == [("199806", 2)]
+
+
+def test_a_run_that_fails_between_tables_changes_nothing(spark):
     root = tempfile.mkdtemp(prefix="tw-snap-")
-    S.write_month(topics(spark, 2), root, S.TOPICS, JUNE)
-    S.write_month(topics(spark, 4), root, S.TOPICS, JULY)
-    S.write_month(topics(spark, 0), root, S.TOPICS, JULY)
-    df = S.read_snapshots(spark, root, S.TOPICS, month=None)
-    assert sorted((r[0], r[1]) for r in df.groupBy("REPORT_MONTH").count().collect()) == [("199806", 2)]
+    load(spark, root, 2, JULY)
+    S.write_run({S.TOPICS: topics(spark, 9)}, root, JULY, S.new_run(JULY))  # never published
+    assert S.read_snapshots(spark, root)[S.TOPICS].count() == 2
 
 
 def test_write_report_sections(spark):
@@ -70,8 +98,8 @@ def test_refresh_date_ignores_session_time_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-        S.write_month(topics(spark, 1), root, S.TOPICS, JULY)
-        got = S.read_snapshots(spark, root, S.TOPICS).first()["REFRESH_DATE"]
+        load(spark, root, 1, JULY)
+        got = S.read_snapshots(spark, root)[S.TOPICS].first()["REFRESH_DATE"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == dt.datetime(1998, 7, 15)

@@ -119,9 +119,13 @@ def thousands(col: Column) -> Column:
     return F.format_number(col, 0)
 
 
-def signed_thousands(col: Column) -> Column:
-    """``+n`` for a positive change, ``n`` otherwise, with separators."""
-    return F.when(col > 0, F.concat(F.lit("+"), thousands(col))).otherwise(thousands(col))
+def signed_thousands(col: Column, sign_of: Column | None = None) -> Column:
+    """``+n`` for a positive change, ``n`` otherwise, with separators.
+
+    ``sign_of`` gives the change the sign is taken from where ``col`` is a
+    rounded form of it: a change of +1 shown in thirds reads ``+0``."""
+    raw = col if sign_of is None else sign_of
+    return F.when(raw > 0, F.concat(F.lit("+"), thousands(col))).otherwise(thousands(col))
 
 
 def percent_text(col: Column) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from .functions.columns import report_filter
 from .plans import monthly as M
+from .plans.cascade import release
 from .session import shared_dir
 from .sources import snapshots as S
 from .sources.binding import load_sources, read_warehouse
@@ -37,9 +38,7 @@ def _sources(spark: SparkSession, args: argparse.Namespace):
 
 
 def _snapshots(spark: SparkSession, root: str, month: str | None):
-    return {key: S.read_snapshots(spark, root, table, month)
-            for key, table in (("topics", S.TOPICS), ("tobacco", S.TOBACCO),
-                               ("goals_numbered", S.GOALS))}
+    return M.snapshot(spark, root, None if month == "all" else month or "latest")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -52,7 +51,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--customer")
     ap.add_argument("--start")
     ap.add_argument("--end")
-    ap.add_argument("--month", help="snapshot month yyyyMM (default: latest)")
+    ap.add_argument("--month", help="snapshot month yyyyMM, or all (default: latest)")
+    ap.add_argument("--keep-fep", action="store_true",
+                    help="count FEP members as enrolled (customers outside that programme)")
     ap.add_argument("--sf-dir", help="test binding over the driver's parquet files")
     ap.add_argument("--table", action="append", help="NAME=catalog.table for a source")
     args = ap.parse_args(argv)
@@ -71,14 +72,18 @@ def main(argv: list[str] | None = None) -> None:
             scope = report_filter(args.customer, args.start, args.end, case_sensitive=True)
         sections = M.workbook(M.run_adhoc(_sources(spark, args), as_of, scope))
     elif args.job == "dashboard":
-        sections = M.dashboard(_snapshots(spark, args.root, args.month or "latest"))
+        sections = M.dashboard(_snapshots(spark, args.root, args.month))
     else:
         if not args.customer:
             ap.error("--customer is required for period-report")
-        snap = _snapshots(spark, args.root, args.month or "latest")
+        snap = _snapshots(spark, args.root, args.month)
         sections = M.period_report(spark, _sources(spark, args), snap, args.customer, as_of,
-                                   _date(args.start), _date(args.end))
-    S.write_report(sections, args.out, args.format)
+                                   _date(args.start), _date(args.end), not args.keep_fep)
+    cached = sections.pop("_cached", [])
+    try:
+        S.write_report(sections, args.out, args.format)
+    finally:
+        release({"_cached": cached})
 
 
 if __name__ == "__main__":

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,42 +64,37 @@ def frequency_tiebreak(df: DataFrame, entity: str, day: str, value: str,
 
 
 def number_in_group(df: DataFrame, keys: Sequence[str], order: Cols, name: str,
-                    skew_safe: bool = True, slices: int | None = None) -> DataFrame:
+                    bucket: Column | None = None, groups: DataFrame | None = None) -> DataFrame:
     """``row_number()`` of each row inside its ``keys`` group (column names)
     under ``order`` (a total order, for a deterministic result).
 
-    ``skew_safe=False`` is the plain window: one task per group, fine while
-    groups are small. ``skew_safe=True`` never holds a group in one task:
-    rows are range-partitioned on (keys, order) into ``slices`` contiguous
-    slices of the total order, numbered inside each (slice, group), and
-    shifted by the row counts of the same group in earlier slices (a tiny
-    table: slices x groups). A hot group is simply cut across slices.
-
-    Both the numbering and the offsets must see the same slices, and every
-    new *plan* of a range repartition samples its own boundaries, so the
-    sliced rows are persisted (memory, spilling to disk) and both branches
-    read that one cached plan. Lost blocks are recomputed through the same
-    physical plan, whose range partitioner is fixed, so the slices stay the
-    same after an executor loss."""
-    if not skew_safe:
-        w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
-        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    Without ``bucket`` this is the plain window: one task per group. With it,
+    a group is cut into buckets that follow the order (a non-null function of
+    its first column that never falls along it): rows are counted per (group,
+    bucket) with partial counts, the counts before each bucket are summed, and
+    rows are numbered inside their bucket and shifted by that sum. Only the
+    counts are brought together by group.
+
+    ``groups`` (one row per group) adds its columns and drops the rows of all
+    other groups; it meets the counts, so such rows go no further than the
+    one join on (group, bucket). Null keys match nothing there."""
     key_names = list(keys)
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *_cols(keys), *_cols(order))
-              .withColumn("__slice", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    local = ranged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__slice", *key_names)
-                                       .orderBy(*_cols(order))))
-    earlier = Window.partitionBy(*key_names).orderBy("__slice").rowsBetween(
+    if bucket is None:
+        w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
+        numbered = df.withColumn(name, F.row_number().over(w).cast("long"))
+        return numbered if groups is None else numbered.join(groups, key_names)
+    cut = df.withColumn("__bucket", bucket)
+    earlier = Window.partitionBy(*key_names).orderBy("__bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("__slice", *key_names).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = (cut.groupBy(*key_names, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
                .withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
                .drop("__n"))
-    return (local.join(offsets, ["__slice", *key_names])
-            .withColumn(name, (F.col("__local") + F.col("__offset")).cast("long"))
-            .drop("__slice", "__local", "__offset"))
+    if groups is not None:
+        offsets = offsets.join(groups, key_names)
+    inside = Window.partitionBy(*key_names, "__bucket").orderBy(*_cols(order))
+    return (cut.join(offsets, [*key_names, "__bucket"])
+            .withColumn(name, (F.row_number().over(inside) + F.col("__offset")).cast("long"))
+            .drop("__bucket", "__offset"))
 
 
 def distinct_members(df: DataFrame, group: Cols, member: str,

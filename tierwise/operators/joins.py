@@ -1,6 +1,5 @@
 """Join operators: interval membership, period overlap, anti joins with
-explicit null rules, an as-of lookup with a day tolerance, and a
-size-checked broadcast.
+explicit null rules, and an as-of lookup with a day tolerance.
 """
 
 from __future__ import annotations
@@ -10,17 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Broadcast only below this many rows; the check itself reads at most this
-# many rows + 1, so it stays cheap whatever the table's size.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows,
-    otherwise ``df`` unchanged (a shuffle join, sized by AQE at run time)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def within_interval(left: DataFrame, right: DataFrame, entity: str, day: str,
                     start: str, end: str) -> DataFrame:
     """Rows of ``left`` whose ``day`` lies inside some ``[start, end]`` interval

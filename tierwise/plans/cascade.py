@@ -29,7 +29,7 @@ from ..functions.columns import (by_code, by_equality, by_keywords, first_match,
                                   prefix_before, text_after)
 from ..operators.grouping import (daily_counts, frequency_tiebreak, latest_per_group,
                                   number_in_group)
-from ..operators.joins import asof_within, sized_broadcast, unresolved, within_interval  # noqa: F401
+from ..operators.joins import asof_within, unresolved, within_interval  # noqa: F401
 
 DAY_KEY = ["ACCOUNT", "CALL_DATE"]
 CALL_DAY_COLUMNS = ["ACCOUNT", "GUID", "CUSTOMERID", "CALL_TYPE", "CALL_DATE"]
@@ -89,7 +89,7 @@ def calls_one_per_day(sources: dict[str, DataFrame], enrollment: DataFrame,
                      norm(F.col("DESCRIPTION")).alias("__type")))
     if call_filter is not None:
         calls = calls.filter(call_filter)
-    calls = calls.join(sized_broadcast(eligible_types), "__type", "left_semi")
+    calls = calls.join(eligible_types, "__type", "left_semi")
     latest = latest_per_group(
         calls, DAY_KEY,
         [F.desc_nulls_last("ENCOUNTERDATETIME"), F.asc_nulls_last("CALL_TYPE"),
@@ -289,19 +289,21 @@ def goals_numbered(goals: DataFrame, enrollment_rows: DataFrame) -> DataFrame:
     """Goals of accounts with an enrollment row, bridged to the latest
     row's members and numbered per account by set date, then name.
 
-    Numbering runs before the bridge join: the join keeps all or none of an
-    account's goals, so the numbers are the same, and the numbering then
-    works on the plain goal scan."""
+    An account's goals are numbered by months of their set date: goals are
+    counted per month, the counts (a few rows an account) are summed up to
+    each month and joined with the latest enrollment row, and the goals meet
+    that by (account, month). So the goals are shuffled once, accounts without
+    enrollment drop out there, and a hot account is spread over its months."""
     latest = latest_per_group(
         enrollment_rows.select("ACCOUNT", "CURRENTGUID", "GUID", "BIENDDATE"), ["ACCOUNT"],
         [F.desc_nulls_last("BIENDDATE"), F.asc_nulls_last("GUID"),
          F.asc_nulls_last("CURRENTGUID")]).select("ACCOUNT", "CURRENTGUID", "GUID")
+    month = F.coalesce(F.date_format("GOAL_SET_DATE", "yyyyMM"), F.lit("999999"))  # null dates last
     numbered = number_in_group(
         goals, ["ACCOUNT"],
         [F.asc_nulls_last("GOAL_SET_DATE"), F.asc_nulls_last("RAW_ACTION_NAME"),
-         F.asc_nulls_last("MEMBERACTION_ID")], "GOAL_NUMBER")
-    return numbered.join(latest, "ACCOUNT", "inner").select(
-        *GOAL_COLUMNS, "CURRENTGUID", "GUID", "GOAL_NUMBER")
+         F.asc_nulls_last("MEMBERACTION_ID")], "GOAL_NUMBER", bucket=month, groups=latest)
+    return numbered.select(*GOAL_COLUMNS, "CURRENTGUID", "GUID", "GOAL_NUMBER")
 
 
 def active_enrollment(sources: dict[str, DataFrame], as_of: dt.date | str) -> DataFrame:
@@ -343,7 +345,7 @@ def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "r
     # derivations of them (LM top-1, unresolved days) are recomputed.
     out["calls"] = shared(calls_one_per_day(sources, call_enrollment, call_filter))
     daily = shared(lm_daily(sources))
-    out["lm"] = lm_topics(daily)
+    out["lm"] = shared(lm_topics(daily))
     out["dm"] = shared(dm_topics(sources))
     out["no_tier1"] = calls_without_direct_topic(out["calls"], out["lm"], out["dm"])
     out["text_topics"] = shared(inferred_text_topics(sources, out["no_tier1"]))

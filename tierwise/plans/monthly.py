@@ -30,18 +30,22 @@ def run_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     Tobacco flags are derived from the topics just written, so the cascade
     runs once for both tables."""
     refreshed = refreshed or dt.datetime.combine(as_of, dt.time())
-    month = S.report_month(as_of)
     out = build(sources, as_of, "refresh")
-    S.write_month(out["topics"], root, S.TOPICS, as_of, refreshed)
-    topics = S.read_snapshots(spark, root, S.TOPICS, month)
-    S.write_month(tobacco_flag(topics.select(*TOPIC_COLUMNS)), root, S.TOBACCO, as_of, refreshed)
-    S.write_month(out["goals_numbered"], root, S.GOALS, as_of, refreshed)
-    release(out)
-    return {
-        "topics": topics,
-        "tobacco": S.read_snapshots(spark, root, S.TOBACCO, month),
-        "goals_numbered": S.read_snapshots(spark, root, S.GOALS, month),
-    }
+    run = S.new_run(as_of)
+    try:
+        S.write_run({S.TOPICS: out["topics"], S.GOALS: out["goals_numbered"]}, root, as_of, run, refreshed)
+        topics = S.read_run(spark, root, run, S.TOPICS)
+        S.write_run({S.TOBACCO: tobacco_flag(topics.select(*TOPIC_COLUMNS))}, root, as_of, run, refreshed)
+    finally:
+        release(out)
+    S.publish(spark, root, as_of, run)
+    return snapshot(spark, root, S.report_month(as_of))
+
+
+def snapshot(spark: SparkSession, root: str, month: str | None = "latest") -> dict[str, DataFrame]:
+    """The three snapshot tables of a month (or of every month) by step name."""
+    got = S.read_snapshots(spark, root, month)
+    return {"topics": got[S.TOPICS], "tobacco": got[S.TOBACCO], "goals_numbered": got[S.GOALS]}
 
 
 def run_adhoc(sources: dict[str, DataFrame], as_of: dt.date,
@@ -158,11 +162,15 @@ PERIOD_KEYS = {
 
 def period_report(spark: SparkSession, sources: dict[str, DataFrame], snap: dict[str, DataFrame],
                   customer: str, as_of: dt.date, start: dt.date | None = None,
-                  end: dt.date | None = None) -> dict[str, DataFrame]:
-    """The period report (R14-R28) for one customer over the snapshots."""
+                  end: dt.date | None = None, exclude_fep: bool = True) -> dict[str, DataFrame]:
+    """The period report (R14-R28) for one customer over the snapshots.
+
+    ``exclude_fep`` takes FEP members out of the enrollment counts. The frames
+    share persisted pieces, which ``P.release`` (given the "_cached" entry's
+    frames) frees once they are written."""
     start, end = P.default_range(as_of, start, end)
-    res = P.build_periods(spark, sources, snap, customer, start, end)
-    return _presented({key: res[name] for key, name in PERIOD_KEYS.items()})
+    res = P.build_periods(spark, sources, snap, customer, start, end, exclude_fep)
+    return _presented({key: res[name] for key, name in PERIOD_KEYS.items()}) | {"_cached": res["_cached"]}
 
 
 def _presented(sections: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -42,6 +42,10 @@ def default_range(as_of: dt.date, start: dt.date | None = None,
     return start, end or as_of
 
 
+#: Call-day columns that the period reports read.
+PERIOD_TOPIC_COLUMNS = ["GUID", "CURRENTGUID", "REPORT_TOPIC"]
+
+
 def periods(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:
     """(PERIOD, START_DATE, END_DATE) for the five report periods, with
     month arithmetic done by Spark (``add_months`` clamps to month end)."""
@@ -59,12 +63,26 @@ def periods(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> Da
     return spark.range(1).select(F.inline(rows))
 
 
-def period_topics(topics: DataFrame, periods_df: DataFrame, customer: str) -> DataFrame:
-    """Call-days of one customer (case-insensitive), once per period containing them."""
+def period_topics(topics: DataFrame, periods_df: DataFrame, customer: str,
+                  bounds: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """Call-days of one customer (case-insensitive), once per period containing them.
+
+    ``bounds`` (first and last day of all periods) are literals, so the scan
+    gets them as pushed filters; the join with the periods does the rest."""
     scoped = topics.filter(report_filter(customer))
+    if bounds is not None:
+        first, last = (F.lit(str(d)).cast("date") for d in bounds)
+        scoped = scoped.filter(F.col("CALL_DATE").between(first, last))
     return in_periods(scoped, "CALL_DATE", periods_df).drop("START_DATE", "END_DATE")
 
 
+def all_periods(start: dt.date, end: dt.date) -> tuple[dt.date, dt.date]:
+    """First and last day that any of the five periods covers."""
+    months = start.year * 12 + start.month - 1 - 11
+    # a day at or before the twelve months' start, whatever the month's length
+    return min(dt.date(months // 12, months % 12 + 1, 1), end - dt.timedelta(days=179)), max(start, end)
+
+
 def _weighted_goals(ptopics: DataFrame, goals: DataFrame, by: list[str],
                     goal_filter: Column | None = None, mode: str = "joined") -> DataFrame:
     """(PERIOD, *by, __n): goal rows counted against the period's call-days on
@@ -235,12 +253,13 @@ def compare_engagement(eng: DataFrame) -> DataFrame:
     t = m.join(current, "WELLBEING_TOPIC", "left_semi")
     c = {p: F.col(p).cast("long") for p in PERIOD_NAMES}
     mom = c[MONTH] - c[PRIOR]
-    d90 = thirds(c[R90] - c[P90])
+    raw90 = c[R90] - c[P90]
+    d90 = thirds(raw90)
     return t.select("WELLBEING_TOPIC", c[L12M].alias("L12M"), c[MONTH].alias("MONTH"),
                     c[PRIOR].alias("PRIOR"), mom.alias("MOM_DELTA"),
                     thirds(c[R90]).alias("AVG_90D"), thirds(c[P90]).alias("PRIOR_AVG_90D"),
                     d90.alias("DELTA_90D"), signed_thousands(mom).alias("MOM_DELTA_TEXT"),
-                    signed_thousands(d90).alias("DELTA_90D_TEXT"))
+                    signed_thousands(d90, raw90).alias("DELTA_90D_TEXT"))
 
 
 def compare_goal_progression(prog: DataFrame) -> DataFrame:
@@ -324,24 +343,32 @@ def tobacco_goal_gap(tob_numbers: DataFrame) -> DataFrame:
 
 
 def build_periods(spark: SparkSession, sources: dict[str, DataFrame], out: dict[str, DataFrame],
-                  customer: str, start: dt.date, end: dt.date) -> dict[str, DataFrame]:
+                  customer: str, start: dt.date, end: dt.date,
+                  exclude_fep: bool = True) -> dict[str, DataFrame]:
     """All period reports over one refresh build ``out``.
 
     The customer's period call-days and the four base reports feed every
     comparison, so they are persisted once per bundle (they are small: one
     customer's call-days x at most five periods, and aggregates of them)."""
+    cached: list[DataFrame] = []
+
+    def shared(df: DataFrame) -> DataFrame:
+        cached.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return cached[-1]
+
     pdf = periods(spark, start, end)
-    pt = period_topics(out["topics"], pdf, customer).persist(StorageLevel.MEMORY_AND_DISK)
+    days = out["topics"].select("CUSTOMERID", "CALL_DATE", *PERIOD_TOPIC_COLUMNS)
+    pt = shared(period_topics(days, pdf, customer, all_periods(start, end))
+                .select("PERIOD", *PERIOD_TOPIC_COLUMNS))
     goals = out["goals_numbered"]
     res = {"periods": pdf, "ptopics": pt}
-    res["engagement"] = engagement(pt, goals).persist(StorageLevel.MEMORY_AND_DISK)
-    res["goal_distribution"] = goal_distribution(pt, goals).persist(StorageLevel.MEMORY_AND_DISK)
+    res["engagement"] = shared(engagement(pt, goals))
+    res["goal_distribution"] = shared(goal_distribution(pt, goals))
     res["goal_distribution_goals"] = goal_distribution(pt, goals, mode="goals")
-    res["goal_progression"] = goal_progression(pt, goals).persist(StorageLevel.MEMORY_AND_DISK)
-    res["tobacco_numbers"] = _tobacco_numbers(pt, out["tobacco"], goals, pdf).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    res["goal_progression"] = shared(goal_progression(pt, goals))
+    res["tobacco_numbers"] = shared(_tobacco_numbers(pt, out["tobacco"], goals, pdf))
     res["tobacco"] = tobacco_from_numbers(res["tobacco_numbers"])
-    res["enrolled"] = enrolled_members(sources, pdf, customer)
+    res["enrolled"] = enrolled_members(sources, pdf, customer, exclude_fep)
     res["topics_classic"] = topics_classic(pt)
     res["tobacco_classic"] = tobacco_classic(pt, out["tobacco"])
     res["goal_domain_status"] = goal_domain_status(pt, goals)
@@ -352,4 +379,5 @@ def build_periods(spark: SparkSession, sources: dict[str, DataFrame], out: dict[
     res["kpi_headlines"] = kpi_headlines(res["engagement"], res["goal_distribution"], res["tobacco"],
                                          pt)
     res["tobacco_goal_gap"] = tobacco_goal_gap(res["tobacco_numbers"])
+    res["_cached"] = cached  # type: ignore[assignment]
     return res

@@ -150,12 +150,21 @@ def _topic_member_pairs(topics: DataFrame, keys: list[str]) -> DataFrame:
 
 def _goal_ids_by_topic(pairs: DataFrame, goals: DataFrame, keys: list[str],
                        completed: str, open_: str) -> DataFrame:
-    g = goals.select("CURRENTGUID", "GOAL_STATUS", "MEMBERACTION_ID")
-    return (pairs.join(g, "CURRENTGUID").groupBy(*keys, "REPORT_TOPIC").agg(
-        F.countDistinct(F.when(F.col("GOAL_STATUS") == R.COMPLETED, F.col("MEMBERACTION_ID")))
-        .alias(completed),
-        F.countDistinct(F.when(F.col("GOAL_STATUS") == R.IN_PROGRESS, F.col("MEMBERACTION_ID")))
-        .alias(open_)))
+    """Distinct completed and in-progress goals of each topic's members.
+
+    Goals are cut to the distinct (topic, status, id) first, so the counts are
+    plain conditional sums; a topic whose goals all have other statuses stays,
+    with zeros."""
+    counted = F.col("GOAL_STATUS").isin(R.COMPLETED, R.IN_PROGRESS)
+    g = goals.select("CURRENTGUID", F.when(counted, F.col("GOAL_STATUS")).alias("__s"),
+                     F.when(counted, F.col("MEMBERACTION_ID")).alias("__id")).distinct()
+    per = pairs.join(g, "CURRENTGUID").select(*keys, "REPORT_TOPIC", "__s", "__id").distinct()
+
+    def goals_in(status: str) -> Column:
+        return F.sum(F.when((F.col("__s") == status) & F.col("__id").isNotNull(), 1).otherwise(0)).cast("long")
+
+    return per.groupBy(*keys, "REPORT_TOPIC").agg(goals_in(R.COMPLETED).alias(completed),
+                                                  goals_in(R.IN_PROGRESS).alias(open_))
 
 
 def engagement_by_topic(topics: DataFrame, goals: DataFrame, keys: list[str] | None = None,

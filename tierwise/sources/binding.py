@@ -62,6 +62,10 @@ def pick(index: Column, values: Sequence[str | None]) -> Column:
                             (index + 1).cast("int"))
 
 
+#: A question that no step of the cascade reads.
+OTHER_QUESTION = "777777"
+
+
 def _member(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), (key - key % 5).cast("string"))
 
@@ -119,8 +123,9 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.date_add(start, ENROLLMENT_SPAN_DAYS).alias("BIENDDATE"),
     )
 
-    elig = customer.filter(ck % 23 != 22).select(
-        F.concat(F.lit("G"), ck.cast("string")).alias("GUID"),
+    # Every 23rd customer has a GUID that no call carries, so its calls miss the bridge.
+    elig = customer.select(
+        F.concat(F.when(ck % 23 == 22, "N").otherwise("G"), ck.cast("string")).alias("GUID"),
         _member("M", ck).alias("CURRENTGUID"),
         F.when(ck % 50 == 10, "xFep01").otherwise("ORG").alias("ORGUNITID"),
         cust.alias("CUSTOMERID"),
@@ -129,9 +134,11 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     lines = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     supp6 = sk % 6
-    lm_notes = lines.filter((pk % 4 != 3) | (ln == 1)).select(
+    # Lines beyond those that answer a question of the cascade answer another one.
+    lm_notes = lines.select(
         _member("A", ok).alias("ACCOUNT"),
-        pick(supp6, LM_QUESTION_BY_SUPP6).alias("QUESTION_ID"),
+        F.when((pk % 4 != 3) | (ln == 1), pick(supp6, LM_QUESTION_BY_SUPP6))
+        .otherwise(OTHER_QUESTION).alias("QUESTION_ID"),
         _plus_minutes(F.when(ln % 2 == 1, F.col("o_orderdate"))
                       .otherwise(F.col("l_shipdate")), pk % 1440).alias("RESPONSE_DATE"),
         F.when(supp6 == 0, pick(pk % 8, FORM_V1_ANSWERS))
@@ -140,20 +147,21 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
 
     dm_question = pick(sk % 2, DM_QUESTION_BY_SUPP2)
-    dm_notes = lines.filter(pk % 9 == 0).select(
+    dm_notes = lines.select(
         _member("A", ok).alias("ACCOUNT"),
-        dm_question.alias("QUESTION_ID"),
+        F.when(pk % 9 == 0, dm_question).otherwise(OTHER_QUESTION).alias("QUESTION_ID"),
         _plus_minutes(F.col("o_orderdate"), pk % 1440).alias("RESPONSE_DATE"),
         F.when(sk % 2 == 0, pick(pk % 4, DM_FOCUS_ANSWERS))
         .otherwise(pick(pk % 16, NOTE_TEXTS)).alias("RESPONSE_TEXT"),
     )
 
     ship = F.col("l_shipdate").cast("date")
-    actions = lines.filter(ln <= 2).select(
+    # Lines after an order's second are actions of types that are no goals.
+    actions = lines.select(
         _member("A", ok).alias("ACCOUNT"),
         ((((F.col("l_orderkey") * 10 + ln) * 100000 + pk) * 10000) + sk)
         .alias("MemberAction_ID"),
-        (1 + sk % 4).alias("ActionType_ID"),
+        F.when(ln <= 2, 1 + sk % 4).otherwise(4 + sk % 4).alias("ActionType_ID"),
         (1 + pk % 5).alias("ActionStatus_ID"),
         (sk % 12).alias("FocusArea_ID"),
         pick(pk % 31, ACTION_NAMES).alias("Action_Name"),

@@ -1,16 +1,20 @@
 """Month-keyed snapshot tables (S2, S4-S6) and report export.
 
-A snapshot table is parquet partitioned by REPORT_MONTH ('yyyyMM'). Loading
-a month replaces exactly that month's partition and leaves the others:
-the month's directory is overwritten as a whole, so a re-run is idempotent
-and an empty result also clears the month (a dynamic partition overwrite
-would leave the old files when no rows arrive). Tables live under a folder
-the whole cluster can reach (see ``tierwise.session.shared_dir``).
+A refresh writes its three tables into a folder of its own run and then adds
+one record (month, run). Readers take each month's tables from the run recorded
+last, so the three tables of a month are always from one run, a failed run
+changes nothing, a re-run replaces the month, and an empty table reads as empty.
+Finding the newest month reads the records only. Tables live under a folder the
+whole cluster can reach (see ``tierwise.session.shared_dir``); runs that are no
+longer recorded last can be deleted at any time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +23,8 @@ from .schemas import OUTPUT_SCHEMAS, conform
 
 TOPICS, TOBACCO, GOALS = "COACHING_CALL_TOPICS", "COACHING_CALL_TOBACCO", "COACHING_CALL_GOALS"
 MONTH_COL = "REPORT_MONTH"
+RUNS, RECORDS = "runs", "published"
+RECORD_SCHEMA = f"{MONTH_COL} string, RUN string, PUBLISHED_AT long"
 
 
 def report_month(as_of: dt.date) -> str:
@@ -34,42 +40,70 @@ def stamp(df: DataFrame, as_of: dt.date, refreshed: dt.datetime | None = None) -
             .withColumn(MONTH_COL, F.date_format(F.lit(as_of), "yyyyMM")))
 
 
-def write_month(df: DataFrame, root: str, table: str, as_of: dt.date,
-                refreshed: dt.datetime | None = None) -> str:
-    """Replace ``table``'s partition for ``as_of``'s month with ``df``."""
-    schema = OUTPUT_SCHEMAS[table]
-    rows = conform(stamp(df, as_of, refreshed), schema).drop(MONTH_COL)
-    target = f"{root}/{table}/{MONTH_COL}={report_month(as_of)}"
-    rows.write.mode("overwrite").parquet(target)
-    return target
+def write_run(tables: dict[str, DataFrame], root: str, as_of: dt.date, run: str,
+              refreshed: dt.datetime | None = None) -> None:
+    """This month's rows of some tables, into the folder of ``run``.
 
+    Nothing reads them before the run is published."""
+    for table, df in tables.items():
+        rows = conform(stamp(df, as_of, refreshed), OUTPUT_SCHEMAS[table])
+        rows.write.mode("errorifexists").parquet(_run_path(root, run, table))
 
-def write_build(out: dict[str, DataFrame], root: str, as_of: dt.date,
-                refreshed: dt.datetime | None = None) -> None:
-    """The three loads of a monthly refresh, with one REFRESH_DATE."""
-    refreshed = refreshed or dt.datetime.combine(as_of, dt.time())
-    write_month(out["topics"], root, TOPICS, as_of, refreshed)
-    write_month(out["tobacco"], root, TOBACCO, as_of, refreshed)
-    write_month(out["goals_numbered"], root, GOALS, as_of, refreshed)
 
+def publish(spark: SparkSession, root: str, as_of: dt.date, run: str) -> None:
+    """One small record, written last, makes a run's tables the month's tables.
 
-def latest_month(spark: SparkSession, root: str, table: str) -> str | None:
-    months = (spark.read.schema(OUTPUT_SCHEMAS[table]).parquet(f"{root}/{table}")
-              .agg(F.max(MONTH_COL)).first())
-    return months[0] if months else None
+    All tables of a month are read through the same record, so they are from
+    one run; a run that fails before this leaves the month as it was."""
+    record = spark.createDataFrame([(report_month(as_of), run, time.time_ns())], RECORD_SCHEMA)
+    record.coalesce(1).write.mode("append").parquet(f"{root}/{RECORDS}")
 
 
-def read_snapshots(spark: SparkSession, root: str, table: str,
-                   month: str | None = "latest") -> DataFrame:
-    """A snapshot table read with its schema (REPORT_MONTH stays a string).
-    ``month='latest'`` (default) keeps the newest month, a 'yyyyMM' string
-    keeps that month (partition pruning), ``None`` reads every month."""
-    df = spark.read.schema(OUTPUT_SCHEMAS[table]).parquet(f"{root}/{table}")
+def new_run(as_of: dt.date) -> str:
+    return f"{report_month(as_of)}-{uuid.uuid4().hex}"
+
+
+def load_month(spark: SparkSession, tables: dict[str, DataFrame], root: str, as_of: dt.date,
+               refreshed: dt.datetime | None = None) -> str:
+    """Replace the month's rows of the given tables, all at once; returns the run."""
+    run = new_run(as_of)
+    write_run(tables, root, as_of, run, refreshed)
+    publish(spark, root, as_of, run)
+    return run
+
+
+def published_runs(spark: SparkSession, root: str) -> dict[str, str]:
+    """Month -> the run published last for it, from the records alone (one row a load)."""
+    records = spark.read.schema(RECORD_SCHEMA).parquet(f"{root}/{RECORDS}")
+    rows = records.groupBy(MONTH_COL).agg(F.max_by("RUN", "PUBLISHED_AT").alias("RUN")).collect()
+    return {r[MONTH_COL]: r["RUN"] for r in sorted(rows)}
+
+
+def _run_path(root: str, run: str, table: str) -> str:
+    return f"{root}/{RUNS}/{run}/{table}"
+
+
+def read_run(spark: SparkSession, root: str, run: str, table: str) -> DataFrame:
+    return spark.read.schema(OUTPUT_SCHEMAS[table]).parquet(_run_path(root, run, table))
+
+
+def read_snapshots(spark: SparkSession, root: str, month: str | None = "latest",
+                   tables: Sequence[str] = (TOPICS, TOBACCO, GOALS)) -> dict[str, DataFrame]:
+    """The snapshot tables of one month, or of every month (``month=None``).
+
+    The month is resolved once for all tables: ``'latest'`` is the newest month
+    that was loaded, also where a table of it is empty. A month that was never
+    loaded reads as empty."""
+    runs = published_runs(spark, root)
     if month == "latest":
-        month = latest_month(spark, root, table)
-    if month is not None:
-        df = df.filter(F.col(MONTH_COL) == month)
-    return df
+        month = max(runs, default="")
+    chosen = [run for m, run in runs.items() if month is None or m == month]
+    out = {}
+    for table in tables:
+        schema = OUTPUT_SCHEMAS[table]
+        paths = [_run_path(root, run, table) for run in chosen]
+        out[table] = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return out
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
