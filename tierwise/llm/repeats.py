@@ -10,14 +10,17 @@ consecutive windows with one anchor position form a stretch of at most
 hold equal windows. Stretches are about 2 / (window - gram + 2) of the units.
 
 1. Scan: one small row for each stretch (anchor hash, content hash, place).
-2. Anchors that occur once drop out. Equal stretches collapse to their first
-   occurrence, by partial sums before any shuffle, so that a passage in a third
-   of all texts costs one row for each task; all others are covered whole.
-3. Distinct stretches under one anchor are cut from the texts of their first
+   Within a chunk of texts, equal stretches collapse to the first; the others
+   are covered whole and need no comparison, so that a passage in a third of
+   all texts sends one row for each chunk to its anchor.
+2. Anchors that occur in one place drop out, in the one shuffle of all rows.
+   Equal stretches left are covered whole but for the first occurrence.
+3. Distinct stretches under one anchor that agree on one side of it are cut from the texts of their first
    occurrences and dealt by anchor to groups that fit in memory; an anchor with
    very many of them is dealt by further anchors of longer grams as well. The
    resolver marks the windows that have an earlier copy in the group.
-4. Marked windows go back to the texts as ranges.
+4. Marked windows go back to the texts as ranges; texts without any are not
+   shuffled.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tierwise.llm.marks import keep_marked, mark_table
 from tierwise.llm.scratch import Scratch
@@ -100,7 +104,47 @@ def range_hashes(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarr
     return mix((sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(np.uint64))
 
 
-SCAN = "key long, ctx long, doc long, rid long, lo int, hi int"
+#: span packs lo, hi - lo, and SIDE_BITS of a hash of what lies left and right of the anchor;
+#: odd spans are covered for sure, from span div 2 up to ctx.
+SCAN = "key long, ctx long, doc long, rid long, span long"
+SIDE_BITS = 12
+_SIDE = 1 << SIDE_BITS
+_WIDTH = 1 << 7
+
+
+def anchors_of(grams: np.ndarray, key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The anchor's position in each stretch: the first gram at or after its last window's start."""
+    place = hi.copy()
+    live = np.flatnonzero(grams[place] != key)
+    while len(live):
+        place[live] += 1
+        live = live[grams[place[live]] != key[live]]
+    return place
+
+
+def _sides(units: Units, values: np.ndarray, first: np.ndarray, row: np.ndarray,
+           anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the units left and right of each anchor, half a window's rest on either side.
+
+    Equal windows agree on one of the two sides, whatever the anchor's offset.
+    """
+    half = -(-(units.window - units.gram) // 2)
+    end = anchor + units.gram
+    left = range_hashes(values, np.maximum(anchor - half, first[row]), anchor)
+    right = range_hashes(values, end, np.minimum(end + half, first[row + 1]))
+    return left >> np.uint64(64 - SIDE_BITS), right >> np.uint64(64 - SIDE_BITS)
+
+
+def _merged(rid: np.ndarray, lo: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First row, start and end of the joint ranges of overlapping ones; rows sorted by (rid, lo)."""
+    if not len(rid):
+        return np.zeros(0, np.int64), lo, end
+    group = np.cumsum(np.append(True, rid[1:] != rid[:-1])) - 1
+    wide = int(end.max()) + 2
+    reach = np.maximum.accumulate(end + group * wide) - group * wide
+    fresh = np.append(True, (group[1:] != group[:-1]) | (lo[1:] > reach[:-1]))
+    heads = np.flatnonzero(fresh)
+    return heads, lo[heads], reach[np.append(heads[1:], len(lo)) - 1]
 
 
 def _scan(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -108,21 +152,38 @@ def _scan(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         for batch in batches:
             for part, data, offs in chunks(batch, "text"):
                 values, first = units.split(data, offs)
-                lo, hi, key = stretches(units.grams(values, units.gram), first, units.window, units.gram)
+                grams = units.grams(values, units.gram)
+                lo, hi, key = stretches(grams, first, units.window, units.gram)
                 row = np.searchsorted(first, lo, "right") - 1
                 ctx = range_hashes(values, lo, hi + units.window)
-                doc = part.column(0).to_numpy(zero_copy_only=False)
-                rid = part.column(1).to_numpy(zero_copy_only=False)
-                yield pa.record_batch([
-                    pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)),
-                    pa.array(doc[row].astype(np.int64)), pa.array(rid[row].astype(np.int64)),
-                    pa.array((lo - first[row]).astype(np.int32)),
-                    pa.array((hi - first[row]).astype(np.int32))],
-                    names=["key", "ctx", *PLACE, "hi"])
+                left, right = _sides(units, values, first, row, anchors_of(grams, key, lo, hi))
+                doc = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[row]
+                rid = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)[row]
+                lo, hi = lo - first[row], hi - first[row]
+                order = np.lexsort((lo, rid, doc, ctx, key))
+                key, ctx, doc, rid, lo, hi, left, right = (
+                    x[order] for x in (key, ctx, doc, rid, lo, hi, left, right))
+                fresh = np.append(True, (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1]))[:len(key)]
+                head = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+                sure = doc > doc[head]
+                if not units.across:
+                    sure |= (doc == doc[head]) & ((rid != rid[head]) | (lo > lo[head]))
+                span = (((lo * _WIDTH + (hi - lo)) * _SIDE + left.astype(np.int64)) * _SIDE
+                        + right.astype(np.int64)) * 2
+                at = np.flatnonzero(sure)
+                at = at[np.lexsort((lo[at], rid[at]))]
+                heads, begin, end = _merged(rid[at], lo[at], hi[at] + units.window)
+                own = at[heads]
+                open_ = ~sure
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in (
+                    # what is covered for sure needs no anchor and is dealt anywhere
+                    (key[open_].view(np.int64), mix(rid[own].view(np.uint64) + begin.astype(np.uint64)).view(np.int64)),
+                    (ctx[open_].view(np.int64), end), (doc[open_], doc[own]), (rid[open_], rid[own]),
+                    (span[open_], begin * 2 + 1))], names=["key", "ctx", "doc", "rid", "span"])
     return run
 
 
-CUT = "gkey long, key long, ctx long, rel int, doc long, rid long, lo int, units binary"
+CUT = "gkey long, doc long, rid long, lo int, units binary"
 
 
 def _cut(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -136,19 +197,17 @@ def _cut(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 for k, wanted in enumerate(part.column(part.schema.get_field_index("wanted")).to_pylist()):
                     for w in wanted:
                         lo, end = first[k] + w["lo"], first[k] + w["hi"] + units.window
-                        place = (w["doc"], w["rid"], w["lo"])
                         if not w["wide"]:
-                            rows.append((w["key"], w["key"], w["ctx"], 0, *place, values[lo:end].tobytes()))
+                            rows.append((w["key"], w["doc"], w["rid"], w["lo"], values[lo:end].tobytes()))
                             continue
                         for rel, to, deeper in _deeper(units, values[lo:end], w["key"]):
-                            rows.append((deeper, w["key"], w["ctx"], rel, *place,
+                            rows.append((deeper, w["doc"], w["rid"], w["lo"] + rel,
                                          values[lo + rel:lo + to + units.window].tobytes()))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), (
-                            pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(),
-                            pa.int32(), pa.binary()))],
-                        names=["gkey", "key", "ctx", "rel", *PLACE, "units"])
+                            pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                        names=["gkey", *PLACE, "units"])
     return run
 
 
@@ -166,13 +225,13 @@ def _deeper(units: Units, values: np.ndarray, key: int) -> Iterator[tuple[int, i
         yield int(lo), int(end) - 1, int(group[lo:lo + 1].view(np.int64)[0])
 
 
-RESOLVED = "key long, ctx long, a int, b int"
+RESOLVED = "rid long, s int, e int"
 
 
 def _resolve(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows sorted by group -> ranges [a, b) of windows of a stretch that have an earlier copy."""
+    """Rows sorted by group -> ranges of a text that windows with an earlier copy cover."""
     def marked(rows: list[dict]) -> pa.RecordBatch | None:
-        rows.sort(key=lambda r: (r["doc"], r["rid"], r["lo"], r["rel"]))
+        rows.sort(key=lambda r: (r["doc"], r["rid"], r["lo"]))
         parts = [np.frombuffer(r["units"], units.dtype) for r in rows]
         offs = np.zeros(len(parts) + 1, np.int64)
         np.cumsum([len(p) for p in parts], out=offs[1:])
@@ -182,12 +241,11 @@ def _resolve(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         if not len(begins):
             return None
         owner = np.searchsorted(offs, begins, "right") - 1
-        rel = np.array([r["rel"] for r in rows], np.int64)[owner] - offs[owner]
+        shift = np.array([r["lo"] for r in rows], np.int64)[owner] - offs[owner]
         return pa.record_batch([
-            pa.array(np.array([r["key"] for r in rows], np.int64)[owner]),
-            pa.array(np.array([r["ctx"] for r in rows], np.int64)[owner]),
-            pa.array((begins + rel).astype(np.int32)), pa.array((ends + rel).astype(np.int32))],
-            names=["key", "ctx", "a", "b"])
+            pa.array(np.array([r["rid"] for r in rows], np.int64)[owner]),
+            pa.array((begins + shift).astype(np.int32)),
+            pa.array((ends - 1 + units.window + shift).astype(np.int32))], names=["rid", "s", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -227,36 +285,54 @@ def with_row_ids(docs: DataFrame) -> DataFrame:
 
 def covered_ranges(spark: SparkSession, rows: DataFrame, units: Units, scratch: Scratch) -> DataFrame:
     """(rid, ranges): the covered stretches [s, e) of each text that has any, in units."""
-    seen = scratch.save(rows.select("doc", "rid", "text").mapInArrow(_scan(units), SCAN), "stretches")
-    place = F.struct("doc") if units.across else F.struct(*PLACE)
-    anchors = (seen.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-               .where("low < high").select("key"))
-    repeated = scratch.save(seen.join(anchors, "key"), "repeated")
-    firsts = scratch.save(repeated.groupBy("key", "ctx").agg(
-        F.min(F.struct(*PLACE, "hi")).alias("first")), "firsts")
-
-    many = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    seen = rows.select("doc", "rid", "text").mapInArrow(_scan(units), SCAN)
+    side = 2 * _SIDE
+    # dealt by anchor once, as narrow rows; all windows below are within one anchor
+    seen = seen.repartition("key").selectExpr(
+        "key", "ctx", "doc", "rid", "span", "span % 2 = 1 as sure",
+        f"int((span div {side}) % {_SIDE}) as left", f"int((span div 2) % {_SIDE}) as right")
+    place = F.col("doc") if units.across else F.struct("doc", "rid", "span")
+    first = F.min(place).over(Window.partitionBy("key", "ctx"))
+    places = ["doc"] if units.across else ["rid", "span"]
+    ends = [f(name).over(Window.partitionBy("key")).alias(f"{end}_{name}")
+            for name in places for end, f in (("low", F.min), ("high", F.max))]
+    several = " or ".join(f"low_{name} < high_{name}" for name in places)
+    placed = (seen.select("*", (place > first).alias("later"), *ends).where(f"sure or {several}")
+              .select("key", "ctx", "doc", "rid", "span", "sure", "later", "left", "right",
+                      F.expr("int(not sure and not later)").alias("own")))
+    # stretches of one anchor are compared where they agree with another on one side of it
+    counts = [F.sum("own").over(Window.partitionBy("key", *by)).alias(name)
+              for name, by in (("n", []), ("n_left", ["left"]), ("n_right", ["right"]))]
+    kept = scratch.save(
+        placed.select("*", *counts).where("sure or later or n_left > 1 or n_right > 1")
+        .selectExpr("key", "ctx", "doc", "rid", "sure or later as whole", f"n > {WIDE_ANCHOR} as wide",
+                    f"int(if(sure, span div 2, span div {side * _SIDE * _WIDTH})) as lo",
+                    f"int(if(sure, ctx - {units.window}, span div {side * _SIDE * _WIDTH}"
+                    f" + (span div {side * _SIDE}) % {_WIDTH})) as hi"), "repeated")
+    whole = kept.where("whole").select(
+        "rid", F.struct(F.col("lo").alias("s"), (F.col("hi") + units.window).alias("e")).alias("r"))
+
     wanted = scratch.save(
-        firsts.join(many, "key").select("key", "ctx", "first.*", (F.col("n") > WIDE_ANCHOR).alias("wide"))
-        .groupBy("rid").agg(F.collect_list(F.struct("key", "ctx", "doc", "rid", "lo", "hi", "wide"))
-                            .alias("wanted")), "wanted")
+        kept.where("not whole").groupBy("rid")
+        .agg(F.collect_set(F.struct("key", "ctx", "doc", "rid", "lo", "hi", "wide")).alias("wanted")), "wanted")
     marks = spark.sparkContext.broadcast(mark_table(wanted.select("rid")))
     texts = (rows.select("rid", "text").mapInArrow(keep_marked(marks), "rid long, text string")
              .dropDuplicates(["rid"]).join(wanted, "rid"))
     cut = (texts.mapInArrow(_cut(units), CUT).repartition("gkey")
            .sortWithinPartitions("gkey"))
-    inner = (cut.mapInArrow(_resolve(units), RESOLVED).groupBy("key", "ctx")
-             .agg(F.collect_list(F.struct("a", "b")).alias("parts")))
-
-    later = F.col("doc") > F.col("first.doc")
-    if not units.across:
-        later = F.struct(*PLACE) > F.struct("first.doc", "first.rid", "first.lo")
-    whole = F.array(F.struct(F.col("lo").alias("s"), (F.col("hi") + units.window).alias("e")))
-    some = F.transform("parts", lambda p: F.struct((F.col("lo") + p["a"]).alias("s"),
-                                                   (F.col("lo") + p["b"] - 1 + units.window).alias("e")))
-    return (repeated.join(firsts, ["key", "ctx"]).join(inner, ["key", "ctx"], "left")
-            .select("rid", F.explode(F.when(later, whole).otherwise(some)).alias("r"))
-            .groupBy("rid").agg(F.collect_set("r").alias("ranges")))
+    inner = cut.mapInArrow(_resolve(units), RESOLVED).select("rid", F.struct("s", "e").alias("r"))
+    return whole.union(inner).groupBy("rid").agg(F.collect_set("r").alias("ranges"))
+
+
+def with_ranges(spark: SparkSession, rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(doc_id, text, ranges) of every row; only texts that may have ranges are shuffled."""
+    schema = "rid long, doc_id long, text string"
+    texts = rows.select("rid", "doc_id", "text")
+    marks = spark.sparkContext.broadcast(mark_table(ranges.select("rid")))
+    some = texts.mapInArrow(keep_marked(marks), schema).join(ranges, "rid", "left").drop("rid")
+    none = texts.mapInArrow(keep_marked(marks, False), schema) \
+        .select("doc_id", "text", F.lit(None).cast("array<struct<s: int, e: int>>").alias("ranges"))
+    return some.select("doc_id", "text", "ranges").union(none)
 
 
 def removed_units(count: int, ranges: list[dict] | None) -> tuple[np.ndarray, list[tuple[int, int]]]:

@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwise.llm.repeats import (Units, covered_ranges, first_in_class, removed_units,
-                                  with_row_ids)
+                                  with_ranges, with_row_ids)
 from tierwise.llm.scratch import Scratch
 from tierwise.llm.text import chunks, sequence_hashes, word_hashes, words
 
 WINDOW_WORDS = 50
-GRAM_WORDS = 4
+GRAM_WORDS = 6
 
 
 def _split(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,6 +98,6 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """doc_id, n_words, removed (runs of word positions) and kept (words joined by one space)."""
     rows = with_row_ids(docs)
-    ranges = covered_ranges(spark, rows, word_units(window), Scratch(spark, "substring-dedup"))
-    return (rows.join(ranges, "rid", "left").select("doc_id", "text", "ranges")
-            .mapInArrow(_keep, KEPT))
+    scratch = Scratch(spark, "substring-dedup")
+    ranges = scratch.save(covered_ranges(spark, rows, word_units(window), scratch), "ranges")
+    return with_ranges(spark, rows, ranges).mapInArrow(_keep, KEPT)

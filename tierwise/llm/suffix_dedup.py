@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwise.llm.repeats import (Units, covered_ranges, first_in_class, removed_units,
-                                  with_row_ids)
+                                  with_ranges, with_row_ids)
 from tierwise.llm.scratch import Scratch
 from tierwise.llm.text import BYTE_HASH, chunks, mix
 
 WINDOW_BYTES = 100
-GRAM_BYTES = 16
+GRAM_BYTES = 32
 
 
 def _split(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,6 +187,6 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW_BYTES) -> DataFrame:
     """doc_id, n_bytes, removed (runs of byte positions) and kept (the remaining bytes)."""
     rows = with_row_ids(docs)
-    ranges = covered_ranges(spark, rows, byte_units(window), Scratch(spark, "suffix-dedup"))
-    return (rows.join(ranges, "rid", "left").select("doc_id", "text", "ranges")
-            .mapInArrow(_keep, KEPT))
+    scratch = Scratch(spark, "suffix-dedup")
+    ranges = scratch.save(covered_ranges(spark, rows, byte_units(window), scratch), "ranges")
+    return with_ranges(spark, rows, ranges).mapInArrow(_keep, KEPT)
