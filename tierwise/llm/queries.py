@@ -12,6 +12,7 @@ from tierwise.llm.decontam import benchmark_matches
 from tierwise.llm.html_extract import extract_text, train_extractor
 from tierwise.llm.licenses import license_finds, train_licenses
 from tierwise.llm.ngram_join import ngram_jaccard_join
+from tierwise.llm.oracle import ORACLE
 from tierwise.llm.packing import pack_documents
 from tierwise.llm.pii import pii_report, train_pii
 from tierwise.llm.quality import quality_rules, trusted_ids
@@ -113,4 +114,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that SQL can express; the tests hold the others against brute force."""
+    return dict(ORACLE)
