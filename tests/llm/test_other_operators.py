@@ -243,6 +243,34 @@ def test_trees_add_secrets_and_redaction_hides_them(spark):
         1: 'see token = "[SECRET]" there, or [EMAIL]', 2: "nothing here", 3: None, 4: "call [PHONE] now"}
 
 
+def test_threshold_accepts_whole_score_groups_only():
+    assert pii.lowest_score([(2.0, 1)] * 200 + [(-1.5, 0)] * 5000, 0.95) == 2.0
+    assert pii.lowest_score([(2.0, 1)] * 95 + [(2.0, 0)] * 5 + [(1.0, 0)], 0.95) == 2.0
+    assert pii.lowest_score([(2.0, 0)] * 2 + [(2.0, 1)], 0.95) == pii.lowest_score([], 0.95) == float("inf")
+
+
+def test_base_spans_do_not_pad_the_threshold(spark):
+    # one wrong candidate for each right base span, and none that is right without a rule
+    rows = [(i, f"mail u{i}@b.co now\nsee abcdefghijklmnopqrst{i}") for i in range(400)]
+    model = pii.train_pii(cases.frame(spark, rows))
+    assert model.threshold == float("inf")
+
+
+def test_trees_learn_local_phones_and_masked_emails(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        number = f"({rng.randint(100, 999)}) {rng.randint(100, 999)}-{rng.randint(1000, 9999)}"
+        name, site = rng.choice(["jo", "ann.lee", "x", "christopher7"]), rng.choice(["web", "my-site", "example"])
+        rows.append((i, rng.choice([f"call {number} today", f"see figure {number} of it", f"{name} [at] {site} [dot] org",
+                                    f"version {i} [at] 12.{i}", f"u{i}@b.co", f"code {rng.randint(1000, 99999)} of it"])))
+    model = pii.train_pii(cases.frame(spark, rows))
+    got = {r.doc_id: r.spans for r in pii.pii_report(cases.frame(spark, [
+        (1, "call (017) 555-7713 today"), (2, "see figure (017) 555-7713 of it"), (3, "jo [at] web [dot] net"),
+        (4, "version 2 [at] 12.3"), (5, "code 12345 of it")]), model).collect()}
+    assert got == {1: "local_phone:5:19", 2: "", 3: "masked_email:0:21", 4: "", 5: ""}
+
+
 def test_training_without_candidates_adds_nothing(spark):
     assert pii.train_pii(cases.frame(spark, [(1, "no data"), (2, None)])).trees is None
     assert pii.train_pii(cases.frame(spark, [])).trees is None
