@@ -14,7 +14,7 @@ from tierwise.llm import html_extract, licenses, pii, warc
 from tierwise.llm.decontam import (Matcher, benchmark_matches, best_match, drop_contaminated,
                                    error_budget, normalized, pattern_masks, pieces)
 from tierwise.llm.dom import decode, features, kept_text, parse
-from tierwise.llm.packing import END_ID, assign, crc, pack_documents
+from tierwise.llm.packing import END_ID, assign, crc, pack_documents, token_ids
 from tierwise.llm.scratch import Scratch
 from tierwise.llm.trees import Boosted, Split
 
@@ -107,6 +107,15 @@ def test_packing_of_repeated_null_and_no_rows(spark):
     assert pack_documents(cases.frame(spark, []), RANKS).count() == 0
 
 
+def test_ids_of_more_than_a_million_blanks():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    run = " \n" * 600_000
+    for text in (run, "a" + run + "b", run + " .", "a" + run + "\n<|endoftext|>b" + run + "\u3000" + "c" + run,
+                 "x\x1c" + run + "\x1cy", " " * 70_000 + "1", "\xa0" * 70_000 + "'s"):
+        want = tokenizer.encode(text, add_special_tokens=False).ids + [END_ID]
+        assert token_ids(RANKS, text).tolist() == want
+
+
 def test_assignment_balances_cost():
     lengths = sorted((random.Random(1).randint(1, 900) for _ in range(200)), reverse=True)
     placed = assign(lengths, 2048)

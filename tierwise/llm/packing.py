@@ -19,6 +19,7 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -36,8 +37,13 @@ BLOCK_DOCS = 8192
 LINEAR = 2048
 
 #: Fixed values of the vocabulary: how it splits text, and its special token.
-SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 SPECIAL = {"<|endoftext|>": 50256}
+#: Longest run of white space that the pattern's look-ahead is left to step back through; the
+#: class is that of the pattern's \s.
+LONG_RUN = 1 << 16
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG = re.compile(f"(?<!{_SPACE}){_SPACE}{{{LONG_RUN},}}+")
 
 TOKENS_SCHEMA = "doc_id long, doc_tokens long, all_crc long, full_crcs array<long>, tail binary"
 PIECES_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -53,9 +59,23 @@ def encoder(path: str) -> tiktoken.Encoding:
                              special_tokens=SPECIAL)
 
 
+def _parts(text: str) -> Iterator[str]:
+    """A text cut inside its long runs of white space, where the pattern splits it anyway.
+
+    A run's last character goes with what follows, unless that is a special token.
+    """
+    at = 0
+    for m in _LONG.finditer(text) if len(text) > LONG_RUN else ():
+        end = m.end() if text.startswith(tuple(SPECIAL), m.end()) else m.end() - 1
+        if m.end() < len(text):
+            yield text[at:end]
+            at = end
+    yield text[at:]
+
+
 def token_ids(path: str, text: str | None) -> np.ndarray:
     """Ids of a text and the end id, as unsigned 32-bit little-endian numbers."""
-    ids = encoder(path).encode(text or "", allowed_special="all")
+    ids = [i for part in _parts(text or "") for i in encoder(path).encode(part, allowed_special="all")]
     ids.append(END_ID)
     return np.array(ids, "<u4")
 
