@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -308,6 +309,22 @@ def test_licence_families_and_unknown_paragraphs(spark):
     assert licenses.license_finds(spark, cases.frame(spark, []), model).count() == 0
 
 
+def test_wrapped_licence_texts_and_two_families(spark):
+    rng = random.Random(9)
+    model = licenses.fit_licenses([cases.prose(rng, rng.randint(3, 60)) for _ in range(400)])
+
+    def wrapped(family, k, mark):
+        return "\n".join(mark + line for line in textwrap.wrap(licenses.TEMPLATES[family][k], 60))
+
+    rows = [(1, "/*\n" + wrapped("MIT", 3, " * ") + "\n */\nint x;"), (2, wrapped("BSD", 2, "")),
+            (3, "intro\n\n" + wrapped("GPL", 1, "# ") + "\n\nmore"),
+            (4, "Released under the MIT License. Licensed under the Apache License, Version 2.0."),
+            (5, "\n".join(cases.prose(rng, 9) for _ in range(60)))]
+    got = {(r.doc_id, r.paragraph, r.family) for r in
+           licenses.license_finds(spark, cases.frame(spark, rows), model).collect()}
+    assert got == {(1, 1, "MIT"), (2, 0, "BSD"), (3, 2, "GPL"), (4, 0, "MIT"), (4, 0, "Apache")}
+
+
 # pipeline
 
 def test_every_stage_equals_its_operator(spark):

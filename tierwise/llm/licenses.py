@@ -1,12 +1,16 @@
 """License scans: a trained paragraph classifier whose finds a template must confirm.
 
-A paragraph is a line, or a stretch of 80 words (40 further on each time) of a
-longer one. Its words are runs of letters and digits, in lower case, digits
+A paragraph is a line, or a run of lines that all hold words (so that hard-wrapped
+texts are seen whole; comment marks are no words), or a stretch of 80 words (40
+further on each time) of a longer one. Its words are runs of letters and digits, in lower case, digits
 alike. Sparse 1- to 3-grams of words, hashed to slots, feed a multinomial
 logistic regression over the licence families and an ``unknown`` class; only
 n-grams of licence texts have weights. A family's probability must reach a
 threshold calibrated on held-out paragraphs, and the paragraph must hold a
-large enough share of the n-grams of one of the family's templates.
+large enough share of the n-grams of one of the family's templates. Of several
+families the most alike is taken, and what its template explains is set aside
+before the rest is asked again. A run of lines does not repeat a family that one
+of its lines gives.
 
 Training uses the templates in many variants, and as unknown paragraphs a
 bounded sample of the documents' own and mixtures of licence words.
@@ -111,10 +115,19 @@ FINDS = ("doc_id long, paragraph int, first_word int, family string, probability
 
 
 def _paragraphs(text: str) -> list[str]:
-    """Lines of a text, longer ones in overlapping stretches."""
+    """Lines of a text and runs of several lines, longer ones in overlapping stretches."""
+    lines = text.split("\n")
+    runs, run = [], []
+    for line in [*lines, ""]:
+        if any(c.isalnum() or c > "\x7f" for c in line):
+            run.append(line)
+            continue
+        if len(run) > 1:
+            runs.append(" ".join(run))
+        run = []
     out = []
-    for line in text.split("\n"):
-        parts = line.split()
+    for paragraph in lines + runs:
+        parts = paragraph.split()
         out += [" ".join(parts[k:k + STRETCH]) for k in range(0, max(1, len(parts) - STEP), STEP)] if parts else []
     return out
 
@@ -147,6 +160,11 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _against_unknown(chance: np.ndarray) -> np.ndarray:
+    """Each family's probability where it or the unknown class is the only choice."""
+    return chance[:, :-1] / (chance[:, :-1] + chance[:, -1:] + 1e-300)
+
+
 def _fit(rows: np.ndarray, labels: np.ndarray, classes: int, steps: int = 300,
          rate: float = 0.5, decay: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression by gradient steps with momentum."""
@@ -203,7 +221,7 @@ def fit_licenses(paragraphs: list[str]) -> LicenseModel:
     w, b = _fit(rows[~held], labels[~held], len(FAMILIES) + 1)
     chance = _softmax(rows[held] @ w + b)
     best = chance[:, :-1].argmax(axis=1)
-    score = chance[np.arange(len(best)), best]
+    score = _against_unknown(chance)[np.arange(len(best)), best]
     order = np.argsort(-score, kind="stable")
     right = np.cumsum((best == labels[held])[order]) >= PRECISION * np.arange(1, len(order) + 1)
     threshold = float(score[order][np.flatnonzero(right)[-1]]) if right.any() else 1.0
@@ -222,21 +240,73 @@ def train_licenses(docs: DataFrame) -> LicenseModel:
     return fit_licenses(found[:SAMPLE_PARAGRAPHS])
 
 
-def _stretches(data: np.ndarray, starts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, line, first word in the row, begin, end) of every paragraph, in words of the chunk."""
+def _stretches(data: np.ndarray, starts: np.ndarray, first: np.ndarray,
+               runs: bool = False) -> tuple[np.ndarray, ...]:
+    """(row, line, first word in the row, begin, end) of every paragraph, in words of the chunk.
+
+    Paragraphs are lines, or with ``runs`` the runs of more than one line that all hold words.
+    """
     line_of = np.searchsorted(np.flatnonzero(data == 10), starts)
     row_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    fresh = np.append(True, (line_of[1:] != line_of[:-1]) | (row_of[1:] != row_of[:-1]))
+    step_to = np.diff(line_of)
+    fresh = np.append(True, ((step_to > 1) if runs else (step_to > 0)) | (row_of[1:] != row_of[:-1]))
     begin = np.flatnonzero(fresh)
     size = np.diff(np.append(begin, len(starts)))
-    # a line of more than STRETCH words becomes several stretches
+    if runs:
+        several = line_of[begin] < line_of[begin + size - 1]
+        begin, size = begin[several], size[several]
+    # a paragraph of more than STRETCH words becomes several stretches
     count = np.maximum(1, -(-(size - STEP) // STEP))
     which = np.repeat(np.arange(len(begin)), count)
     step = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
     a = begin[which] + STEP * step
     b = np.minimum(a + STRETCH, (begin + size)[which])
     row = row_of[begin][which]
-    return row, line_of[begin][which], a - first[row], a, b
+    return row, line_of[a] if runs else line_of[begin][which], a - first[row], a, b
+
+
+def _families(m: LicenseModel, own: np.ndarray) -> Iterator[tuple[int, float, int, float]]:
+    """(family, probability, template, similarity) of every family that the words of a paragraph hold."""
+    grams = [(n, _slots(own, n)) for n in GRAMS if len(own) >= n]
+    free, given = np.ones(len(own), bool), set()
+    while True:
+        # the n-grams of words that no family found so far explains
+        left = [s[np.lib.stride_tricks.sliding_window_view(free, n).all(axis=1)] for n, s in grams]
+        score = m.bias + m.weights[m.row_of[np.concatenate(left)]].sum(axis=0)
+        chance = _against_unknown(_softmax(score[None]))[0]
+        found = {int(x) for s in left for x in s}
+        best = max(((similarity(found, t), chance[k], -k, -i) for k in np.flatnonzero(chance >= m.threshold)
+                    for i, t in enumerate(m.templates[k])), default=(0.0,))
+        if best[0] < CONFIRM:
+            return
+        alike, probability, k, top = best[0], best[1], int(-best[2]), -best[3]
+        if k not in given:
+            yield k, float(probability), top, alike
+        given.add(k)
+        before = free.copy()
+        for n, s in grams:
+            if n == GRAMS[-1]:  # shorter ones are shared by many notices
+                for at in np.flatnonzero(np.isin(s, list(m.templates[k][top]))):
+                    free[at:at + n] = False
+        if (free == before).all():
+            return
+
+
+def _likely(m: LicenseModel, hashed: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which stretches of words some family is likely for."""
+    scores = np.tile(m.bias, (len(a), 1))
+    for n in GRAMS:
+        weight_row = m.row_of[_slots(hashed, n)] if len(hashed) >= n else np.zeros(0, np.int32)
+        at = np.flatnonzero(weight_row)
+        # stretches overlap: a word lies in at most two of them
+        last = np.searchsorted(a, at, "right") - 1
+        for back in (0, 1):
+            owner = last - back
+            inside = owner >= 0
+            inside[inside] = at[inside] + n <= b[owner[inside]]
+            for c in range(scores.shape[1]):
+                scores[:, c] += np.bincount(owner[inside], m.weights[weight_row[at[inside]], c], minlength=len(a))
+    return (_against_unknown(_softmax(scores)) >= m.threshold).any(axis=1)
 
 
 def _scan(model: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -252,34 +322,19 @@ def _scan(model: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 if not len(starts):
                     continue
                 hashed = word_hashes(plain, starts, ends)
-                row, line, place, a, b = _stretches(data, starts, first)
                 lines_before = np.searchsorted(np.flatnonzero(data == 10), offs[:-1])
-                scores = np.tile(m.bias, (len(a), 1))
-                for n in GRAMS:
-                    weight_row = m.row_of[_slots(hashed, n)] if len(hashed) >= n else np.zeros(0, np.int32)
-                    at = np.flatnonzero(weight_row)
-                    # stretches overlap: a word lies in at most two of them
-                    last = np.searchsorted(a, at, "right") - 1
-                    for back in (0, 1):
-                        owner = last - back
-                        inside = owner >= 0
-                        inside[inside] = at[inside] + n <= b[owner[inside]]
-                        for c in range(scores.shape[1]):
-                            scores[:, c] += np.bincount(owner[inside], m.weights[weight_row[at[inside]], c],
-                                                        minlength=len(a))
-                chance = _softmax(scores)
-                best = chance[:, :-1].argmax(axis=1)
-                score = chance[np.arange(len(a)), best]
-                rows = []
-                for k in np.flatnonzero(score >= m.threshold):
-                    own = hashed[a[k]:b[k]]
-                    found = {int(s) for n in GRAMS if len(own) >= n for s in _slots(own, n)}
-                    alike = [similarity(found, t) for t in m.templates[best[k]]]
-                    top = int(np.argmax(alike))
-                    if alike[top] >= CONFIRM:
-                        rows.append((part.column(0)[int(row[k])].as_py(), int(line[k] - lines_before[row[k]]),
-                                     int(place[k]), FAMILIES[best[k]], round(float(score[k]), 4), top,
-                                     round(alike[top], 4)))
+                rows, given = [], []
+                for runs in (False, True):
+                    row, line, place, a, b = _stretches(data, starts, first, runs)
+                    earlier = [*given]
+                    for k in np.flatnonzero(_likely(m, hashed, a, b)):
+                        for family, probability, top, alike in _families(m, hashed[a[k]:b[k]]):
+                            if any(f == family and x < b[k] and y > a[k] for f, x, y in earlier if runs):
+                                continue
+                            given.append((family, a[k], b[k]))
+                            rows.append((part.column(0)[int(row[k])].as_py(), int(line[k] - lines_before[row[k]]),
+                                         int(place[k]), FAMILIES[family], round(probability, 4), top,
+                                         round(alike, 4)))
                 if rows:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
     return run
@@ -288,8 +343,8 @@ def _scan(model: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 def license_finds(spark: SparkSession, docs: DataFrame, model: LicenseModel) -> DataFrame:
     """One row for each paragraph that is a licence notice or text.
 
-    paragraph counts lines from 0, first_word words in the document; template is
-    the number of the family's most similar template.
+    paragraph is the line, from 0, where the paragraph or its stretch begins, first_word
+    its first word in the document; template is the number of the most similar template.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
