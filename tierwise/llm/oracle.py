@@ -49,4 +49,35 @@ SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
   CASE WHEN page_id <> f THEN f END AS refers_to
 FROM d"""
 
-ORACLE = {"op1_ngram_jaccard_join": OP1, "op3_substring_dedup": OP3, "op7_warc": OP7}
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+c AS (SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a,
+    CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(u[1:least(a, b)], '') AS pre,
+    array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS mid, array_to_string(u[greatest(a, b) + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p"""
+
+OP13 = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+g AS (SELECT vec_id, e FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM g a JOIN g b ON a.vec_id < b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(vec_id, c) AS (SELECT x, x FROM e UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.vec_id),
+n AS (SELECT x AS vec_id, count(*) AS c FROM e GROUP BY x),
+m AS (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id)
+SELECT v.vec_id, coalesce(n.c, 0) AS n_links, coalesce(m.c, v.vec_id) AS component_id,
+  coalesce(m.c, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN n USING (vec_id) LEFT JOIN m USING (vec_id)"""
+
+ORACLE = {"op1_ngram_jaccard_join": OP1, "op3_substring_dedup": OP3, "op7_warc": OP7,
+          "op12_fill_in_middle": OP12, "op13_embedding_near_dedup": OP13}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwise.llm.decontam import benchmark_matches
+from tierwise.llm.fim import fill_in_middle, restored
 from tierwise.llm.html_extract import extract_text, train_extractor
 from tierwise.llm.licenses import license_finds, train_licenses
 from tierwise.llm.ngram_join import ngram_jaccard_join
@@ -19,7 +20,9 @@ from tierwise.llm.quality import quality_rules, trusted_ids
 from tierwise.llm.scratch import Scratch, workers_find_package
 from tierwise.llm.substring_dedup import substring_dedup
 from tierwise.llm.suffix_dedup import suffix_dedup
+from tierwise.llm.vector_dedup import near_vectors
 from tierwise.llm.warc import page_summary, read_warc, write_warc
+from tierwise.llm.whitening import fit_whitening, whiten
 
 #: Least Jaccard similarity of linked documents, in percent, and words of a shingle.
 NEAR_PERCENT = 80
@@ -98,6 +101,25 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_finds(spark, docs, train_licenses(docs))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Four whitened components of every usable vector."""
+    vectors = _table(spark, sf, "embeddings")
+    return whiten(vectors, fit_whitening(spark, vectors, components=4, scale=256))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Cuts, form and digests of every document's fill-in-middle output."""
+    found = fill_in_middle(_table(spark, sf, "documents"), seed=42, percent=50, spm_percent=80)
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(restored(), 256).alias("restored_sha256"))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Number of links and component of every vector."""
+    return near_vectors(spark, _table(spark, sf, "embeddings"), threshold=0.9).vectors
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -110,6 +132,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_pii": op9_pii,
         "op10_license_scan": op10_license_scan,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_embedding_near_dedup": op13_embedding_near_dedup,
     }
 
 
