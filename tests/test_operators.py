@@ -96,6 +96,40 @@ def test_bucketed_numbering_matches_window(spark):
         i: (plain[i], {"hot": "x", "k3": "y"}[k]) for k, _, i in data if k in ("hot", "k3")}
 
 
+def test_one_crowded_bucket_spreads_over_slices(spark):
+    from tierwise.operators.grouping import order_slices
+    rnd = random.Random(5)
+    # one account with all its goals on one day, null names and repeated rows among them
+    data = [("hot", BASE, rnd.choice([None, "n%d" % rnd.randrange(400)]), i if i % 50 else 7, i)
+            for i in range(4000)]
+    data += [(f"k{i % 9}", None if i % 4 == 0 else BASE, "x", i, 5000 + i) for i in range(200)]
+    df = spark.createDataFrame(data, "k string, d date, name string, id long, row long").repartition(5)
+    order = ["d", "name", "id"]
+    columns = [F.asc_nulls_last(c) for c in order]
+    bucket = F.coalesce(F.date_format("d", "yyyyMM"), F.lit("999999"))
+    sliced = order_slices(df.withColumn("b", bucket), ["k", "b"], order, "s", rows=256)
+    sizes = {(r["k"], r["s"]): r["count"] for r in sliced.groupBy("k", "s").count().collect()}
+    hot = [n for (k, _), n in sizes.items() if k == "hot"]
+    assert len(hot) >= 8 and max(hot) < 3 * 256 and sum(hot) == 4000
+    assert {s for k, s in sizes if k != "hot"} == {0}
+    rising = sliced.where("k = 'hot'").orderBy(*columns).select("s").collect()
+    assert [r[0] for r in rising] == sorted(r[0] for r in rising)
+
+    def numbers(frame):
+        return sorted((r["k"], r["N"], str(r["d"]), str(r["name"]), r["id"]) for r in frame.collect())
+
+    plain = numbers(number_in_group(df, ["k"], columns, "N"))
+    cut = number_in_group(df, ["k"], columns, "N", bucket=bucket, slice_by=order, slice_rows=256)
+    assert numbers(cut) == plain and set(cut.columns) == {*df.columns, "N"}
+
+
+def test_sketch_bounds_the_cuts(spark):
+    from tierwise.operators.grouping import order_slices
+    df = spark.range(20000).select(F.lit("a").alias("k"), F.col("id").alias("v"))
+    got = order_slices(df, ["k"], ["v"], "s", rows=16, sketch=64).groupBy("s").count().collect()
+    assert len(got) == 64 // 16 + 1 and max(r["count"] for r in got) < 12000
+
+
 def test_text_of_a_change_takes_its_sign_from_the_raw_difference(spark):
     from tierwise.functions.columns import signed_thousands, thirds
     rows = spark.createDataFrame([(1,), (0,), (-1,), (2,), (-2,), (4500,)], "raw long")

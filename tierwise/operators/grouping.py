@@ -5,7 +5,8 @@ Scale notes. Top-1 uses ``row_number() == 1``; Catalyst plans it as a
 partial ``WindowGroupLimit`` before the shuffle, so a hot group sends at most
 one row per map task. The frequency tie-break aggregates to one row per
 (entity, day, value) before any window, so its window groups are bounded by
-the number of calendar days, however skewed the raw rows are.
+the number of calendar days, however skewed the raw rows are. Numbering cuts a
+group into buckets along its order, and crowded buckets into slices.
 """
 
 from __future__ import annotations
@@ -63,8 +64,58 @@ def frequency_tiebreak(df: DataFrame, entity: str, day: str, value: str,
     return best.select(entity, day, value)
 
 
+#: Rows of a bucket from which it is cut, rows of the sketch that cuts come from, sketch rows a slice.
+SLICE_ROWS = 100_000
+SKETCH_ROWS = 1 << 14
+SKETCH_PER_SLICE = 16
+
+
+def _order_key(columns: Sequence[str]) -> Column:
+    """A struct that sorts as ``columns`` do ascending with nulls last."""
+    return F.struct(*[c for i, name in enumerate(columns)
+                      for c in (F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}"))])
+
+
+def _place(splits: Column, key: Column, most: int) -> Column:
+    """How many of the sorted ``splits`` (at most ``most``) are not above ``key``, by halving."""
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["lo"] + at["hi"], 1)
+        return (F.when(at["lo"] >= at["hi"], at)
+                .when(F.get(splits, middle) <= key, F.struct((middle + 1).alias("lo"), at["hi"].alias("hi")))
+                .otherwise(F.struct(at["lo"].alias("lo"), middle.alias("hi"))))
+    start = F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(most.bit_length())), start, halve, lambda at: at["lo"])
+    return F.when(splits.isNull(), 0).otherwise(found)
+
+
+def order_slices(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str,
+                 rows: int = SLICE_ROWS, sketch: int = SKETCH_ROWS) -> DataFrame:
+    """Adds ``name``: the slice of each row inside its ``keys`` group, rising along
+    ``columns`` (ascending, nulls last); rows equal in them share a slice.
+
+    The cuts are quantiles from a sketch: the ``sketch`` rows with the smallest
+    hashes, which every task keeps for itself before they are merged, among one
+    row in ``rows`` / 16. So a slice holds about ``rows`` rows, or a thousandth of
+    all rows where that is more, however the groups' sizes differ; a group of
+    fewer rows stays whole. The cuts are at most ``sketch`` keys whatever the
+    input's size, which is what makes them safe to broadcast."""
+    mark = F.xxhash64(*keys, *columns)
+    every = max(1, rows // SKETCH_PER_SLICE)
+    kept = (df.select(*keys, _order_key(columns).alias("__key"), mark.alias("__mark"))
+            .filter(F.pmod("__mark", F.lit(every)) == 0).distinct()
+            .orderBy("__mark").limit(sketch))
+    splits = (kept.groupBy(*keys).agg(F.array_sort(F.collect_set("__key")).alias("__keys"))
+              .select(*keys, F.filter("__keys", lambda _, i: i % SKETCH_PER_SLICE == SKETCH_PER_SLICE - 1)
+                      .alias("__splits"))
+              .filter(F.size("__splits") > 0))
+    most = max(1, sketch // SKETCH_PER_SLICE)
+    return (df.join(F.broadcast(splits), list(keys), "left")
+            .withColumn(name, _place(F.col("__splits"), _order_key(columns), most)).drop("__splits"))
+
+
 def number_in_group(df: DataFrame, keys: Sequence[str], order: Cols, name: str,
-                    bucket: Column | None = None, groups: DataFrame | None = None) -> DataFrame:
+                    bucket: Column | None = None, groups: DataFrame | None = None,
+                    slice_by: Sequence[str] = (), slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``row_number()`` of each row inside its ``keys`` group (column names)
     under ``order`` (a total order, for a deterministic result).
 
@@ -75,6 +126,10 @@ def number_in_group(df: DataFrame, keys: Sequence[str], order: Cols, name: str,
     rows are numbered inside their bucket and shifted by that sum. Only the
     counts are brought together by group.
 
+    ``slice_by`` names the columns of ``order``, where that is ascending with
+    nulls last: buckets above about ``slice_rows`` rows are then cut further by
+    ``order_slices``, so a group whose rows all share one bucket spreads too.
+
     ``groups`` (one row per group) adds its columns and drops the rows of all
     other groups; it meets the counts, so such rows go no further than the
     one join on (group, bucket). Null keys match nothing there."""
@@ -83,18 +138,21 @@ def number_in_group(df: DataFrame, keys: Sequence[str], order: Cols, name: str,
         w = Window.partitionBy(*_cols(keys)).orderBy(*_cols(order))
         numbered = df.withColumn(name, F.row_number().over(w).cast("long"))
         return numbered if groups is None else numbered.join(groups, key_names)
-    cut = df.withColumn("__bucket", bucket)
-    earlier = Window.partitionBy(*key_names).orderBy("__bucket").rowsBetween(
+    cut, parts = df.withColumn("__bucket", bucket), ["__bucket"]
+    if slice_by:
+        cut = order_slices(cut, [*key_names, "__bucket"], slice_by, "__slice", slice_rows)
+        parts.append("__slice")
+    earlier = Window.partitionBy(*key_names).orderBy(*parts).rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = (cut.groupBy(*key_names, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = (cut.groupBy(*key_names, *parts).agg(F.count(F.lit(1)).alias("__n"))
                .withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
                .drop("__n"))
     if groups is not None:
         offsets = offsets.join(groups, key_names)
-    inside = Window.partitionBy(*key_names, "__bucket").orderBy(*_cols(order))
-    return (cut.join(offsets, [*key_names, "__bucket"])
+    inside = Window.partitionBy(*key_names, *parts).orderBy(*_cols(order))
+    return (cut.join(offsets, [*key_names, *parts])
             .withColumn(name, (F.row_number().over(inside) + F.col("__offset")).cast("long"))
-            .drop("__bucket", "__offset"))
+            .drop("__offset", *parts))
 
 
 def distinct_members(df: DataFrame, group: Cols, member: str,

@@ -289,20 +289,20 @@ def goals_numbered(goals: DataFrame, enrollment_rows: DataFrame) -> DataFrame:
     """Goals of accounts with an enrollment row, bridged to the latest
     row's members and numbered per account by set date, then name.
 
-    An account's goals are numbered by months of their set date: goals are
-    counted per month, the counts (a few rows an account) are summed up to
-    each month and joined with the latest enrollment row, and the goals meet
-    that by (account, month). So the goals are shuffled once, accounts without
-    enrollment drop out there, and a hot account is spread over its months."""
+    An account's goals are numbered by months of their set date, and a crowded
+    month by slices of it: goals are counted per slice, the counts (a few rows
+    an account) are summed up to each slice and joined with the latest
+    enrollment row, and the goals meet that by slice. So the goals are shuffled
+    once, accounts without enrollment drop out there, and a hot account is
+    spread over tasks even where all its goals were set on one day."""
     latest = latest_per_group(
         enrollment_rows.select("ACCOUNT", "CURRENTGUID", "GUID", "BIENDDATE"), ["ACCOUNT"],
         [F.desc_nulls_last("BIENDDATE"), F.asc_nulls_last("GUID"),
          F.asc_nulls_last("CURRENTGUID")]).select("ACCOUNT", "CURRENTGUID", "GUID")
     month = F.coalesce(F.date_format("GOAL_SET_DATE", "yyyyMM"), F.lit("999999"))  # null dates last
-    numbered = number_in_group(
-        goals, ["ACCOUNT"],
-        [F.asc_nulls_last("GOAL_SET_DATE"), F.asc_nulls_last("RAW_ACTION_NAME"),
-         F.asc_nulls_last("MEMBERACTION_ID")], "GOAL_NUMBER", bucket=month, groups=latest)
+    order = ["GOAL_SET_DATE", "RAW_ACTION_NAME", "MEMBERACTION_ID"]
+    numbered = number_in_group(goals, ["ACCOUNT"], [F.asc_nulls_last(c) for c in order], "GOAL_NUMBER",
+                               bucket=month, groups=latest, slice_by=order)
     return numbered.select(*GOAL_COLUMNS, "CURRENTGUID", "GUID", "GOAL_NUMBER")
 
 
