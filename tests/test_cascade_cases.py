@@ -136,11 +136,11 @@ def test_goals_joined_to_calls_count_per_call(spark):
     acts = [action("A1", 1, "Exercise: walk"), action("A1", 2, "Tobacco: quit")]
     src = sources(spark, calls=calls, actions=acts)
     out = build(src, AS_OF, "refresh")
-    pdf = P.periods(spark, D(1998, 6, 1), D(1998, 6, 30))
-    pt = P.period_topics(out["topics"], pdf, "cust_a")
-    dist = P.goal_distribution(pt, out["goals_numbered"]).filter(F.col("PERIOD") == "month")
+    days = P.period_days(out["topics"], "cust_a", D(1998, 6, 1), D(1998, 6, 30))
+    counts = P.goal_counts(P.member_days(days), out["goals_numbered"])
+    dist = P.goal_distribution(counts).filter(F.col("PERIOD") == "month")
     assert rows(dist, "GOAL_STATUS", "COUNT") == [("Completed", 6)]
-    once = P.goal_distribution(pt, out["goals_numbered"], mode="goals").filter(F.col("PERIOD") == "month")
+    once = P.goal_distribution(counts, mode="goals").filter(F.col("PERIOD") == "month")
     assert rows(once, "GOAL_STATUS", "COUNT") == [("Completed", 2)]
     dash = RP.goal_status_distribution(out["goals_numbered"])
     assert rows(dash, "GOAL_STATUS", "COUNT") == [("Completed", 2)]

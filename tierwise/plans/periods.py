@@ -2,16 +2,16 @@
 month, the prior month, the last twelve months, the last 90 days and the
 90 days before them - and the comparisons built from them.
 
-The source job runs every period as its own query (25 round trips). Here
-the call-days are paired once with a broadcast five-row ``periods`` table
-(rows multiply by at most five) and every report groups by PERIOD; the
-comparisons pivot the period results with a fixed value list, so no step
-collects anything to the driver.
+The source job runs every period as its own query (25 round trips). Here a
+call-day carries a mask of the periods that contain it, and a member has one row
+with its call-days and topics in every period. The reports sum over these rows,
+so nothing is multiplied by the periods; the comparisons pivot the period
+results with a fixed value list, so no step collects anything to the driver.
 
 Goal counts keep the source job's semantics: a goal counts once per
 call-day its member has in the period (goals joined to calls). That number
 is formed as ``sum(calls of member in period x goals of member in group)``
-from two small aggregates instead of the many-to-many join.
+from one row a member instead of the many-to-many join.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.columns import (pct, percent_text, report_filter, signed_thousands,
                                  thirds)
-from ..operators.joins import in_periods, joined_count, not_in, overlap_periods
+from ..operators.joins import not_in
+from ..operators.masks import has_bit, overlap_mask, period_mask
 from .cascade import fep_members, is_enrolled
 from .reports import engagement_by_topic, metric_rows, topics_summary
 
@@ -46,34 +47,25 @@ def default_range(as_of: dt.date, start: dt.date | None = None,
 PERIOD_TOPIC_COLUMNS = ["GUID", "CURRENTGUID", "REPORT_TOPIC"]
 
 
-def periods(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:
-    """(PERIOD, START_DATE, END_DATE) for the five report periods, with
-    month arithmetic done by Spark (``add_months`` clamps to month end)."""
+def period_bounds(start: dt.date | str, end: dt.date | str) -> dict[str, tuple[Column, Column]]:
+    """First and last day of the five report periods, with month
+    arithmetic done by Spark (``add_months`` clamps to month end)."""
     s = F.lit(str(start)).cast("date")
     e = F.lit(str(end)).cast("date")
-    bounds = {
+    return {
         MONTH: (s, e),
         PRIOR: (F.add_months(s, -1), F.date_sub(s, 1)),
         L12M: (F.add_months(s, -11), e),
         R90: (F.date_sub(e, 89), e),
         P90: (F.date_sub(e, 179), F.date_sub(e, 90)),
     }
-    rows = F.array(*[F.struct(F.lit(n).alias("PERIOD"), a.alias("START_DATE"), b.alias("END_DATE"))
-                     for n, (a, b) in bounds.items()])
-    return spark.range(1).select(F.inline(rows))
 
 
-def period_topics(topics: DataFrame, periods_df: DataFrame, customer: str,
-                  bounds: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-    """Call-days of one customer (case-insensitive), once per period containing them.
-
-    ``bounds`` (first and last day of all periods) are literals, so the scan
-    gets them as pushed filters; the join with the periods does the rest."""
-    scoped = topics.filter(report_filter(customer))
-    if bounds is not None:
-        first, last = (F.lit(str(d)).cast("date") for d in bounds)
-        scoped = scoped.filter(F.col("CALL_DATE").between(first, last))
-    return in_periods(scoped, "CALL_DATE", periods_df).drop("START_DATE", "END_DATE")
+def periods(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:
+    """(PERIOD, START_DATE, END_DATE) for the five report periods."""
+    rows = F.array(*[F.struct(F.lit(n).alias("PERIOD"), a.alias("START_DATE"), b.alias("END_DATE"))
+                     for n, (a, b) in period_bounds(start, end).items()])
+    return spark.range(1).select(F.inline(rows))
 
 
 def all_periods(start: dt.date, end: dt.date) -> tuple[dt.date, dt.date]:
@@ -83,73 +75,105 @@ def all_periods(start: dt.date, end: dt.date) -> tuple[dt.date, dt.date]:
     return min(dt.date(months // 12, months % 12 + 1, 1), end - dt.timedelta(days=179)), max(start, end)
 
 
-def _weighted_goals(ptopics: DataFrame, goals: DataFrame, by: list[str],
-                    goal_filter: Column | None = None, mode: str = "joined") -> DataFrame:
-    """(PERIOD, *by, __n): goal rows counted against the period's call-days on
-    CURRENTGUID - once per call-day (``mode="joined"``, the source report's
-    join) or once per goal (``mode="goals"``)."""
-    g = goals if goal_filter is None else goals.filter(goal_filter)
-    return joined_count(g, ptopics, "CURRENTGUID", by, ["PERIOD"], mode, "__n")
+def in_period(name: str) -> Column:
+    """Whether a call-day of ``period_days`` lies in the period."""
+    return has_bit(F.col("__periods"), PERIOD_NAMES.index(name))
+
+
+def period_days(topics: DataFrame, customer: str, start: dt.date, end: dt.date) -> DataFrame:
+    """Call-days of one customer (case-insensitive) in any period, with the mask ``__periods``.
+
+    The first and last day of all periods are literals, so the scan gets them
+    as pushed filters. One row a call-day, however many periods contain it."""
+    first, last = (F.lit(str(d)).cast("date") for d in all_periods(start, end))
+    scoped = topics.filter(report_filter(customer) & F.col("CALL_DATE").between(first, last))
+    return (scoped.select(*PERIOD_TOPIC_COLUMNS,
+                          period_mask(F.col("CALL_DATE"), period_bounds(start, end)).alias("__periods"))
+            .filter(F.col("__periods") != 0))
+
+
+def member_days(days: DataFrame) -> DataFrame:
+    """One row a known member: its number of call-days in each period, by the period's name."""
+    return (days.filter(F.col("CURRENTGUID").isNotNull()).groupBy("CURRENTGUID")
+            .agg(*[F.count(F.when(in_period(name), 1)).alias(name) for name in PERIOD_NAMES]))
 
 
-def engagement(ptopics: DataFrame, goals: DataFrame) -> DataFrame:
+def _by_period(totals: DataFrame, columns: dict[str, dict[str, str]], keys: list[str] | None = None) -> DataFrame:
+    """One row of totals as a row a period; ``columns``: output name -> period -> column of ``totals``."""
+    each = F.array(*[F.struct(F.lit(name).alias("PERIOD"), *[F.col(of[name]).alias(out) for out, of in columns.items()])
+                     for name in PERIOD_NAMES])
+    return totals.select(*(keys or []), F.inline(each))
+
+
+def goal_counts(members: DataFrame, goals: DataFrame) -> DataFrame:
+    """(PERIOD, GOAL_DOMAIN, GOAL_STATUS, JOINED, GOALS): goal rows of the members with call-days in a
+    period, counted once per call-day (the source report's join) and once per goal.
+
+    All goal reports of the periods are sums over this table of a few rows."""
+    per_member = (goals.filter(F.col("CURRENTGUID").isNotNull())
+                  .groupBy("CURRENTGUID", "GOAL_DOMAIN", "GOAL_STATUS").agg(F.count(F.lit(1)).alias("__goals")))
+    goals_of = F.col("__goals")
+    sums = per_member.join(members, "CURRENTGUID").groupBy("GOAL_DOMAIN", "GOAL_STATUS").agg(*[
+        agg for name in PERIOD_NAMES for agg in (
+            F.sum(goals_of * F.col(name)).alias(f"j_{name}"),
+            F.sum(F.when(F.col(name) > 0, goals_of).otherwise(0)).alias(f"g_{name}"))])
+    return _by_period(sums, {"JOINED": {n: f"j_{n}" for n in PERIOD_NAMES},
+                             "GOALS": {n: f"g_{n}" for n in PERIOD_NAMES}},
+                      ["GOAL_DOMAIN", "GOAL_STATUS"]).filter(F.col("GOALS") > 0)
+
+
+#: Column of ``goal_counts`` for each way of counting.
+COUNTED = {"joined": "JOINED", "goals": "GOALS"}
+
+
+def engagement(days: DataFrame, goals: DataFrame) -> DataFrame:
     """Engagement by topic per period (as R9, 'OPEN_GOALS')."""
-    return engagement_by_topic(ptopics, goals, ["PERIOD"], open_name="OPEN_GOALS")
+    return engagement_by_topic(days, goals, {name: in_period(name) for name in PERIOD_NAMES}, "PERIOD",
+                               open_name="OPEN_GOALS")
 
 
-def goal_distribution(ptopics: DataFrame, goals: DataFrame, mode: str = "joined") -> DataFrame:
+def goal_distribution(counts: DataFrame, mode: str = "joined") -> DataFrame:
     """Per period, goal rows by reported status (joined to call-days, or
     each goal once with ``mode="goals"``) and their share of the period's rows
     (1 dp)."""
-    n = _weighted_goals(ptopics, goals, ["GOAL_STATUS"],
-                        F.col("GOAL_STATUS").isin(*R.REPORTED_STATUSES), mode)
-    total = F.sum("__n").over(Window.partitionBy("PERIOD"))
-    return n.select("PERIOD", "GOAL_STATUS", F.col("__n").alias("COUNT"),
-                    pct(F.col("__n"), total, 1).alias("GOAL_PCT"))
+    n = (counts.filter(F.col("GOAL_STATUS").isin(*R.REPORTED_STATUSES))
+         .groupBy("PERIOD", "GOAL_STATUS").agg(F.sum(COUNTED[mode]).alias("COUNT")))
+    total = F.sum("COUNT").over(Window.partitionBy("PERIOD"))
+    return n.select("PERIOD", "GOAL_STATUS", "COUNT", pct(F.col("COUNT"), total, 1).alias("GOAL_PCT"))
 
 
-def goal_progression(ptopics: DataFrame, goals: DataFrame) -> DataFrame:
+def goal_progression(counts: DataFrame) -> DataFrame:
     """Per period and domain, goal rows, completed rows and the rate (1 dp)."""
-    n = _weighted_goals(ptopics, goals, ["GOAL_DOMAIN", "GOAL_STATUS"])
-    per = n.groupBy("PERIOD", "GOAL_DOMAIN").agg(
-        F.sum("__n").cast("long").alias("TOTAL_GOALS"),
-        F.sum(F.when(F.col("GOAL_STATUS") == R.COMPLETED, F.col("__n")).otherwise(0))
+    per = counts.groupBy("PERIOD", "GOAL_DOMAIN").agg(
+        F.sum("JOINED").cast("long").alias("TOTAL_GOALS"),
+        F.sum(F.when(F.col("GOAL_STATUS") == R.COMPLETED, F.col("JOINED")).otherwise(0))
         .cast("long").alias("COMPLETED"))
     return per.withColumn("COMPLETION_RATE", pct(F.col("COMPLETED"), F.col("TOTAL_GOALS"), 1))
 
 
-def _tobacco_numbers(ptopics: DataFrame, tobacco: DataFrame, goals: DataFrame,
-                     periods_df: DataFrame) -> DataFrame:
+def _tobacco_numbers(members: DataFrame, tobacco: DataFrame, goals: DataFrame,
+                     counts: DataFrame) -> DataFrame:
     """Per period: P participants, A active participants, C / I tobacco goal
     rows completed / in progress (joined to call-days)."""
-    members = ptopics.filter(F.col("CURRENTGUID").isNotNull()).select("PERIOD", "CURRENTGUID").distinct()
-    flagged = members.join(tobacco.select("CURRENTGUID").distinct(), "CURRENTGUID")
-    tob_goals = goals.filter(F.col("GOAL_DOMAIN") == R.TOBACCO_DOMAIN)
-    active_members = (tob_goals.filter(F.col("GOAL_STATUS") == R.IN_PROGRESS)
-                      .select("CURRENTGUID").distinct())
-    participants = flagged.groupBy("PERIOD").agg(F.count(F.lit(1)).alias("P"))
-    active = flagged.join(active_members, "CURRENTGUID").groupBy("PERIOD").agg(
-        F.count(F.lit(1)).alias("A"))
-    n = _weighted_goals(ptopics, tob_goals, ["GOAL_STATUS"],
-                        F.col("GOAL_STATUS").isin(R.COMPLETED, R.IN_PROGRESS))
-    goal_rows = n.groupBy("PERIOD").agg(
-        F.sum(F.when(F.col("GOAL_STATUS") == R.COMPLETED, F.col("__n")).otherwise(0)).alias("C"),
-        F.sum(F.when(F.col("GOAL_STATUS") == R.IN_PROGRESS, F.col("__n")).otherwise(0)).alias("I"))
-    out = (F.broadcast(periods_df.select("PERIOD"))
-           .join(participants, "PERIOD", "left").join(active, "PERIOD", "left")
-           .join(goal_rows, "PERIOD", "left"))
-    return out.select("PERIOD", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                                  for c in ("P", "A", "C", "I")])
-
-
-def tobacco(ptopics: DataFrame, tobacco_df: DataFrame, goals: DataFrame,
-            periods_df: DataFrame) -> DataFrame:
-    """The five tobacco metrics per period, as text."""
-    return tobacco_from_numbers(_tobacco_numbers(ptopics, tobacco_df, goals, periods_df))
+    is_tobacco = F.col("GOAL_DOMAIN") == R.TOBACCO_DOMAIN
+    active = (goals.filter(is_tobacco & (F.col("GOAL_STATUS") == R.IN_PROGRESS))
+              .select("CURRENTGUID").distinct().withColumn("__active", F.lit(True)))
+    flagged = (members.join(tobacco.select("CURRENTGUID").distinct(), "CURRENTGUID", "left_semi")
+               .join(active, "CURRENTGUID", "left"))
+    totals = flagged.agg(*[agg for name in PERIOD_NAMES for agg in (
+        F.count(F.when(F.col(name) > 0, 1)).alias(f"p_{name}"),
+        F.count(F.when((F.col(name) > 0) & F.col("__active"), 1)).alias(f"a_{name}"))])
+    people = _by_period(totals, {"P": {n: f"p_{n}" for n in PERIOD_NAMES},
+                                 "A": {n: f"a_{n}" for n in PERIOD_NAMES}})
+    goal_rows = counts.filter(is_tobacco).groupBy("PERIOD").agg(
+        F.sum(F.when(F.col("GOAL_STATUS") == R.COMPLETED, F.col("JOINED")).otherwise(0)).alias("C"),
+        F.sum(F.when(F.col("GOAL_STATUS") == R.IN_PROGRESS, F.col("JOINED")).otherwise(0)).alias("I"))
+    return people.join(goal_rows, "PERIOD", "left").select(
+        "PERIOD", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("P", "A", "C", "I")])
 
 
 def tobacco_from_numbers(nums: DataFrame) -> DataFrame:
-    """R17 text rows from the per-period numbers (P, A, C, I)."""
+    """The five tobacco metrics per period as text, from the numbers (P, A, C, I)."""
     return metric_rows(nums, [
         (R.TOBACCO_METRICS[0], F.col("P")), (R.TOBACCO_METRICS[1], F.col("A")),
         (R.TOBACCO_METRICS[2], F.col("C")), (R.TOBACCO_METRICS[3], F.col("I")),
@@ -157,36 +181,37 @@ def tobacco_from_numbers(nums: DataFrame) -> DataFrame:
         ["PERIOD"])
 
 
-def enrolled_members(sources: dict[str, DataFrame], periods_df: DataFrame, customer: str,
+def enrolled_members(sources: dict[str, DataFrame], bounds: dict[str, tuple[Column, Column]], customer: str,
                      exclude_fep: bool = True) -> DataFrame:
     """Distinct enrolled members of the customer whose enrollment overlaps
     each period; FEP members removed with SQL ``NOT IN`` semantics. For the
-    90-day periods MONTHLY_AVG is the count / 3."""
+    90-day periods MONTHLY_AVG is the count / 3.
+
+    Enrollment rows become one mask of periods a member, and one row of sums."""
     ce = sources["COACHING_ENROLLMENT_MODEL"]
     rows = ce.filter(is_enrolled(ce) & (F.upper("CUSTOMERID") == F.upper(F.lit(customer))))
     if exclude_fep:
         rows = not_in(rows, "CURRENTGUID", fep_members(sources["ELIGMEMBER"], customer),
                       "CURRENTGUID", drop_null_members=False)
-    paired = overlap_periods(rows.select("CURRENTGUID", "BIEFFECTIVEDATE", "BIENDDATE"),
-                             "BIEFFECTIVEDATE", "BIENDDATE", periods_df)
-    counts = paired.groupBy("PERIOD").agg(F.countDistinct("CURRENTGUID").alias("__n"))
-    out = F.broadcast(periods_df.select("PERIOD")).join(counts, "PERIOD", "left")
-    n = F.coalesce(F.col("__n"), F.lit(0)).cast("long")
-    return out.select("PERIOD", n.alias("ENROLLED_MEMBERS"),
-                      F.when(F.col("PERIOD").isin(R90, P90), thirds(n)).alias("MONTHLY_AVG"))
-
-
-def topics_classic(ptopics: DataFrame) -> DataFrame:
-    """Twelve-month topics summary by CURRENTGUID (2 dp)."""
-    return topics_summary(ptopics.filter(F.col("PERIOD") == L12M), "CURRENTGUID", 2)
-
-
-def tobacco_classic(ptopics: DataFrame, tobacco_df: DataFrame) -> DataFrame:
-    """Twelve-month Yes / No. Yes counts call-days joined to flag rows on
-    CURRENTGUID (a member with two flag rows counts twice); No counts call-days
-    of members not in the flag set (nulls removed from the set; a null
-    CURRENTGUID never qualifies). A group with no rows gives no row."""
-    t = ptopics.filter(F.col("PERIOD") == L12M)
+    mask = overlap_mask(F.col("BIEFFECTIVEDATE"), F.col("BIENDDATE"), bounds)
+    members = (rows.filter(F.col("CURRENTGUID").isNotNull()).groupBy("CURRENTGUID")
+               .agg(F.bit_or(mask).alias("__periods")))
+    totals = members.agg(*[F.count(F.when(in_period(name), 1)).alias(name) for name in PERIOD_NAMES])
+    n = F.col("ENROLLED_MEMBERS")
+    return _by_period(totals, {"ENROLLED_MEMBERS": {n: n for n in PERIOD_NAMES}}).select(
+        "PERIOD", n, F.when(F.col("PERIOD").isin(R90, P90), thirds(n)).alias("MONTHLY_AVG"))
+
+
+def topics_classic(t: DataFrame) -> DataFrame:
+    """Topics summary of the twelve months' call-days by CURRENTGUID (2 dp)."""
+    return topics_summary(t, "CURRENTGUID", 2)
+
+
+def tobacco_classic(t: DataFrame, tobacco_df: DataFrame) -> DataFrame:
+    """Yes / No over the twelve months' call-days. Yes counts call-days joined
+    to flag rows on CURRENTGUID (a member with two flag rows counts twice); No
+    counts call-days of members not in the flag set (nulls removed from the set; a
+    null CURRENTGUID never qualifies). A group with no rows gives no row."""
     totals = F.broadcast(t.agg(F.countDistinct("CURRENTGUID").alias("__m"),
                                F.count(F.lit(1)).alias("__c")))
     flag_rows = (tobacco_df.filter(F.col("CURRENTGUID").isNotNull())
@@ -203,15 +228,13 @@ def tobacco_classic(ptopics: DataFrame, tobacco_df: DataFrame) -> DataFrame:
         "CALLS", pct(F.col("CALLS"), F.col("__c"), 2).alias("PCT_OF_CALLS"))
 
 
-def goal_domain_status(ptopics: DataFrame, goals: DataFrame) -> DataFrame:
+def goal_domain_status(counts: DataFrame) -> DataFrame:
     """Twelve-month goal rows per domain by status (1 dp)."""
-    n = _weighted_goals(ptopics.filter(F.col("PERIOD") == L12M), goals,
-                        ["GOAL_DOMAIN", "GOAL_STATUS"])
     def of(status: str) -> Column:
-        return F.sum(F.when(F.col("GOAL_STATUS") == status, F.col("__n")).otherwise(0)).cast("long")
-    per = n.groupBy("GOAL_DOMAIN").agg(F.sum("__n").alias("__rows"), of(R.COMPLETED).alias("COMPLETED"),
-                                       of(R.IN_PROGRESS).alias("IN_PROGRESS"),
-                                       of(R.WITHDRAWN).alias("WITHDRAWN"))
+        return F.sum(F.when(F.col("GOAL_STATUS") == status, F.col("JOINED")).otherwise(0)).cast("long")
+    per = counts.filter(F.col("PERIOD") == L12M).groupBy("GOAL_DOMAIN").agg(
+        F.sum("JOINED").alias("__rows"), of(R.COMPLETED).alias("COMPLETED"),
+        of(R.IN_PROGRESS).alias("IN_PROGRESS"), of(R.WITHDRAWN).alias("WITHDRAWN"))
     return per.select("GOAL_DOMAIN",
                       "COMPLETED", pct(F.col("COMPLETED"), F.col("__rows"), 1).alias("COMP_PCT"),
                       "IN_PROGRESS", pct(F.col("IN_PROGRESS"), F.col("__rows"), 1).alias("IP_PCT"),
@@ -305,14 +328,15 @@ KPI_LABELS = ["Members Coached", "Distinct Members Coached", "Goals Completed",
 
 
 def kpi_headlines(eng: DataFrame, dist: DataFrame, tob: DataFrame,
-                  ptopics: DataFrame) -> DataFrame:
+                  member_rows: DataFrame) -> DataFrame:
     """Headline KPIs per period. 'Members Coached' sums the per-topic
     member counts (a member in three topics counts three times), as the
     source report does; 'Distinct Members Coached' counts each member once;
     tobacco's 90-day figures are the month's values."""
     members = eng.groupBy("PERIOD").agg(F.sum("MEMBERS").alias("__v")) \
         .withColumn("KPI", F.lit("Members Coached"))
-    distinct = ptopics.groupBy("PERIOD").agg(F.countDistinct("CURRENTGUID").alias("__v")) \
+    coached = member_rows.agg(*[F.count(F.when(F.col(name) > 0, 1)).alias(name) for name in PERIOD_NAMES])
+    distinct = _by_period(coached, {"__v": {n: n for n in PERIOD_NAMES}}) \
         .withColumn("KPI", F.lit("Distinct Members Coached"))
     completed = (dist.filter(F.col("GOAL_STATUS") == R.COMPLETED)
                  .groupBy("PERIOD").agg(F.sum("COUNT").alias("__v"))
@@ -347,37 +371,37 @@ def build_periods(spark: SparkSession, sources: dict[str, DataFrame], out: dict[
                   exclude_fep: bool = True) -> dict[str, DataFrame]:
     """All period reports over one refresh build ``out``.
 
-    The customer's period call-days and the four base reports feed every
-    comparison, so they are persisted once per bundle (they are small: one
-    customer's call-days x at most five periods, and aggregates of them)."""
+    The customer's call-days in the periods, its members' rows and the small
+    tables made from them feed every report and comparison, so they are
+    persisted once per bundle."""
     cached: list[DataFrame] = []
 
     def shared(df: DataFrame) -> DataFrame:
         cached.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return cached[-1]
 
-    pdf = periods(spark, start, end)
-    days = out["topics"].select("CUSTOMERID", "CALL_DATE", *PERIOD_TOPIC_COLUMNS)
-    pt = shared(period_topics(days, pdf, customer, all_periods(start, end))
-                .select("PERIOD", *PERIOD_TOPIC_COLUMNS))
+    days = shared(period_days(out["topics"], customer, start, end))
+    members = shared(member_days(days))
     goals = out["goals_numbered"]
-    res = {"periods": pdf, "ptopics": pt}
-    res["engagement"] = shared(engagement(pt, goals))
-    res["goal_distribution"] = shared(goal_distribution(pt, goals))
-    res["goal_distribution_goals"] = goal_distribution(pt, goals, mode="goals")
-    res["goal_progression"] = shared(goal_progression(pt, goals))
-    res["tobacco_numbers"] = shared(_tobacco_numbers(pt, out["tobacco"], goals, pdf))
+    counts = shared(goal_counts(members, goals))
+    l12m = days.filter(in_period(L12M))
+    res = {"periods": periods(spark, start, end)}
+    res["engagement"] = shared(engagement(days, goals))
+    res["goal_distribution"] = goal_distribution(counts)
+    res["goal_distribution_goals"] = goal_distribution(counts, mode="goals")
+    res["goal_progression"] = goal_progression(counts)
+    res["tobacco_numbers"] = shared(_tobacco_numbers(members, out["tobacco"], goals, counts))
     res["tobacco"] = tobacco_from_numbers(res["tobacco_numbers"])
-    res["enrolled"] = enrolled_members(sources, pdf, customer, exclude_fep)
-    res["topics_classic"] = topics_classic(pt)
-    res["tobacco_classic"] = tobacco_classic(pt, out["tobacco"])
-    res["goal_domain_status"] = goal_domain_status(pt, goals)
+    res["enrolled"] = enrolled_members(sources, period_bounds(start, end), customer, exclude_fep)
+    res["topics_classic"] = topics_classic(l12m)
+    res["tobacco_classic"] = tobacco_classic(l12m, out["tobacco"])
+    res["goal_domain_status"] = goal_domain_status(counts)
     res["cmp_goal_status"] = compare_goal_status(res["goal_distribution"])
     res["cmp_engagement"] = compare_engagement(res["engagement"])
     res["cmp_goal_progression"] = compare_goal_progression(res["goal_progression"])
     res["cmp_tobacco"] = compare_tobacco(res["tobacco"])
     res["kpi_headlines"] = kpi_headlines(res["engagement"], res["goal_distribution"], res["tobacco"],
-                                         pt)
+                                         members)
     res["tobacco_goal_gap"] = tobacco_goal_gap(res["tobacco_numbers"])
     res["_cached"] = cached  # type: ignore[assignment]
     return res

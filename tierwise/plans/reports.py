@@ -2,9 +2,8 @@
 and the dashboard sections (R9-R13, over the month snapshot tables).
 
 All reports aggregate first and only then combine: totals are one-row
-aggregates (broadcast by construction), distinct counts go through
-(label, member) pairs, and goal counts per topic join the distinct
-(topic, member) pairs to the goals instead of every call.
+aggregates (broadcast by construction), and members and goals per topic go
+through one row a member that holds its topics as a bit mask.
 """
 
 from __future__ import annotations
@@ -14,9 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.columns import pct, percent_text, rank_by
-from ..operators.grouping import (distinct_members, one_row_totals, share_of_total,
-                                  status_crosstab)
-from ..operators.joins import not_in
+from ..operators.grouping import one_row_totals, share_of_total, status_crosstab
+from ..operators.masks import by_label, counted, label_masks, labels_of
 
 STATUS_COLUMNS_2DP = [
     (R.NOT_STARTED, "NOT_STARTED", "NS_PCT"),
@@ -143,51 +141,71 @@ def validation_counts(topics: DataFrame, tobacco: DataFrame, goals: DataFrame) -
     return tiers.unionByName(tob).unionByName(gl)
 
 
-def _topic_member_pairs(topics: DataFrame, keys: list[str]) -> DataFrame:
-    return (topics.filter(F.col("CURRENTGUID").isNotNull())
-            .select(*keys, "REPORT_TOPIC", "CURRENTGUID").distinct())
+#: The one slot of reports without periods.
+ALL_DAYS = "all"
 
 
-def _goal_ids_by_topic(pairs: DataFrame, goals: DataFrame, keys: list[str],
-                       completed: str, open_: str) -> DataFrame:
-    """Distinct completed and in-progress goals of each topic's members.
+def topic_masks(topics: DataFrame, labels: DataFrame, slots: dict[str, Column] | None = None) -> DataFrame:
+    """One row a member: a mask of the topics of its call-days in each slot."""
+    known = topics.filter(F.col("CURRENTGUID").isNotNull())
+    return label_masks(known, ["CURRENTGUID"], "REPORT_TOPIC", labels, slots or {ALL_DAYS: F.lit(True)})
 
-    Goals are cut to the distinct (topic, status, id) first, so the counts are
-    plain conditional sums; a topic whose goals all have other statuses stays,
-    with zeros."""
-    counted = F.col("GOAL_STATUS").isin(R.COMPLETED, R.IN_PROGRESS)
-    g = goals.select("CURRENTGUID", F.when(counted, F.col("GOAL_STATUS")).alias("__s"),
-                     F.when(counted, F.col("MEMBERACTION_ID")).alias("__id")).distinct()
-    per = pairs.join(g, "CURRENTGUID").select(*keys, "REPORT_TOPIC", "__s", "__id").distinct()
+
+def _goals_by_topic(masks: DataFrame, labels: DataFrame, goals: DataFrame, slots: list[str],
+                    completed: str, open_: str) -> DataFrame:
+    """(slot, REPORT_TOPIC) with distinct completed and in-progress goals of the topic's members.
+
+    Each goal meets one row, that of its member. Goals of one id are then put
+    together with the topics of all their members, and equal topic masks are
+    counted before they are taken apart. A topic whose goals all have other
+    statuses stays, with zeros."""
+    is_counted = F.col("GOAL_STATUS").isin(R.COMPLETED, R.IN_PROGRESS)
+    g = goals.select("CURRENTGUID", F.when(is_counted, F.col("GOAL_STATUS")).alias("__s"),
+                     F.when(is_counted, F.col("MEMBERACTION_ID")).alias("__id"))
+    each = (g.join(masks, "CURRENTGUID").groupBy("__word", "__s", "__id")
+            .agg(*[F.bit_or(slot).alias(slot) for slot in slots])
+            .withColumn("__known", F.col("__id").isNotNull()))
 
     def goals_in(status: str) -> Column:
-        return F.sum(F.when((F.col("__s") == status) & F.col("__id").isNotNull(), 1).otherwise(0)).cast("long")
+        return F.sum(F.when((F.col("__s") == status) & F.col("__known"), F.col("__n")).otherwise(0)).cast("long")
 
-    return per.groupBy(*keys, "REPORT_TOPIC").agg(goals_in(R.COMPLETED).alias(completed),
-                                                  goals_in(R.IN_PROGRESS).alias(open_))
+    taken = by_label(counted(each, slots, ["__s", "__known"]), labels, slots, "REPORT_TOPIC")
+    return taken.groupBy("__slot", "REPORT_TOPIC").agg(goals_in(R.COMPLETED).alias(completed),
+                                                       goals_in(R.IN_PROGRESS).alias(open_))
 
 
-def engagement_by_topic(topics: DataFrame, goals: DataFrame, keys: list[str] | None = None,
-                        open_name: str = "OPEN_IN_PROGRESS_GOALS") -> DataFrame:
+def engagement_by_topic(topics: DataFrame, goals: DataFrame, slots: dict[str, Column] | None = None,
+                        slot_name: str | None = None, open_name: str = "OPEN_IN_PROGRESS_GOALS") -> DataFrame:
     """Members per topic (share of all members, 1 dp) with the
     distinct completed / in-progress goals of those members.
 
-    Equivalent to the left join of call-days to goals on CURRENTGUID, but the
-    call-days are reduced to distinct (topic, member) pairs first, so the join
-    never multiplies goals by calls."""
-    keys = keys or []
-    members = distinct_members(topics, [*keys, "REPORT_TOPIC"], "CURRENTGUID")
-    pairs = _topic_member_pairs(topics, keys)
-    goal_counts = _goal_ids_by_topic(pairs, goals, keys, "COMPLETED_GOALS", open_name)
-    if keys:
-        totals = topics.groupBy(*keys).agg(F.countDistinct("CURRENTGUID").alias("__m"))
-        base = members.join(totals, keys)
-    else:
-        base = members.crossJoin(one_row_totals(topics, __m=F.countDistinct("CURRENTGUID")))
-    out = base.join(goal_counts, keys + ["REPORT_TOPIC"], "left")
+    Equivalent to the left join of call-days to goals on CURRENTGUID. Call-days
+    are reduced to one row a member, with a mask of its topics in each slot (a
+    period; ``slot_name`` is its column), which gives the members and meets
+    the goals."""
+    slots = slots or {ALL_DAYS: F.lit(True)}
+    names = list(slots)
+    labels = labels_of(topics, "REPORT_TOPIC")
+    masks = topic_masks(topics, labels, slots)
+    # topics without any known member have zero members, and stay
+    seen = topics.select("REPORT_TOPIC", *[test.alias(name) for name, test in slots.items()]).groupBy(
+        "REPORT_TOPIC").agg(*[F.max(name).alias(name) for name in names])
+    base = seen.select("REPORT_TOPIC", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("__slot"), F.col(name).alias("__seen")) for name in names]))).filter("__seen")
+    members = by_label(counted(masks, names), labels, names, "REPORT_TOPIC").groupBy(
+        "__slot", "REPORT_TOPIC").agg(F.sum("__n").alias("MEMBERS"))
+    once = masks.groupBy("CURRENTGUID").agg(*[F.max(F.col(name) != 0).alias(name) for name in names])
+    totals = one_row_totals(once, **{f"__m_{name}": F.count(F.when(F.col(name), 1)) for name in names})
+    total = F.element_at(F.create_map(*[c for name in names
+                                        for c in (F.lit(name), F.col(f"__m_{name}"))]), F.col("__slot"))
+    goal_counts = _goals_by_topic(masks, labels, goals, names, "COMPLETED_GOALS", open_name)
+    on = ["__slot", "REPORT_TOPIC"]
+    out = base.join(members, on, "left").join(goal_counts, on, "left").crossJoin(totals)
+    count = F.coalesce("MEMBERS", F.lit(0))
     return out.select(
-        *keys, F.col("REPORT_TOPIC").alias("WELLBEING_TOPIC"), "MEMBERS",
-        pct(F.col("MEMBERS"), F.col("__m"), 1).alias("PCT_OF_MEMBERS"),
+        *([F.col("__slot").alias(slot_name)] if slot_name else []),
+        F.col("REPORT_TOPIC").alias("WELLBEING_TOPIC"), count.alias("MEMBERS"),
+        pct(count, total, 1).alias("PCT_OF_MEMBERS"),
         F.coalesce(F.col("COMPLETED_GOALS"), F.lit(0)).alias("COMPLETED_GOALS"),
         F.coalesce(F.col(open_name), F.lit(0)).alias(open_name))
 
@@ -195,8 +213,9 @@ def engagement_by_topic(topics: DataFrame, goals: DataFrame, keys: list[str] | N
 def goal_status_by_topic(topics: DataFrame, goals: DataFrame) -> DataFrame:
     """Per topic with at least one goal of its members, the distinct
     completed and in-progress goals."""
-    pairs = _topic_member_pairs(topics, [])
-    return _goal_ids_by_topic(pairs, goals, [], "COMPLETED", "IN_PROGRESS").select(
+    labels = labels_of(topics, "REPORT_TOPIC")
+    return _goals_by_topic(topic_masks(topics, labels), labels, goals, [ALL_DAYS], "COMPLETED",
+                           "IN_PROGRESS").select(
         F.col("REPORT_TOPIC").alias("WELLBEING_TOPIC"), "COMPLETED", "IN_PROGRESS")
 
 
