@@ -11,57 +11,72 @@ the cluster's shared folder and read back.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
 from ..sources import snapshots as S
+from ..sources.ledger import RunFolders
 from . import periods as P
 from . import reports as RP
 from .cascade import TOPIC_COLUMNS, build, release, tobacco_flag
 
 
 def run_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
-                as_of: dt.date, refreshed: dt.datetime | None = None) -> dict[str, DataFrame]:
+                as_of: dt.date, refreshed: dt.datetime | None = None,
+                keep_runs: int | None = None) -> dict[str, DataFrame]:
     """The monthly job: build, load this month's snapshots, return them read back.
 
     Tobacco flags are derived from the topics just written, so the cascade
-    runs once for both tables."""
+    runs once for both tables. ``keep_runs`` removes older runs of every month
+    but the last so many."""
     refreshed = refreshed or dt.datetime.combine(as_of, dt.time())
     out = build(sources, as_of, "refresh")
     run = S.new_run(as_of)
     try:
-        S.write_run({S.TOPICS: out["topics"], S.GOALS: out["goals_numbered"]}, root, as_of, run, refreshed)
+        done = S.write_run({S.TOPICS: out["topics"], S.GOALS: out["goals_numbered"]}, root, as_of, run, refreshed)
         topics = S.read_run(spark, root, run, S.TOPICS)
-        S.write_run({S.TOBACCO: tobacco_flag(topics.select(*TOPIC_COLUMNS))}, root, as_of, run, refreshed)
+        done |= S.write_run({S.TOBACCO: tobacco_flag(topics.select(*TOPIC_COLUMNS))}, root, as_of, run, refreshed)
     finally:
         release(out)
-    S.publish(spark, root, as_of, run)
+    S.publish(spark, root, as_of, run, done)
+    if keep_runs is not None:
+        S.prune(spark, root, keep_runs)
     return snapshot(spark, root, S.report_month(as_of))
 
 
-def snapshot(spark: SparkSession, root: str, month: str | None = "latest") -> dict[str, DataFrame]:
-    """The three snapshot tables of a month (or of every month) by step name."""
-    got = S.read_snapshots(spark, root, month)
+def snapshot(spark: SparkSession, root: str, month: str | None = "latest",
+             customer: str | None = None) -> dict[str, DataFrame]:
+    """The three snapshot tables of a month (or of every month) by step name;
+    with ``customer``, its topics only."""
+    got = S.read_snapshots(spark, root, month, customer=customer)
     return {"topics": got[S.TOPICS], "tobacco": got[S.TOBACCO], "goals_numbered": got[S.GOALS]}
 
 
 def run_adhoc(sources: dict[str, DataFrame], as_of: dt.date,
               call_filter: Column | None = None, root: str | None = None) -> dict[str, DataFrame]:
     """The workbook build (ad-hoc variant), written once as session tables
-    under ``root`` (default: a fresh folder in the shared checkpoint folder)
-    and read back, so the eight sections never re-run the cascade."""
+    and read back, so the eight sections never re-run the cascade.
+
+    The tables lie under ``root``, or in a folder of the run's own, which
+    ``close_adhoc`` removes once the sections are written (the end of the
+    application does otherwise)."""
     spark = next(iter(sources.values())).sparkSession
-    root = root or f"{shared_dir(spark)}/tierwise-adhoc/{uuid.uuid4().hex}"
+    folders = None if root else RunFolders(spark, "adhoc")
+    root = root or folders.root
     out = build(sources, as_of, "adhoc", call_filter)
     topics = S.materialize(out["topics"], f"{root}/topics")
     res = {"topics": topics,
            "tobacco": S.materialize(tobacco_flag(topics), f"{root}/tobacco"),
            "goals_numbered": S.materialize(out["goals_numbered"], f"{root}/goals")}
     release(out)
-    return res
+    return res | {"_folders": folders}
+
+
+def close_adhoc(out: dict[str, DataFrame]) -> None:
+    """Removes the tables of an ad-hoc build that lie in a folder of its own."""
+    if out.get("_folders") is not None:
+        out["_folders"].close()
 
 
 def _desc(col: str) -> Column:

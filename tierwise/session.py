@@ -7,10 +7,13 @@ platform; only local runs and tests create one here.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
+from .sources.files import delete_at_exit
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -41,15 +44,17 @@ def shared_dir(spark: SparkSession) -> str:
 
     On a cluster this setting comes from the platform and is only read here.
     When it is unset (a local run or a test) a fresh folder is created and
-    registered, which is only valid because local mode has one machine.
+    registered, which is only valid because local mode has one machine; it goes when
+    the application ends.
     """
     sc = spark.sparkContext
     path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="tierwise-shared-")
+        delete_at_exit(spark, path)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
