@@ -6,19 +6,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+
+def merge_intervals(df: DataFrame, entity: str, start: str, end: str) -> DataFrame:
+    """Disjoint intervals (``entity``, ``start``, ``end``) that cover the same days.
+
+    Rows of one start are first cut to their latest end, so the windows hold at
+    most one row per (entity, day), however many rows overlap. An interval opens a
+    new island where it starts after the running maximum of the ends before it.
+    Rows with a null in any column, or that end before they start, cover no day."""
+    reach = (df.filter(F.col(entity).isNotNull() & (F.col(start) <= F.col(end)))
+             .groupBy(F.col(entity).alias("__e"), F.col(start).alias("__s")).agg(F.max(end).alias("__t")))
+    along = Window.partitionBy("__e").orderBy("__s")
+    before = F.max("__t").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(before.isNull() | (F.col("__s") > F.date_add(before, 1)), 1).otherwise(0)
+    island = F.sum("__opens").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    return (reach.withColumn("__opens", opens).withColumn("__island", island)
+            .groupBy(F.col("__e").alias(entity), "__island")
+            .agg(F.min("__s").alias(start), F.max("__t").alias(end)).drop("__island"))
+
 
 def within_interval(left: DataFrame, right: DataFrame, entity: str, day: str,
                     start: str, end: str) -> DataFrame:
     """Rows of ``left`` whose ``day`` lies inside some ``[start, end]`` interval
-    of ``right`` for the same ``entity`` (inclusive). Semi join: a day covered
-    by several intervals is kept once; only ``left``'s columns are returned.
-    The equi key keeps it a partitioned join, never a cartesian product."""
-    r = right.select(F.col(entity).alias("__e"), F.col(start).alias("__s"),
-                     F.col(end).alias("__t"))
-    cond = ((left[entity] == r["__e"]) & (left[day] >= r["__s"]) & (left[day] <= r["__t"]))
-    return left.join(r, cond, "left_semi")
+    of ``right`` for the same ``entity`` (inclusive), each once; only ``left``'s
+    columns are returned.
+
+    The intervals are merged first, so a day can lie in one only: the last that
+    starts on or before it. That one is carried along the entity's days by a
+    running window, one step a row, where a join would compare each day with
+    every interval of its entity. ``left`` should hold a bounded number of rows
+    per (entity, day), as one call a day does, which bounds a window group by the
+    calendar."""
+    merged = merge_intervals(right, entity, start, end)
+    none = F.lit(None).cast(T.StructType(left.schema.fields))
+    days = left.select(F.col(entity).alias("__e"), F.col(day).alias("__d"), F.lit(1).alias("__kind"),
+                       F.lit(None).cast("date").alias("__t"), F.struct(*left.columns).alias("__row"))
+    opened = merged.select(F.col(entity).alias("__e"), F.col(start).alias("__d"), F.lit(0).alias("__kind"),
+                           F.col(end).alias("__t"), none.alias("__row"))
+    upto = (Window.partitionBy("__e").orderBy("__d", "__kind")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (days.filter(F.col("__e").isNotNull() & F.col("__d").isNotNull()).unionByName(opened)
+            .withColumn("__open", F.last("__t", ignorenulls=True).over(upto))
+            .filter(F.col("__row").isNotNull() & (F.col("__open") >= F.col("__d"))).select("__row.*"))
 
 
 def overlap_periods(df: DataFrame, start: str, end: str, periods: DataFrame,
@@ -72,35 +106,54 @@ def asof_within(left: DataFrame, right: DataFrame, entity: str, left_day: str,
     are dropped; a candidate with a null value is returned as null.
 
     No band join (which pairs each call-day with every answer-day of its
-    window): the right rows are unioned with the left keys and one running
-    window per entity carries the last answer seen. Rows are ordered by day
-    (keys before same-day answers, so only earlier days count), then time,
-    then value descending with nulls first - the last row before a key is the
-    latest answer, ties to the smallest value, nulls last. It counts when it
-    is at most ``days`` old. One shuffle, O(1) per row whatever the answer
+    window): the last answer is carried forward in two levels. The last answer of
+    each calendar month with any is handed to the months after it, up to the next
+    month with answers and as far as ``days`` reach. Then one running window over
+    each entity's month holds that answer, the month's own answers and the keys,
+    ordered by day (what was handed on first, keys before same-day answers, so only
+    earlier days count), then time, then value descending with nulls first - the
+    last row before a key is the latest answer, ties to the smallest value, nulls
+    last. It counts when it is at most ``days`` old. No window holds more than an
+    entity's month, or one row for each of its months, whatever the answer
     density; ``right`` should already be cut to (entity, day, value) rows
-    (as ``daily_counts`` does), which bounds every window group by the
-    calendar.
+    (as ``daily_counts`` does).
     """
-    answers = right.select(
-        F.col(entity), F.unix_date(F.col(right_day)).alias("__d"), F.lit(1).alias("__kind"),
+    def month(of: Column) -> Column:
+        return F.year(of) * 12 + F.month(of)
+
+    answers = right.filter(F.col(entity).isNotNull() & F.col(right_day).isNotNull()).select(
+        F.col(entity).alias("__e"), month(F.col(right_day)).alias("__m"),
+        F.unix_date(F.col(right_day)).alias("__d"), F.lit(2).alias("__kind"),
         F.col(right_ts).alias("__ts"), F.col(value).alias("__v"),
         F.struct(F.unix_date(F.col(right_day)).alias("d"), F.col(value).alias("v")).alias("__c"),
         F.lit(None).cast("date").alias("__day"))
-    keys = left.select(entity, left_day).distinct().select(
-        F.col(entity), F.unix_date(F.col(left_day)).alias("__d"), F.lit(0).alias("__kind"),
-        F.lit(None).cast(answers.schema["__ts"].dataType).alias("__ts"),
-        F.lit(None).cast(answers.schema["__v"].dataType).alias("__v"),
-        F.lit(None).cast(answers.schema["__c"].dataType).alias("__c"),
+    kinds = {f.name: f.dataType for f in answers.schema.fields}
+
+    def nothing(*names: str) -> list[Column]:
+        return [F.lit(None).cast(kinds[n]).alias(n) for n in names]
+
+    newest = Window.partitionBy("__e", "__m").orderBy(
+        F.desc("__d"), F.desc_nulls_last("__ts"), F.asc_nulls_last("__v"))
+    month_last = (answers.withColumn("__rn", F.row_number().over(newest)).filter("__rn = 1")
+                  .select("__e", "__m", "__c"))
+    reach = F.col("__m") + days // 28 + 1
+    upto = F.least(F.lead("__m").over(Window.partitionBy("__e").orderBy("__m")), reach)
+    handed = (month_last.withColumn("__upto", upto)
+              .select("__e", F.explode(F.sequence(F.col("__m") + 1, "__upto")).alias("__m"),
+                      *nothing("__d"), F.lit(0).alias("__kind"), *nothing("__ts", "__v"), "__c",
+                      *nothing("__day")))
+    keys = left.filter(F.col(entity).isNotNull() & F.col(left_day).isNotNull()).select(entity, left_day).distinct().select(
+        F.col(entity).alias("__e"), month(F.col(left_day)).alias("__m"),
+        F.unix_date(F.col(left_day)).alias("__d"), F.lit(1).alias("__kind"), *nothing("__ts", "__v", "__c"),
         F.col(left_day).alias("__day"))
-    before = (Window.partitionBy(entity)
-              .orderBy("__d", "__kind", "__ts", F.desc_nulls_first("__v"))
+    before = (Window.partitionBy("__e", "__m")
+              .orderBy(F.asc_nulls_first("__d"), "__kind", F.asc_nulls_first("__ts"), F.desc_nulls_first("__v"))
               .rowsBetween(Window.unboundedPreceding, -1))
-    found = (answers.unionByName(keys)
+    found = (answers.unionByName(keys).unionByName(handed)
              .withColumn("__last", F.last("__c", ignorenulls=True).over(before))
              .filter(F.col("__day").isNotNull() & F.col("__last").isNotNull()
                      & (F.col("__last.d") >= F.col("__d") - days)))
-    return found.select(F.col(entity), F.col("__day").alias(left_day),
+    return found.select(F.col("__e").alias(entity), F.col("__day").alias(left_day),
                         F.col("__last.v").alias(out_value))
 
 

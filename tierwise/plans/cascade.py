@@ -9,16 +9,17 @@ calls need any enrolled row (FEP kept), topics have no CURRENTGUID and
 goals attach to the latest row still active on ``as_of`` (any status).
 
 Plan shape. Everything is keyed by the call-day (ACCOUNT, CALL_DATE). Each
-tier is reduced to at most one row per call-day *before* it is joined, so
-the final assembly is a chain of left joins on one key with no fan-out,
-and no step ever holds more than a bounded number of rows per key: calls
-and notes are cut to one row per (account, day) by partial top-1 or
-partial aggregation before their first shuffle.
+tier is reduced to at most one row per call-day *before* the assembly, which
+stacks the tiers and takes one aggregate per call-day, and no step ever
+holds more than a bounded number of rows per key: calls and notes are cut
+to one row per (account, day) by partial top-1 or partial aggregation
+before their first shuffle.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -132,9 +133,32 @@ def _as_call_day(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("TOPIC_DATE", "CALL_DATE")
 
 
-def calls_without_direct_topic(calls: DataFrame, lm: DataFrame, dm: DataFrame) -> DataFrame:
+def stack_by_day(tables: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """One row per call-day with the given columns of all tables, each of which holds
+    at most one row per call-day: the tables are stacked and brought together once,
+    where a chain of joins would bring each together with all before it. Columns of
+    a table without that day are null."""
+    kinds = {c: df.schema[c].dataType for df, columns in tables for c in columns}
+    stacked = [df.select(*DAY_KEY, *[(F.col(c) if c in columns else F.lit(None).cast(kind)).alias(c)
+                                     for c, kind in kinds.items()]) for df, columns in tables]
+    return (reduce(DataFrame.unionByName, stacked).repartition(*DAY_KEY).groupBy(*DAY_KEY)
+            .agg(*[F.first(c, ignorenulls=True).alias(c) for c in kinds]))
+
+
+def direct_answers(calls: DataFrame, lm: DataFrame, dm: DataFrame) -> DataFrame:
+    """Call-days (``__call`` holds the call's columns) with the day's LM and DM answers."""
+    rest = [c for c in CALL_DAY_COLUMNS if c not in DAY_KEY]
+    return stack_by_day([
+        (calls.select(*DAY_KEY, F.struct(*rest).alias("__call")), ["__call"]),
+        (_as_call_day(lm).withColumnRenamed("RESPONSE_TEXT", "__lm"), ["__lm"]),
+        (_as_call_day(dm).withColumnRenamed("RESPONSE_TEXT", "__dm0"), ["__dm0"]),
+    ]).filter(F.col("__call").isNotNull())
+
+
+def calls_without_direct_topic(days: DataFrame) -> DataFrame:
     """Call-days with neither an LM nor a DM answer on that day."""
-    return unresolved(calls, _as_call_day(lm), _as_call_day(dm), on=DAY_KEY)
+    return (days.filter(F.col("__lm").isNull() & F.col("__dm0").isNull())
+            .select(*DAY_KEY, "__call.*").select(*CALL_DAY_COLUMNS))
 
 
 def usable_text(col: Column) -> Column:
@@ -198,26 +222,25 @@ def answer_category(col: Column, default: str | None) -> Column:
     return first_match(by_equality(F.upper(col), R.ANSWER_CATEGORIES), default)
 
 
-def assemble_topics(calls: DataFrame, lm: DataFrame, dm: DataFrame, text_topics: DataFrame,
-                    prior: DataFrame, bridge: DataFrame | None) -> DataFrame:
+def assemble_topics(days: DataFrame, text_topics: DataFrame, prior: DataFrame,
+                    bridge: DataFrame | None) -> DataFrame:
     """One topic per call-day through the ordered cascade.
 
-    Each tier holds at most one row per call-day, so the left joins never fan
-    out; only the GUID bridge can (several CURRENTGUIDs for one GUID)."""
-    j = (calls
-         .join(_as_call_day(lm).withColumnRenamed("RESPONSE_TEXT", "__lm"), DAY_KEY, "left")
-         .join(_as_call_day(dm).withColumnRenamed("RESPONSE_TEXT", "__dm0"), DAY_KEY, "left")
-         .join(_as_call_day(text_topics).withColumnRenamed("INFERRED_TOPIC", "__gt0"),
-               DAY_KEY, "left")
-         .join(prior.withColumnRenamed("PRIOR_RESPONSE_TEXT", "__pt0")
-               .withColumn("__has_pt", F.lit(True)), DAY_KEY, "left"))
+    ``days`` is ``direct_answers``; the other tiers, each with at most one row
+    per call-day, are stacked on it, so one aggregate per call-day holds what
+    every tier says. Only the GUID bridge can fan out (several CURRENTGUIDs for
+    one GUID)."""
+    j = stack_by_day([
+        (days, ["__call", "__lm", "__dm0"]),
+        (_as_call_day(text_topics).withColumnRenamed("INFERRED_TOPIC", "__gt0"), ["__gt0"]),
+        (prior.withColumnRenamed("PRIOR_RESPONSE_TEXT", "__pt0"), ["__pt0"]),
+    ]).filter(F.col("__call").isNotNull()).select(*DAY_KEY, "__call.*", "__lm", "__dm0", "__gt0", "__pt0")
     lm_, has_lm = F.col("__lm"), F.col("__lm").isNotNull()
     # The DM answer only counts when there is no LM answer that day, even an
     # unmapped one; text and prior tiers only when neither exists.
     dm_ = F.when(~has_lm, F.col("__dm0"))
     gt_ = F.when(~has_lm & dm_.isNull(), F.col("__gt0"))
-    has_pt = F.coalesce(F.col("__has_pt"), F.lit(False)) & ~has_lm & dm_.isNull() & gt_.isNull()
-    pt_ = F.when(has_pt, F.col("__pt0"))
+    pt_ = F.when(~has_lm & dm_.isNull() & gt_.isNull(), F.col("__pt0"))
     call_type = norm(F.col("CALL_TYPE"))
 
     report_topic = first_match(
@@ -347,14 +370,14 @@ def build(sources: dict[str, DataFrame], as_of: dt.date | str, variant: str = "r
     daily = shared(lm_daily(sources))
     out["lm"] = shared(lm_topics(daily))
     out["dm"] = shared(dm_topics(sources))
-    out["no_tier1"] = calls_without_direct_topic(out["calls"], out["lm"], out["dm"])
+    days = shared(direct_answers(out["calls"], out["lm"], out["dm"]))
+    out["no_tier1"] = calls_without_direct_topic(days)
     out["text_topics"] = shared(inferred_text_topics(sources, out["no_tier1"]))
     out["prior"] = prior_topics(daily, out["no_tier1"], out["text_topics"])
     bridge = None
     if variant == "refresh":
         bridge = out["bridge"] = guid_bridge(out["calls"], sources["ELIGMEMBER"])
-    out["topics"] = assemble_topics(out["calls"], out["lm"], out["dm"], out["text_topics"],
-                                    out["prior"], bridge)
+    out["topics"] = assemble_topics(days, out["text_topics"], out["prior"], bridge)
     out["tobacco"] = tobacco_flag(out["topics"])
     out["goals"] = goals_classified(sources)
     goal_rows = out["enrolled"] if variant == "refresh" else active_enrollment(sources, as_of)
