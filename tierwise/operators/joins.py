@@ -50,7 +50,9 @@ def within_interval(left: DataFrame, right: DataFrame, entity: str, day: str,
                            F.col(end).alias("__t"), none.alias("__row"))
     upto = (Window.partitionBy("__e").orderBy("__d", "__kind")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (days.filter(F.col("__e").isNotNull() & F.col("__d").isNotNull()).unionByName(opened)
+    # both sides lie by entity already, so the window moves neither again
+    known = days.filter(F.col("__e").isNotNull() & F.col("__d").isNotNull()).repartition("__e")
+    return (known.unionByName(opened)
             .withColumn("__open", F.last("__t", ignorenulls=True).over(upto))
             .filter(F.col("__row").isNotNull() & (F.col("__open") >= F.col("__d"))).select("__row.*"))
 
@@ -123,11 +125,11 @@ def asof_within(left: DataFrame, right: DataFrame, entity: str, left_day: str,
 
     answers = right.filter(F.col(entity).isNotNull() & F.col(right_day).isNotNull()).select(
         F.col(entity).alias("__e"), month(F.col(right_day)).alias("__m"),
-        F.unix_date(F.col(right_day)).alias("__d"), F.lit(2).alias("__kind"),
-        F.col(right_ts).alias("__ts"), F.col(value).alias("__v"),
+        F.unix_date(F.col(right_day)).alias("__d"), F.col(right_ts).alias("__ts"), F.col(value).alias("__v"),
         F.struct(F.unix_date(F.col(right_day)).alias("d"), F.col(value).alias("v")).alias("__c"),
-        F.lit(None).cast("date").alias("__day"))
-    kinds = {f.name: f.dataType for f in answers.schema.fields}
+    ).repartition("__e", "__m")  # once, for both levels
+    kinds = {f.name: f.dataType for f in answers.schema.fields} | {"__day": T.DateType()}
+    columns = ["__e", "__m", "__d", "__kind", "__ts", "__v", "__c", "__day"]
 
     def nothing(*names: str) -> list[Column]:
         return [F.lit(None).cast(kinds[n]).alias(n) for n in names]
@@ -139,17 +141,19 @@ def asof_within(left: DataFrame, right: DataFrame, entity: str, left_day: str,
     reach = F.col("__m") + days // 28 + 1
     upto = F.least(F.lead("__m").over(Window.partitionBy("__e").orderBy("__m")), reach)
     handed = (month_last.withColumn("__upto", upto)
-              .select("__e", F.explode(F.sequence(F.col("__m") + 1, "__upto")).alias("__m"),
-                      *nothing("__d"), F.lit(0).alias("__kind"), *nothing("__ts", "__v"), "__c",
-                      *nothing("__day")))
-    keys = left.filter(F.col(entity).isNotNull() & F.col(left_day).isNotNull()).select(entity, left_day).distinct().select(
-        F.col(entity).alias("__e"), month(F.col(left_day)).alias("__m"),
-        F.unix_date(F.col(left_day)).alias("__d"), F.lit(1).alias("__kind"), *nothing("__ts", "__v", "__c"),
-        F.col(left_day).alias("__day"))
+              .select("__e", F.explode(F.sequence(F.col("__m") + 1, "__upto")).alias("__m"), "__c",
+                      F.lit(0).alias("__kind"), *nothing("__d", "__ts", "__v", "__day"))
+              .repartition("__e", "__m"))
+    keys = (left.filter(F.col(entity).isNotNull() & F.col(left_day).isNotNull())
+            .select(F.col(entity).alias("__e"), month(F.col(left_day)).alias("__m"), F.col(left_day).alias("__day"))
+            .repartition("__e", "__m").distinct()
+            .select("*", F.unix_date("__day").alias("__d"), F.lit(1).alias("__kind"),
+                    *nothing("__ts", "__v", "__c")))
+    own = answers.select("*", F.lit(2).alias("__kind"), *nothing("__day"))
     before = (Window.partitionBy("__e", "__m")
               .orderBy(F.asc_nulls_first("__d"), "__kind", F.asc_nulls_first("__ts"), F.desc_nulls_first("__v"))
               .rowsBetween(Window.unboundedPreceding, -1))
-    found = (answers.unionByName(keys).unionByName(handed)
+    found = (own.select(*columns).union(keys.select(*columns)).union(handed.select(*columns))
              .withColumn("__last", F.last("__c", ignorenulls=True).over(before))
              .filter(F.col("__day").isNotNull() & F.col("__last").isNotNull()
                      & (F.col("__last.d") >= F.col("__d") - days)))
