@@ -1,7 +1,9 @@
 """Extraction, decontamination, packing, WARC, personal data, licences and the pipeline."""
 
 import hashlib
+import html
 import random
+import re
 import textwrap
 
 import numpy as np
@@ -14,7 +16,7 @@ import corpus_pipeline
 from tierwise.llm import html_extract, licenses, pii, warc
 from tierwise.llm.decontam import (Matcher, benchmark_matches, best_match, drop_contaminated,
                                    error_budget, normalized, pattern_masks, pieces)
-from tierwise.llm.dom import decode, features, kept_text, parse
+from tierwise.llm.dom import FEATURES, decode, features, kept_text, parse
 from tierwise.llm.packing import END_ID, assign, crc, pack_documents, token_ids
 from tierwise.llm.scratch import Scratch
 from tierwise.llm.trees import Boosted, Split
@@ -195,6 +197,64 @@ def test_tree_is_read_however_broken():
     assert text == "ab c <d> e f"
 
 
+def whole(page):
+    dom = parse(page)
+    return kept_text(dom, np.ones(len(dom.tag), bool))
+
+
+def test_a_head_ends_without_its_end_tag():
+    for head in ("<head><title>x</title>", "<head><title>x</title><meta charset=utf-8><link rel=a>", "<title>x</title>",
+                 "<head><script>for (i<n; it's) { '</p>' }</script><style>a'b</style>", "<head><noscript><img></noscript>",
+                 "<head><noscript>", "<head><template><p>t</p></template><base>", "<head>\n", "<head></head>",
+                 "<head><script>var a = '<body>';</script></head>"):
+        for body in ("<body>", "<body class='it'>", ""):
+            assert whole(f"<html>{head}{body}<article><p>Hello main text</p>") == "Hello main text", (head, body)
+    assert whole("<html><head>Text ends a head<p>too") == "Text ends a head too"
+    assert whole("<html><head><title>t</title>") == "" and whole("a<header>b</header>c") == "a b c"
+
+
+def test_unclosed_elements_hide_nothing_but_code():
+    for name in ("noscript", "button", "svg", "select", "object", "video", "textarea", "title", "iframe", "template"):
+        assert whole(f"<p>a</p><{name}><p>b</p>") == "a b", name
+        assert whole(f"<p>a</p><{name}>x</{name}><p>b</p>") == "a b", name
+        assert whole(f"<p>a</p><{name}><{name}>x</{name}><p>b</p>") in ("a b", "a x b"), name
+    assert whole("<p>a</p><svg><svg>x</svg>y</svg><p>b</p>") == "a b"
+    assert whole("<p>a</p><button><script>'</button>'</script>x</button>b") == "a b"
+    assert whole("<p>a</p><script>b<p>c") == "a" and whole("<scripted>a</scripted><p>b") == "a b"
+
+
+def test_deep_and_long_pages_are_read_in_one_pass():
+    depth = 200_000
+    assert whole("<div>" * depth + "x" + "</section>" * depth) == "x"
+    assert whole("<svg>" * depth + "x") == "x"
+    page = "<article>" + "<div><p>word</p></div>" * 100_000 + "</article><footer>f</footer>"
+    trees = Boosted(FEATURES, [(1.0, Split(FEATURES.index("tag_2"), 0.5, 1.0, -1.0))])
+    texts = list(html_extract._page_texts(trees, iter(["<p>a", page, None, "<footer>b"])))
+    assert texts == ["a", " ".join(["word"] * 100_000), "", ""]
+
+
+def article(page):
+    """The text of the one article of a driver's page, by patterns alone."""
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    inner = re.sub(r"</?(?:b|a|i|em|span|strong)\b[^>]*>", "", re.sub(r"<!--.*?-->", "", inner, flags=re.S))
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
+
+
+def test_long_pages_only_and_pages_without_text(spark):
+    rows = [(k, "u", f"<html><head><title>t</title><body><nav><ul>{'<li><a href=x>Menu</a>' * 9}</ul></nav><article><h1>Head {k}</h1>"
+             + "".join(f"<p>This is sentence {j} of the main story, and it is long enough.</p>" for j in range(1200))
+             + "</article><footer>Legal footer</footer>") for k in range(5)]
+    assert min(len(r[2]) for r in rows) > 60_000
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_text(
+        spark, pages, html_extract.train_extractor(spark, pages)).collect()}
+    assert got == {k: article(p) for k, _, p in rows}
+    bare = spark.createDataFrame([(1, "u", None), (2, "u", "<p>")], "page_id long, url string, html string")
+    model = html_extract.train_extractor(spark, bare)
+    got = html_extract.extract_text(spark, pages, model).collect()
+    assert model is not None and {r.page_id: r.text for r in got} == {k: article(p) for k, _, p in rows}
+
+
 def test_no_node_is_kept_below_a_dropped_one():
     dom = parse("<div><p>a</p></div><section><p>b</p><p>c</p></section>")
     keep = decode(dom, np.array([0, -5, 2, -1, 3, -4.0]))
@@ -213,8 +273,7 @@ def test_extraction_on_held_out_pages(spark):
                         "Second boldtext and more.")
     right = 0
     for r in pages.collect():
-        body = parse(r.html[r.html.find("<article>"):].split("</article>")[0])
-        right += got[r.page_id] == kept_text(body, np.ones(len(body.tag), bool))
+        right += got[r.page_id] == article(r.html)
     assert right >= 0.95 * pages.count()
     assert html_extract.extract_text(spark, pages.limit(0), None).count() == 0
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -15,9 +16,13 @@ _ATTR = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Elements whose content is text to no reader; what is inside is skipped as a whole.
+#: An element without an end tag after it hides nothing, but for code, which goes on to the end.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
-NEVER = {"head", "template", "noscript", "svg", "canvas", "object", "audio", "video", "map",
-         "select", "button", "datalist", "script", "style", "textarea", "title", "iframe"}
+CODE = {"script", "style"}
+#: What a head holds; any other start tag or text ends it, as its end tag may be left out.
+IN_HEAD = RAW | {"base", "basefont", "bgsound", "link", "meta", "noscript", "template", "head", "html"}
+NEVER = {"template", "noscript", "svg", "canvas", "object", "audio", "video", "map",
+         "select", "button", "datalist"} | RAW
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
@@ -63,27 +68,53 @@ class Dom:
         self.text: list[tuple[int, str, bool]] = []
 
 
+class _EndTags:
+    """Where the end tags of a page are, looked up once a name."""
+
+    def __init__(self, page: str) -> None:
+        self._page = page
+        self._last: dict[str, int] = {}
+
+    def follow(self, name: str, at: int) -> bool:
+        """Whether an end tag of that name begins at ``at`` or later."""
+        if name not in self._last:
+            self._last[name] = -1
+            for m in re.finditer(f"</{name}(?![a-zA-Z0-9:_-])", self._page, re.I):
+                self._last[name] = m.start()
+        return self._last[name] >= at
+
+    def after(self, name: str, at: int) -> int | None:
+        """Where the next end tag of that name ends."""
+        if not self.follow(name, at):
+            return None
+        return re.compile(f"</{name}(?![a-zA-Z0-9:_-])[^>]*>?", re.I).search(self._page, at).end()
+
+
 def parse(page: str) -> Dom:
     """The tree of a page, however it is closed: stray end tags are ignored, open elements end with it."""
     dom = Dom()
     stack = [(0, "html")]  # block elements only
+    open_names: Counter[str] = Counter()
+    ends = _EndTags(page)
     links = 0
+    head = False
     skip = None  # (name, how many of that name are open) of an element whose content is skipped
     at = 0
 
     def write(raw: str) -> None:
+        nonlocal head
         if raw and skip is None:
+            if head:
+                if not raw.strip():
+                    return
+                head = False
             dom.text.append((stack[-1][0], html.unescape(raw) if "&" in raw else raw, links > 0))
 
+    def close(k: int) -> None:
+        open_names.subtract(name for _, name in stack[k:])
+        del stack[k:]
+
     while True:
-        if skip is not None and skip[0] in RAW:
-            # to the matching end tag, whatever lies between
-            end = re.compile(f"</{skip[0]}[^>]*>?", re.I).search(page, at)
-            skip = None
-            if end is None:
-                return dom
-            at = end.end()
-            continue
         opened = page.find("<", at)
         if opened < 0:
             write(page[at:])
@@ -100,12 +131,25 @@ def parse(page: str) -> Dom:
             continue
         name = name.lower()
         closing = bool(m["end"] or m["bend"])
+        if name in RAW and not closing:
+            # to the matching end tag, whatever lies between
+            if skip is None:
+                dom.text.append((-1, "", False))
+            end = ends.after(name, at)
+            if end is None and name in CODE:
+                return dom
+            at = at if end is None else end
+            continue
         if skip is not None:
             if name == skip[0]:
-                skip = (name, skip[1] + (-1 if closing else 1))
-                if skip[1] == 0:
-                    skip = None
+                left = skip[1] + (-1 if closing else 1)
+                skip = (name, left) if left and ends.follow(name, at) else None
+            continue
+        if name == "head":
+            head = not closing and len(dom.tag) == 1
             continue
+        if head and not closing and name not in IN_HEAD:
+            head = False
         if name in VOID:
             if name in ("br", "hr"):
                 dom.text.append((-1, "", False))
@@ -115,16 +159,16 @@ def parse(page: str) -> Dom:
         if closing:
             if name in INLINE or name in NEVER:
                 continue
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if open_names[name] else ():
                 if stack[k][1] == name:
-                    del stack[k:]
+                    close(k)
                     dom.text.append((-1, "", False))
                     links = 0
                     break
             continue
         attrs = m["attrs"] or m["battrs"] or ""
         if name in NEVER:
-            if not attrs.rstrip().endswith("/"):
+            if not attrs.rstrip().endswith("/") and ends.follow(name, at):
                 skip = (name, 1)
             dom.text.append((-1, "", False))
             continue
@@ -134,11 +178,11 @@ def parse(page: str) -> Dom:
         if name in ("html",):
             continue
         closes, within = CLOSES.get(name, (frozenset({"p"}), frozenset()))
-        for k in range(len(stack) - 1, 0, -1):
+        for k in range(len(stack) - 1, 0, -1) if any(open_names[c] for c in closes) else ():
             if stack[k][1] in within:
                 break
             if stack[k][1] in closes:
-                del stack[k:]
+                close(k)
                 break
             if name not in CLOSES and stack[k][1] != "p":
                 break
@@ -154,6 +198,7 @@ def parse(page: str) -> Dom:
         dom.tag.append(name)
         dom.words.append(tuple(found))
         stack.append((len(dom.tag) - 1, name))
+        open_names[name] += 1
 
 
 def features(dom: Dom) -> np.ndarray:

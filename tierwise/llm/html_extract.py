@@ -6,8 +6,9 @@ text). Boosted trees give every node a margin for holding main text; the nodes
 kept are the choice of largest total margin in which no node is kept below one
 that is dropped. Scripts, styles, form controls and the like never count.
 
-Training needs no labels from outside: main text and boilerplate of a bounded
-sample of pages are laid out anew in many forms (article, main or classed
+Training needs no labels from outside: a bounded number of text blocks, spread over
+each page of a bounded sample, of any length, or built-in ones where no page has
+text, are laid out anew as main text and boilerplate in many forms (article, main or classed
 containers; menus, headers, footers, sidebars, adverts, notices, forms, comment
 threads and related links around and inside), where every node's part is known.
 
@@ -31,11 +32,24 @@ from pyspark.sql import functions as F
 from tierwise.llm.dom import FEATURES, Dom, decode, features, kept_text, parse
 from tierwise.llm.trees import Boosted, train
 
-#: Pages of the training sample, and the longest page (in characters) that may be in it.
+#: Pages of the training sample; blocks of one page, spread over all of it, and characters of a block.
 SAMPLE_PAGES = 160
-SAMPLE_CHARS = 60_000
+SAMPLE_BLOCKS = 200
+BLOCK_CHARS = 2000
 LAYOUTS_PER_PAGE = 3
-BATCH_PAGES = 256
+#: Nodes whose features are held together, or one page's.
+BATCH_NODES = 20_000
+
+#: Blocks to lay out where a table has none.
+_BUILT_IN = [
+    "A short walk along the river", "The path begins behind the old mill and follows the water for two miles.",
+    "After the second bridge it climbs, slowly at first, through beech and oak, and the valley opens below.",
+    "Most people turn back at the chapel. Those who go on are rewarded with a view of both villages, and, "
+    "on clear days, of the hills beyond them.", "In spring the lower part is often under water.",
+    "The inn at the top serves soup until four. It has been run by the same family for three generations, "
+    "and little about it has changed.", "How to get there", "Trains leave every hour.",
+    "Allow three hours for the whole round, four with children, and take something warm.",
+]
 
 #: Attribute marking, in a laid-out training page, the elements that hold main text.
 _MAIN = "data-main"
@@ -129,20 +143,25 @@ def layout(blocks: list[str], spare: list[str], rng: random.Random) -> str:
     return f"<html><body {_MAIN}>{''.join(before)}{body}{''.join(after)}</body></html>"
 
 
-def training_rows(pages: list[str], layouts: int = LAYOUTS_PER_PAGE) -> tuple[np.ndarray, np.ndarray]:
-    """Node features and 0/1 labels of laid-out pages."""
-    texts = []
-    for page in pages:
-        dom, blocks = parse(page), {}
-        for node, text, link in dom.text:
-            if node >= 0 and not link:
-                blocks.setdefault(node, []).append(text)
-        joined = [" ".join("".join(t).split()) for t in blocks.values()]
-        texts.append([t for t in joined if len(t) > 1])
+def text_blocks(page: str, most: int = SAMPLE_BLOCKS) -> list[str]:
+    """Text of a page by node, without links; at most ``most`` blocks, evenly spread, cut to ``BLOCK_CHARS``."""
+    blocks: dict[int, list[str]] = {}
+    for node, text, link in parse(page).text:
+        if node >= 0 and not link:
+            blocks.setdefault(node, []).append(text)
+    joined = [" ".join("".join(t).split()) for t in blocks.values()]
+    long = [t[:BLOCK_CHARS] for t in joined if len(t) > 1]
+    step = max(1, -(-len(long) // most))
+    return long[::step]
+
+
+def training_rows(texts: list[list[str]], layouts: int = LAYOUTS_PER_PAGE) -> tuple[np.ndarray, np.ndarray]:
+    """Node features and 0/1 labels of laid-out pages, from the blocks of each page."""
+    texts = [t for t in texts if t] or [_BUILT_IN] * 20
     spare = [s.strip() for t in texts for b in t[1:4] for s in b.split(". ")[:2] if s.strip()][:5000]
     rng, rows, labels = random.Random(11), [], []
     for blocks in texts:
-        for _ in range(layouts if blocks else 0):
+        for _ in range(layouts):
             begin = rng.randrange(len(blocks))
             own = blocks[begin:begin + rng.randint(1, 40)]
             # main text has short blocks too, anywhere
@@ -151,8 +170,6 @@ def training_rows(pages: list[str], layouts: int = LAYOUTS_PER_PAGE) -> tuple[np
             marked = parse(page.replace(f" {_MAIN}", " itemprop='xmainx'"))
             rows.append(features(parse(page)))
             labels.append(_labels(page, marked))
-    if not rows:
-        return np.zeros((0, len(FEATURES))), np.zeros(0, int)
     return np.concatenate(rows), np.concatenate(labels)
 
 
@@ -168,15 +185,15 @@ def _labels(page: str, dom: Dom) -> np.ndarray:
 
 
 def train_extractor(spark: SparkSession, pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Boosted | None:
-    """Trees from laid-out pages made of at most ``sample_pages`` pages."""
+    """Trees from laid-out pages made of text blocks of at most ``sample_pages`` pages."""
     parts = 1 << 30
     share = int(parts * min(1.0, 4 * sample_pages / max(1, pages.count())))
-    chosen = (pages.where((F.pmod(F.xxhash64("page_id"), F.lit(parts)) < share)
-                          & (F.char_length("html") <= SAMPLE_CHARS))
-              .select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages))
-    rows, labels = training_rows([r.html for r in chosen.collect()])
-    if not len(rows):
-        return None
+    order = [F.xxhash64("page_id"), F.col("page_id"), F.xxhash64("html")]
+    chosen = (pages.where((F.pmod(F.xxhash64("page_id"), F.lit(parts)) < share) & F.col("html").isNotNull())
+              .select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
+              .orderBy(*order).limit(sample_pages))
+    found = chosen.mapInArrow(_sampled, "page_id long, blocks array<string>").collect()
+    rows, labels = training_rows([r.blocks for r in found])
     names = [f"f{k}" for k in range(len(FEATURES))]
     table = pa.table([pa.array(np.ascontiguousarray(c)) for c in rows.T] + [pa.array(labels)],
                      names=[*names, "label"])
@@ -184,21 +201,48 @@ def train_extractor(spark: SparkSession, pages: DataFrame, sample_pages: int = S
     return model
 
 
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.record_batch(
+            [batch.column(0), pa.array([text_blocks(page.as_py()) for page in batch.column(1)],
+                                       pa.list_(pa.string()))], names=["page_id", "blocks"])
+
+
+def _margins(trees: Boosted | None, rows: np.ndarray) -> np.ndarray:
+    if trees is None:
+        return np.ones(len(rows))
+    return np.concatenate([trees.margins(rows[a:a + BATCH_NODES]) for a in range(0, len(rows), BATCH_NODES)])
+
+
+def _page_texts(trees: Boosted | None, pages: Iterator[str | None]) -> Iterator[str]:
+    """The texts in order; features of several small pages, or of one large page, are held at a time."""
+    doms: list[Dom] = []
+
+    def done() -> Iterator[str]:
+        if doms:
+            margins, begin = _margins(trees, np.concatenate([features(d) for d in doms])), 0
+            for dom in doms:
+                yield kept_text(dom, decode(dom, margins[begin:begin + len(dom.tag)]))
+                begin += len(dom.tag)
+            doms.clear()
+
+    nodes = 0
+    for page in pages:
+        dom = parse(page or "")
+        if nodes + len(dom.tag) > BATCH_NODES:
+            yield from done()
+            nodes = 0
+        doms.append(dom)
+        nodes += len(dom.tag)
+    yield from done()
+
+
 def _extract(model: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = model.value
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_PAGES):
-                part = batch.slice(at, BATCH_PAGES)
-                doms = [parse(page.as_py() or "") for page in part.column(2)]
-                rows = [features(d) for d in doms]
-                margins = trees.margins(np.concatenate(rows)) if trees else np.ones(sum(map(len, rows)))
-                texts, begin = [], 0
-                for dom, own in zip(doms, rows):
-                    texts.append(kept_text(dom, decode(dom, margins[begin:begin + len(own)])))
-                    begin += len(own)
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string())],
-                                      names=["page_id", "url", "text"])
+            texts = list(_page_texts(model.value, (page.as_py() for page in batch.column(2))))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
+                                  names=["page_id", "url", "text"])
     return run
 
 
