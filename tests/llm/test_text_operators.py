@@ -5,9 +5,12 @@ import pytest
 from llm import brute, cases
 
 from tierwise.llm import repeats
+from tierwise.llm import substring_dedup as substring_dedup_module
+from tierwise.llm import suffix_dedup as suffix_dedup_module
 from tierwise.llm.ngram_join import (choose_boundary, keep_one_of_each, light_subset_sizes,
                                      ngram_jaccard_join, overlap_needed)
 from tierwise.llm.quality import keep_good, quality_rules, trusted_ids
+from tierwise.llm.scratch import Scratch
 from tierwise.llm.substring_dedup import substring_dedup
 from tierwise.llm.suffix_dedup import RunLengthIndex, suffix_dedup, suffix_order
 from tierwise.llm.text import chunks, row_shingles, words
@@ -62,24 +65,51 @@ def test_one_of_each_group_stays(spark):
     assert ids == sorted([i for i, c in want.items() if i == c] + [None, None], key=str)
 
 
-@pytest.mark.parametrize("wide", [5000, 1])
-def test_substring_dedup_equals_brute_force(spark, monkeypatch, wide):
+@pytest.mark.parametrize("wide,crowded", [(5000, 1 << 21), (1, 1 << 21), (1, 60), (5000, 60)])
+def test_substring_dedup_equals_brute_force(spark, monkeypatch, wide, crowded):
     monkeypatch.setattr(repeats, "WIDE_ANCHOR", wide)
+    monkeypatch.setattr(repeats, "CROWDED_UNITS", crowded)
     got = {r.doc_id: (r.n_words, r.kept) for r in substring_dedup(spark, cases.frame(spark, ROWS)).collect()}
     want = brute.substring_dedup(ROWS)
     assert got == want
     assert any(kept != " ".join(brute.WORD.findall(t or "")) for (i, t), (_, kept) in zip(ROWS, want.values()))
 
 
-@pytest.mark.parametrize("wide", [5000, 1])
-def test_suffix_dedup_equals_brute_force(spark, monkeypatch, wide):
+@pytest.mark.parametrize("wide,crowded", [(5000, 1 << 21), (1, 1 << 21), (1, 120), (5000, 120)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, wide, crowded):
     monkeypatch.setattr(repeats, "WIDE_ANCHOR", wide)
+    monkeypatch.setattr(repeats, "CROWDED_UNITS", crowded)
     rows = [r for r in ROWS if r[0] != 112]
     got = {r.doc_id: (r.n_bytes, bytes(r.kept), len(r.removed))
            for r in suffix_dedup(spark, cases.frame(spark, rows)).collect()}
     assert got == brute.suffix_dedup(rows)
 
 
+@pytest.mark.parametrize("limit", [4000, 1 << 21])
+def test_a_line_in_every_text_makes_no_large_group(spark, monkeypatch, limit):
+    """A shared line shorter than a window, amid different words: its group meets by window hashes."""
+    monkeypatch.setattr(repeats, "CROWDED_UNITS", limit)
+    rng = __import__("random").Random(4)
+    line, words = cases.prose(rng, 49), [f"w{k}" for k in range(3000)]
+    text = lambda: " ".join(rng.choice(words) for _ in range(12))
+    rows = [(k, f"{text()} {line} {rng.choice('ab')} {text()}") for k in range(300)]
+    saved = {}
+
+    class Spy(Scratch):
+        def save_observed(self, df, name, sums):
+            out = super().save_observed(df, name, sums)
+            saved.setdefault(name, []).append(out[1])
+            return out
+    monkeypatch.setattr(substring_dedup_module, "Scratch", Spy)
+    monkeypatch.setattr(suffix_dedup_module, "Scratch", Spy)
+    got = {r.doc_id: (r.n_words, r.kept) for r in substring_dedup(spark, cases.frame(spark, rows)).collect()}
+    assert got == brute.substring_dedup(rows)
+    got = {r.doc_id: (r.n_bytes, bytes(r.kept), len(r.removed))
+           for r in suffix_dedup(spark, cases.frame(spark, rows)).collect()}
+    assert got == brute.suffix_dedup(rows)
+    assert any(n > 0 for (n,) in saved["crowded"]) == (limit == 4000)
+
+
 def test_substring_operators_on_odd_rows(spark):
     passage = cases.prose(__import__("random").Random(2), 80)
     rows = [(5, passage), (5, passage), (None, passage), (7, None)]

@@ -18,7 +18,10 @@ hold equal windows. Stretches are about 2 / (window - gram + 2) of the units.
 3. Distinct stretches under one anchor that agree on one side of it are cut from the texts of their first
    occurrences and dealt by anchor to groups that fit in memory; an anchor with
    very many of them is dealt by further anchors of longer grams as well. The
-   resolver marks the windows that have an earlier copy in the group.
+   resolver marks the windows that have an earlier copy in the group. A group
+   that is still above ``CROWDED_UNITS``, as a shared line a little shorter than a
+   window makes in texts that differ around it, is never gathered: its windows
+   meet by their hashes, each aggregated to its earliest place first.
 4. Marked windows go back to the texts as ranges; texts without any are not
    shuffled.
 """
@@ -43,6 +46,11 @@ WIDE_ANCHOR = 5_000
 #: Units that a resolver takes at once (whole groups; one group may be larger).
 GROUP_UNITS = 1 << 19
 
+#: Units of a group from which on its windows meet by hash instead.
+CROWDED_UNITS = 1 << 21
+#: The list of crowded groups is broadcast up to this many rows, else joined.
+SMALL_LIST = 100_000
+
 PLACE = ["doc", "rid", "lo"]
 
 
@@ -265,6 +273,40 @@ def _resolve(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def _windows(units: Units) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Stretches of crowded groups -> one narrow row for each of their windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group, *place, raw = (batch.column(k) for k in range(5))
+            doc, rid, lo = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in place)
+            for at in range(0, batch.num_rows, _ROWS):
+                parts = [np.frombuffer(b, units.dtype) for b in raw.slice(at, _ROWS).to_pylist()]
+                offs = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+                count = np.array([len(p) for p in parts]) - units.window + 1
+                row = np.repeat(np.arange(len(parts)), count)
+                start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                begin = offs[row] + start
+                wide = range_hashes(np.concatenate(parts), begin, begin + units.window)
+                yield pa.record_batch([pa.array(wide.view(np.int64)), pa.array(doc[at + row]),
+                                       pa.array(rid[at + row]), pa.array((lo[at + row] + start).astype(np.int32))],
+                                      names=["window", *PLACE])
+    return run
+
+
+_ROWS = 1 << 12
+
+
+def _resolved_by_hash(crowded: DataFrame, units: Units) -> DataFrame:
+    """(rid, r): windows of crowded groups with an earlier copy, of equal 64-bit hash."""
+    windows = crowded.select("gkey", *PLACE, "units").mapInArrow(
+        _windows(units), "window long, doc long, rid long, lo int").distinct()
+    place = F.col("doc") if units.across else F.struct(*PLACE)
+    first = (windows.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+             .where("first < last").select("window", "first"))
+    return (windows.join(first, "window").where(place > F.col("first"))
+            .select("rid", F.struct(F.col("lo").alias("s"), (F.col("lo") + units.window).alias("e")).alias("r")))
+
+
 def first_in_class(label: np.ndarray, at: np.ndarray) -> np.ndarray:
     """For each of the positions ``at`` (ascending) the first position with the same label."""
     order = np.argsort(label, kind="stable")
@@ -318,9 +360,17 @@ def covered_ranges(spark: SparkSession, rows: DataFrame, units: Units, scratch:
     marks = spark.sparkContext.broadcast(mark_table(wanted.select("rid")))
     texts = (rows.select("rid", "text").mapInArrow(keep_marked(marks), "rid long, text string")
              .dropDuplicates(["rid"]).join(wanted, "rid"))
-    cut = (texts.mapInArrow(_cut(units), CUT).repartition("gkey")
-           .sortWithinPartitions("gkey"))
-    inner = cut.mapInArrow(_resolve(units), RESOLVED).select("rid", F.struct("s", "e").alias("r"))
+    cut = scratch.save(texts.mapInArrow(_cut(units), CUT), "cut")
+    size = F.sum(F.length("units")) / np.dtype(units.dtype).itemsize
+    crowded, (many,) = scratch.save_observed(
+        cut.groupBy("gkey").agg(size.alias("size")).where(F.col("size") > CROWDED_UNITS).select("gkey"),
+        "crowded", ["count(1)"])
+    if many:
+        listed = F.broadcast(crowded) if many <= SMALL_LIST else crowded
+        whole = whole.union(_resolved_by_hash(cut.join(listed, "gkey", "left_semi"), units))
+        cut = cut.join(listed, "gkey", "left_anti")
+    groups = cut.repartition("gkey").sortWithinPartitions("gkey")
+    inner = groups.mapInArrow(_resolve(units), RESOLVED).select("rid", F.struct("s", "e").alias("r"))
     return whole.union(inner).groupBy("rid").agg(F.collect_set("r").alias("ranges"))
 
 
