@@ -165,6 +165,25 @@ def test_warc_round_trip(spark, chunk_chars):
         assert urls[i] == (None if url is None else url.replace("\n", "%0A"))
 
 
+def test_a_long_payload_is_written_chunk_by_chunk():
+    import tracemalloc
+    raw = memoryview("aé漢😀".encode() * 20_000_000)
+    assert len(raw) == 200_000_000
+    tracemalloc.start()
+    length = records = 0
+    for record in warc.page_records(1, "u", raw, None):
+        head, _, block = record.partition("\r\n\r\n")
+        length += len(block.encode())
+        records += 1
+        assert len(block.encode()) <= warc.CHUNK_BYTES
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert length == len(raw) and records >= len(raw) // warc.CHUNK_BYTES
+    assert f"WARC-Segment-Total-Length: {length}" in head and peak < 4 << 20
+    assert [bytes(c) for c in warc.payload_chunks(memoryview("é漢".encode()), 4)] == ["é".encode(), "漢".encode()]
+    assert [bytes(c) for c in warc.payload_chunks(memoryview(b""), 4)] == [b""]
+
+
 def test_warc_of_no_pages_and_broken_archives(spark):
     scratch = Scratch(spark, "warc-test")
     path = scratch.path("archive")

@@ -1,18 +1,18 @@
 """Tables written to the cluster's shared folder to cut lineage.
 
 Every table goes below ``spark.checkpoint.dir``, so a lost executor loses no
-part of it. A run's folder has a name of its own and is never overwritten.
+part of it. A run's folder has a name of its own and is never overwritten; it
+goes when the application ends, or by the age sweep of ``sources.ledger``.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.session import shared_dir
+from tierwise.sources.ledger import RunFolders
 
 
 def workers_find_package(spark: SparkSession) -> None:
@@ -33,7 +33,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, operator: str) -> None:
         workers_find_package(spark)
         self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/tierwise-llm/{operator}-{uuid.uuid4().hex}"
+        self.root = RunFolders(spark, operator).root
         self._n = 0
 
     def path(self, name: str) -> str:

@@ -1,12 +1,14 @@
 """WARC archives as a chunked record table.
 
-A payload is cut into chunks of at most ``CHUNK_CHARS`` code points. Each chunk
-is one WARC record: the first a ``response``, the others ``continuation``
+A payload is cut into chunks of at most ``CHUNK_BYTES`` bytes, between code
+points. Each chunk is one WARC record: the first a ``response``, the others ``continuation``
 records with their segment number, so that no record is larger than a chunk,
 whatever the payload. A page whose payload equals that of a page with a smaller
 id becomes a ``revisit`` without payload that names it.
 
-Spark's text writer makes the files: a row is one record, and the two line
+The writer reads a payload twice where it lies, once for its digest and once to hand
+on its chunks one by one, so beside the row itself it holds a few chunks, whatever the
+payload's size. Spark's text writer makes the files: a row is one record, and the two line
 ends after a record are the row separator, so each part file is a plain WARC
 stream (gzip over the whole file). Reading goes line by line through Spark's
 text reader; a gzip file is read by one task from start to end, so the parser
@@ -38,7 +40,9 @@ from pyspark.sql import functions as F
 from tierwise.llm.marks import keep_marked, mark_table
 from tierwise.llm.scratch import Scratch
 
-CHUNK_CHARS = 1 << 16
+CHUNK_BYTES = 1 << 16
+#: Bytes of records that leave a task together.
+BATCH_BYTES = 1 << 20
 #: Payloads of at least so many bytes may become revisits.
 MIN_REVISIT_BYTES = 0
 DATE = "2024-01-01T00:00:00Z"
@@ -60,15 +64,31 @@ def record_id(page: int, segment: int = 1) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page/{page}/{segment}')}>"
 
 
+def _payload(html: pa.Scalar) -> memoryview:
+    """The bytes of a text where they lie; null reads as empty."""
+    return memoryview(html.as_buffer()) if html.is_valid else memoryview(b"")
+
+
+def payload_chunks(raw: memoryview, size: int) -> Iterator[memoryview]:
+    """Parts of at most ``size`` bytes (4 at least), cut between code points; an empty payload has one."""
+    at = 0
+    while True:
+        end = min(at + max(4, size), len(raw))
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1
+        yield raw[at:end]
+        at = end
+        if at >= len(raw):
+            return
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, digests = [], []
-        for html in batch.column(2):
-            payload = (html.as_py() or "").encode()
-            sizes.append(len(payload))
-            digests.append(base32(hashlib.sha1(payload).digest()))
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                               pa.array(digests, pa.string())], names=["rid", "page", "size", "digest"])
+        payloads = [_payload(html) for html in batch.column(2)]
+        yield pa.record_batch([batch.column(0), batch.column(1),
+                               pa.array([len(p) for p in payloads], pa.int64()),
+                               pa.array([base32(hashlib.sha1(p).digest()) for p in payloads], pa.string())],
+                              names=["rid", "page", "size", "digest"])
 
 
 def _record(kind: str, page: int, segment: int, block: str, size: int, more: list[tuple[str, object]]) -> str:
@@ -77,48 +97,49 @@ def _record(kind: str, page: int, segment: int, block: str, size: int, more: lis
     return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n" + block
 
 
-def page_records(page: int, url: str | None, html: str | None, refers_to: int | None,
-                 chunk_chars: int = CHUNK_CHARS) -> Iterator[str]:
-    """The WARC records of one page, in file order, without their end."""
-    text = html or ""
-    parts = [text[i:i + chunk_chars] for i in range(0, len(text), chunk_chars)] or [""]
-    running, total = hashlib.sha1(), 0
-    blocks = []
-    for part in parts:
-        raw = part.encode()
-        running.update(raw)
-        total += len(raw)
-        blocks.append((part, len(raw)))
+def page_records(page: int, url: str | None, raw: memoryview, refers_to: int | None,
+                 chunk_bytes: int = CHUNK_BYTES) -> Iterator[str]:
+    """The WARC records of one page, in file order, without their end, each made as it is taken."""
     common = [("WARC-Target-URI", _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", url))] if url is not None else []
-    common += [("X-Page-Id", page), ("X-Payload-Length", total),
-               ("WARC-Payload-Digest", f"sha1:{base32(running.digest())}")]
+    common += [("X-Page-Id", page), ("X-Payload-Length", len(raw)),
+               ("WARC-Payload-Digest", f"sha1:{base32(hashlib.sha1(raw).digest())}")]
     if refers_to is not None:
         yield _record("revisit", page, 1, "", 0, [
             *common, ("WARC-Refers-To", record_id(refers_to)), ("X-Refers-To-Page-Id", refers_to),
             ("WARC-Profile", PROFILE)])
         return
-    for n, (part, size) in enumerate(blocks, 1):
+    done = 0
+    for n, part in enumerate(payload_chunks(raw, chunk_bytes), 1):
+        done += len(part)
         more = [("Content-Type", "text/html; charset=utf-8")]
-        if len(blocks) > 1:
+        if n > 1 or done < len(raw):
             more.append(("WARC-Segment-Number", n))
         if n > 1:
             more.append(("WARC-Segment-Origin-ID", record_id(page)))
-            if n == len(blocks):
-                more.append(("WARC-Segment-Total-Length", total))
-        yield _record("response" if n == 1 else "continuation", page, n, part, size, [*common, *more])
+            if done == len(raw):
+                more.append(("WARC-Segment-Total-Length", len(raw)))
+        yield _record("response" if n == 1 else "continuation", page, n, str(part, "utf-8"), len(part),
+                      [*common, *more])
 
 
-def _records(chunk_chars: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _records(chunk_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held, size = [], 0
             for page, url, html, refers in zip(*(batch.column(k) for k in (1, 2, 3, 4))):
-                held = list(page_records(page.as_py(), url.as_py(), html.as_py(), refers.as_py(), chunk_chars))
+                for record in page_records(page.as_py(), url.as_py(), _payload(html), refers.as_py(), chunk_bytes):
+                    held.append(record)
+                    size += len(record)
+                    if size >= BATCH_BYTES:
+                        yield pa.record_batch([pa.array(held, pa.string())], names=["value"])
+                        held, size = [], 0
+            if held:
                 yield pa.record_batch([pa.array(held, pa.string())], names=["value"])
     return run
 
 
 def write_warc(spark: SparkSession, pages: DataFrame, path: str, scratch: Scratch,
-               chunk_chars: int = CHUNK_CHARS, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> None:
+               chunk_bytes: int = CHUNK_BYTES, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> None:
     """Write (page_id, url, html) rows as gzip WARC files to a new folder."""
     rows = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(NO_ID)).alias("page"),
                         F.col("url").cast("string").alias("url"),
@@ -137,7 +158,7 @@ def write_warc(spark: SparkSession, pages: DataFrame, path: str, scratch: Scratc
     again = rows.mapInArrow(keep_marked(marks), schema).join(revisits, "rid", "left")
     for part in (alone, again):
         (part.select("rid", "page", "url", "html", "refers_to")
-         .mapInArrow(_records(chunk_chars), "value string")
+         .mapInArrow(_records(chunk_bytes), "value string")
          .write.mode("append").option("compression", "gzip").option("lineSep", RECORD_END).text(path))
 
 
