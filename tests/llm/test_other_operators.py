@@ -387,6 +387,50 @@ def test_licence_families_and_unknown_paragraphs(spark):
     assert licenses.license_finds(spark, cases.frame(spark, []), model).count() == 0
 
 
+#: Lines as they stand in files, none of them a template.
+HELD_OUT = [
+    ("Apache", "The Apache License 2.0 applies to this file."), ("LGPL", "GNU Lesser General Public License v2.1 or later"),
+    ("CC-BY-SA", "This text is available under CC BY-SA 4.0."), ("EPL", "SPDX-License-Identifier: EPL-1.0"),
+    ("Apache", "# SPDX-License-Identifier: Apache-2.0 AND nothing else"), ("MIT", "license = \"MIT License\""),
+    ("MIT", "Copyright 2019 Jo Doe. MIT License"), ("MIT", "License :: OSI Approved :: MIT License"),
+    ("MIT", "Code is distributed under the MIT license (see LICENSE)."), ("ISC", "// SPDX-License-Identifier: ISC"),
+    ("ISC", "This package is licensed under the ISC License, see COPYING."),
+    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("EPL", "This program is made available under the terms of the Eclipse Public License v2.0"),
+    ("EPL", "Eclipse Public License - v 2.0"), ("Boost", "Distributed under the Boost Software License, Version 1.0. "
+                                                "(See accompanying file LICENSE_1_0.txt)"),
+    ("GPL", "                    GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL", "This file is part of Foo and is licensed under the GNU General Public License v3."),
+    ("GPL", "License: GPL-2.0-or-later"), ("LGPL", "Licensed under the GNU LGPL, version 2.1 (LGPL-2.1)"),
+    ("AGPL", "You may use it under the GNU Affero General Public License, version 3 or later."),
+    ("BSD", "* SPDX-License-Identifier: BSD-2-Clause"), ("BSD", "Use of this source code is governed by a BSD-style license."),
+    ("MPL", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of it is missing, ask."),
+    ("CC-BY", "Images: licensed under a Creative Commons Attribution 4.0 International License."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Zlib", "released under the zlib license"), ("CC0", "SPDX-License-Identifier: CC0-1.0"),
+    ("MIT", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+            "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
+]
+
+
+def test_recall_on_held_out_licence_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = licenses.train_licenses(docs)
+    rows = [(k, f"some words before\n\n{line}\n\nand after") for k, (_, line) in enumerate(HELD_OUT)]
+    rng = random.Random(3)
+    clean = ["The license of the driver was not valid.", "A public hearing on general matters is open.",
+             "permission to enter is granted at the gate", "They agreed to the terms of the sale",
+             *(cases.prose(rng, 40) for _ in range(40))]
+    rows += [(1000 + k, line) for k, line in enumerate(clean)]
+    found = {}
+    for r in licenses.license_finds(spark, cases.frame(spark, rows), model).collect():
+        found.setdefault(r.doc_id, set()).add(r.family)
+    right = [family in found.get(k, ()) for k, (family, _) in enumerate(HELD_OUT)]
+    assert sum(right) >= 0.9 * len(right), [x for x, ok in zip(HELD_OUT, right) if not ok]
+    assert not [k for k in found if k >= 1000]
+
+
 def test_wrapped_licence_texts_and_two_families(spark):
     rng = random.Random(9)
     model = licenses.fit_licenses([cases.prose(rng, rng.randint(3, 60)) for _ in range(400)])

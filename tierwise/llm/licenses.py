@@ -40,52 +40,139 @@ TEMPLATES = {
         "Licensed under the MIT license",
         "This project is licensed under the terms of the MIT license",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
+        "SPDX-License-Identifier: MIT",
+        "License: MIT",
+        "The MIT License (MIT)",
+        "Distributed under the MIT license",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+        "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement",
+        "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise",
+        "MIT License",
     ],
     "Apache": [
         "Licensed under the Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License",
         "This software is released under the Apache License 2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
+        "SPDX-License-Identifier: Apache-2.0",
+        "License: Apache-2.0",
+        "Apache License Version 2.0, January 2004",
+        "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements",
+        "Distributed under the Apache 2.0 license",
+        "Apache License 2.0",
     ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version",
         "Released under the GNU GPL version 2 or later",
         "Licensed under the GPL",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "License: GPL-3.0",
+        "GNU General Public License version 3",
+        "GNU General Public License v3.0 (GPLv3)",
+        "Licensed under the GNU GPL v3",
+        "This program is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU General Public License for more details",
+        "Licensed under the GNU General Public License",
     ],
     "LGPL": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
         "Licensed under the GNU Lesser General Public License, version 3",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "License: LGPL-3.0",
+        "GNU Lesser General Public License version 2.1",
+        "Licensed under the LGPL",
+        "GNU Lesser General Public License",
     ],
     "AGPL": [
         "Licensed under the GNU Affero General Public License, version 3",
         "You can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "License: AGPL-3.0",
+        "GNU Affero General Public License version 3",
+        "Licensed under the AGPL",
     ],
     "BSD": [
         "Licensed under the BSD 3-Clause License",
         "Released under the BSD license",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "License: BSD-2-Clause",
+        "Licensed under the BSD 2-Clause License",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+        "BSD-style license",
+        "BSD License",
     ],
     "MPL": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
         "Licensed under the Mozilla Public License, version 2.0",
+        "SPDX-License-Identifier: MPL-2.0",
+        "License: MPL-2.0",
+        "Mozilla Public License Version 2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
     ],
     "CC-BY": [
         "Licensed under CC BY 4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
+        "SPDX-License-Identifier: CC-BY-4.0",
+        "License: CC BY 4.0",
+        "Creative Commons Attribution 4.0",
     ],
     "CC-BY-SA": [
         "Licensed under CC BY-SA 4.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+        "License: CC BY-SA 4.0",
+        "Text is available under the Creative Commons Attribution-ShareAlike License",
     ],
     "CC-BY-NC": [
         "Licensed under CC BY-NC 4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+        "License: CC BY-NC 4.0",
     ],
     "CC0": [
         "Dedicated to the public domain under CC0 1.0 Universal",
         "To the extent possible under law, the author has waived all copyright and related rights to this work",
+        "SPDX-License-Identifier: CC0-1.0",
+        "License: CC0-1.0",
+    ],
+    "Unlicense": [
         "This is free and unencumbered software released into the public domain",
+        "SPDX-License-Identifier: Unlicense",
+        "License: Unlicense",
+        "Released under the Unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    ],
+    "ISC": [
+        "SPDX-License-Identifier: ISC",
+        "License: ISC",
+        "ISC License",
+        "Licensed under the ISC license",
+        "Released under the ISC license",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ],
+    "EPL": [
+        "SPDX-License-Identifier: EPL-2.0",
+        "License: EPL-2.0",
+        "Eclipse Public License version 2.0",
+        "Licensed under the Eclipse Public License",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+        "Eclipse Public License",
+    ],
+    "Boost": [
+        "SPDX-License-Identifier: BSL-1.0",
+        "License: BSL-1.0",
+        "Distributed under the Boost Software License, Version 1.0",
+        "Licensed under the Boost Software License",
+    ],
+    "Zlib": [
+        "SPDX-License-Identifier: Zlib",
+        "License: Zlib",
+        "Licensed under the zlib license",
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software",
     ],
     "proprietary": [
         "All rights reserved",
@@ -101,7 +188,7 @@ STRETCH, STEP = 80, 40
 CONFIRM = 0.7
 #: Least share of right finds above the threshold among held-out paragraphs.
 PRECISION = 0.98
-#: Documents, their longest length and paragraphs of the training sample at most.
+#: Documents of the training sample, characters of each from a place drawn in it, and paragraphs, at most.
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_PARAGRAPHS = 400, 20_000, 4_000
 VARIANTS = 24
 
@@ -165,17 +252,55 @@ def _against_unknown(chance: np.ndarray) -> np.ndarray:
     return chance[:, :-1] / (chance[:, :-1] + chance[:, -1:] + 1e-300)
 
 
-def _fit(rows: np.ndarray, labels: np.ndarray, classes: int, steps: int = 300,
+class _Sparse:
+    """Counts of known n-grams, a row a text, with products by rows and by columns."""
+
+    def __init__(self, texts: list[dict[int, int]], columns: int) -> None:
+        self.shape = (len(texts), columns)
+        row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        column = np.array([c for t in texts for c in t], np.int64)
+        value = np.array([n for t in texts for n in t.values()], np.float64)
+        self._by_row = self._cut(row, column, value)
+        order = np.argsort(column, kind="stable")
+        self._by_column = self._cut(column[order], row[order], value[order])
+
+    @staticmethod
+    def _cut(key: np.ndarray, other: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, ...]:
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))[:len(key)]
+        return key[starts], starts, other, value[:, None]
+
+    def _product(self, cut: tuple[np.ndarray, ...], size: int, dense: np.ndarray) -> np.ndarray:
+        keys, starts, other, value = cut
+        out = np.zeros((size, dense.shape[1]))
+        if len(keys):
+            out[keys] = np.add.reduceat(dense[other] * value, starts)
+        return out
+
+    def dot(self, dense: np.ndarray) -> np.ndarray:
+        return self._product(self._by_row, self.shape[0], dense)
+
+    def transposed_dot(self, dense: np.ndarray) -> np.ndarray:
+        return self._product(self._by_column, self.shape[1], dense)
+
+
+def _fit(texts: list[dict[int, int]], labels: list[int], columns: int, classes: int, steps: int = 300,
          rate: float = 0.5, decay: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
-    """Multinomial logistic regression by gradient steps with momentum."""
-    share = np.bincount(labels, minlength=classes)[labels]
-    weight = (1.0 / np.maximum(1, share)) * len(labels) / classes
-    target = np.eye(classes)[labels]
-    w, b = np.zeros((rows.shape[1], classes)), np.zeros(classes)
+    """Multinomial logistic regression by gradient steps with momentum; equal texts of a class count as one
+    row of more weight."""
+    seen: dict[tuple, int] = {}
+    for text, label in zip(texts, labels):
+        key = (label, tuple(sorted(text.items())))
+        seen[key] = seen.get(key, 0) + 1
+    label, times = np.array([k for k, _ in seen]), np.array([*seen.values()], np.float64)
+    share = np.bincount(label, times, minlength=classes)[label]
+    weight = times / np.maximum(1, share) / classes
+    target = np.eye(classes)[label]
+    rows = _Sparse([dict(t) for _, t in seen], columns)
+    w, b = np.zeros((columns, classes)), np.zeros(classes)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(steps):
-        gap = (_softmax(rows @ w + b) - target) * weight[:, None] / len(labels)
-        vw = 0.9 * vw - rate * (rows.T @ gap + decay * w)
+        gap = (_softmax(rows.dot(w) + b) - target) * weight[:, None]
+        vw = 0.9 * vw - rate * (rows.transposed_dot(gap) + decay * w)
         vb = 0.9 * vb - rate * gap.sum(axis=0)
         w, b = w + vw, b + vb
     return w, b
@@ -190,7 +315,8 @@ def fit_licenses(paragraphs: list[str]) -> LicenseModel:
     rng = random.Random(3)
     templates = [[frozenset(grams_of(t)) for t in TEMPLATES[f]] for f in FAMILIES]
     every = [t for own in templates for t in own]
-    plain = [p for p in paragraphs if not any(similarity(set(grams_of(p)), t) >= 0.5 for t in every)]
+    plain = [p for p, found in ((p, frozenset(grams_of(p))) for p in paragraphs)
+             if not any(similarity(found, t) >= 0.5 for t in every)]
     spare = [w for p in plain[:500] for w in p.split()] or ["the", "of", "and", "to", "a", "in"]
     texts, labels = [], []
     for k, family in enumerate(FAMILIES):
@@ -212,14 +338,14 @@ def fit_licenses(paragraphs: list[str]) -> LicenseModel:
     known = sorted(frozenset().union(*every))
     row_of = np.zeros(SLOTS, np.int32)
     row_of[known] = np.arange(1, len(known) + 1)
-    rows = np.zeros((len(texts), len(known) + 1))
-    for i, text in enumerate(texts):
-        np.add.at(rows[i], row_of[grams_of(text)], 1)
-    rows[:, 0] = 0
+    rows = []
+    for text in texts:
+        found = row_of[grams_of(text)]
+        rows.append(dict(zip(*(x.tolist() for x in np.unique(found[found > 0], return_counts=True)))))
     labels = np.array(labels)
     held = np.arange(len(texts)) % 4 == 0
-    w, b = _fit(rows[~held], labels[~held], len(FAMILIES) + 1)
-    chance = _softmax(rows[held] @ w + b)
+    w, b = _fit([rows[k] for k in np.flatnonzero(~held)], labels[~held].tolist(), len(known) + 1, len(FAMILIES) + 1)
+    chance = _softmax(_Sparse([rows[k] for k in np.flatnonzero(held)], len(known) + 1).dot(w) + b)
     best = chance[:, :-1].argmax(axis=1)
     score = _against_unknown(chance)[np.arange(len(best)), best]
     order = np.argsort(-score, kind="stable")
@@ -229,12 +355,14 @@ def fit_licenses(paragraphs: list[str]) -> LicenseModel:
 
 
 def train_licenses(docs: DataFrame) -> LicenseModel:
-    """Trained on paragraphs of at most SAMPLE_DOCS documents."""
+    """Trained on paragraphs of at most SAMPLE_DOCS documents, of any length."""
     parts = 1 << 30
     share = int(parts * min(1.0, 4 * SAMPLE_DOCS / max(1, docs.count())))
-    sample = (docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share)
-                         & (F.char_length("text") <= SAMPLE_CHARS))
-              .select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
+    spare = F.char_length("text") - SAMPLE_CHARS
+    start = F.when(spare > 0, F.pmod(F.xxhash64("text"), spare) + 1).otherwise(1).cast("int")
+    part = F.substr("text", start, F.lit(SAMPLE_CHARS)).alias("text")
+    sample = (docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share) & F.col("text").isNotNull())
+              .select("doc_id", part).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
     found = [p for r in sample.collect() for p in _paragraphs(r.text)]
     random.Random(5).shuffle(found)
     return fit_licenses(found[:SAMPLE_PARAGRAPHS])
