@@ -5,11 +5,13 @@ import html
 import random
 import re
 import textwrap
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 from llm import brute, cases
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -110,6 +112,18 @@ def test_packing_of_repeated_null_and_no_rows(spark):
     assert pack_documents(cases.frame(spark, []), RANKS).count() == 0
 
 
+def test_rows_alike_are_dealt_over_blocks(spark):
+    rows = [(None, "")] * 3000 + [(7, "same words here")] * 3000 + [(100 + i, "x y") for i in range(60)]
+    docs = cases.frame(spark, rows, 4)
+    found = pack_documents(docs, RANKS, block_docs=256).select(
+        "doc_id", "length", (F.col("sequence_id") / 2 ** 32).cast("long").alias("block")).collect()
+    for same, n in ((None, 1), (7, 4)):
+        blocks = Counter(p.block for p in found if p.doc_id == same)
+        assert len(blocks) > 20 and max(blocks.values()) < 256
+        assert sum(p.length for p in found if p.doc_id == same) == 3000 * n
+    assert len({p.doc_id for p in found}) == 62
+
+
 def test_ids_of_more_than_a_million_blanks():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     run = " \n" * 600_000
@@ -470,3 +484,26 @@ def test_every_stage_equals_its_operator(spark):
         elif name == "packing":
             check_pieces(list(before.items()), got.collect())
         docs = got
+
+
+def test_stages_of_odd_rows_and_of_no_rows(spark):
+    rng, big = random.Random(11), 10 ** 12
+    twice = cases.prose(rng, 90)
+    rows = [(big + 1, twice), (big + 1, twice), (big + 2, twice), (None, cases.prose(rng, 70)), (big + 3, None),
+            (big + 4, ""), (big + 5, " \n"), (big + 6, " ".join(f"w{i}" for i in range(20000)))]
+    kept = {"quality_rules": [big + 1, big + 1, big + 2, big + 6, None]}
+    for rows, no_rows in ((rows, False), ([], True)):
+        docs, scratch = cases.frame(spark, rows), Scratch(spark, "odd-pipeline-test")
+        for name, stage in corpus_pipeline.STAGES:
+            before = docs.collect()
+            got = scratch.save(stage(spark, docs, SF), name)
+            if name == "packing":
+                pieces = Counter()
+                for p in got.collect():
+                    pieces[p.doc_id] += p.length
+                assert pieces == {r.doc_id: len(token_ids(RANKS, r.text)) for r in before}
+            else:
+                want = [] if no_rows else kept.get(name, [big + 1, big + 6, None])
+                assert sorted((r.doc_id for r in got.collect()), key=str) == want
+                assert got.dtypes == docs.dtypes
+            docs = got

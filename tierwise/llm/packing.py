@@ -10,10 +10,15 @@ with its rest, so a block leaves less than one sequence of padding in all.
 
 Tokens are made once; whole sequences travel as checksums, tails as ids.
 
+Rows are dealt by id and checksum. Ids that very many rows share (null ids,
+copies of a row) are found by counts of the id column in a fixed number of
+slots; their rows are dealt by their number in the table as well, so that no
+block grows with rows alike. ``docs`` should therefore be a table as it is read.
+
 Defined results: a null or empty text is its end id alone; rows with a null id
 keep it; repeated rows are documents of their own; ties in length are ordered
-by id and checksum, so reruns agree; an empty table gives no rows; other
-columns are ignored.
+by id and checksum, so reruns agree (among rows of a crowded id: on one layout
+of the table); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +38,8 @@ from pyspark.sql import functions as F
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 BLOCK_DOCS = 8192
+#: Slots in which the rows of an id are counted; at most half of them can be crowded.
+ID_SLOTS = 1 << 20
 #: Cost of a piece of n tokens: LINEAR * n + n * n.
 LINEAR = 2048
 
@@ -156,7 +163,13 @@ def pack_documents(docs: DataFrame, ranks_path: str, length: int = SEQUENCE_TOKE
     """One row for each piece of each document: where it starts and which sequence holds it."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
-    blocks = max(1, -(-docs.count() // block_docs))
+    rows = texts.count()
+    blocks = max(1, -(-rows // block_docs))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_SLOTS))
+    crowded = [r.slot for r in texts.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+               .where(F.col("n") > block_docs + 2 * rows // ID_SLOTS).collect()]
     tokens = texts.mapInArrow(_tokens(ranks_path, length), TOKENS_SCHEMA)
-    return (tokens.withColumn("block", F.pmod(F.xxhash64("doc_id", "all_crc"), F.lit(blocks)))
+    dealt = F.when(slot.isin(crowded), F.xxhash64("doc_id", "all_crc", F.monotonically_increasing_id())) \
+        .otherwise(F.xxhash64("doc_id", "all_crc"))
+    return (tokens.withColumn("block", F.pmod(dealt, F.lit(blocks)))
             .groupBy("block").applyInArrow(_pack(length), PIECES_SCHEMA))
