@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -82,6 +85,25 @@ def quality_base(text):
             len(lines) - len(set(lines)), len(repeated))
 
 
+def quality_scores(rows, trusted, slots=1 << 16, prior=4):
+    """Sum of a text's weights in millionths, for each row."""
+    def slots_of(text):
+        w = WORD.findall(text or "")
+        ones = [xxhash.xxh64_intdigest(a.encode(), 42) for a in w]
+        return [h % slots for h in ones] + [xxhash.xxh64_intdigest(b.encode(), h) % slots
+                                            for h, b in zip(ones, w[1:])]
+
+    raw, target = Counter(), Counter()
+    for i, text in rows:
+        raw.update(slots_of(text))
+        if i is not None and i in trusted:
+            target.update(slots_of(text))
+    share = sum(target.values()) / max(1, sum(raw.values()))
+    weight = {s: math.floor(1e6 * math.log((target[s] + prior) / (raw[s] * share + prior)) + 0.5)
+              if share else 0 for s in raw}
+    return [sum(weight[s] for s in slots_of(text)) for _, text in rows]
+
+
 PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

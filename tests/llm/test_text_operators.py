@@ -195,6 +195,21 @@ def test_quality_verdict_tells_junk_from_prose(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in good}
 
 
+def test_quality_verdicts_equal_brute_force(spark):
+    rows = ROWS + [(1, ROWS[1][1]), (None, ROWS[2][1])]
+    labels = spark.createDataFrame([(i, int(i % 3 == 1), int(i == 4)) for i in range(40)] + [(7, 1, None), (None, 1, 0)],
+                                   "doc_id int, quality int, toxic int")
+    found = quality_rules(cases.frame(spark, rows), trusted_ids(labels)).collect()
+    scores = brute.quality_scores(rows, {i for i in range(40) if i % 3 == 1 and i != 4})
+    want = []
+    for (i, text), score in zip(rows, scores):
+        base = brute.quality_base(text)
+        failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
+        want.append((i, score, not failed and score >= -150_000 * (2 * base[0] - 1)))
+    assert sorted(((r.doc_id, r.llr_millionths, r.kept) for r in found), key=str) == sorted(want, key=str)
+    assert len(set(scores)) > 20 and {k for _, _, k in want} == {True, False}
+
+
 def test_quality_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = [(1, cases.prose(__import__("random").Random(1), 60)), (2, None), (None, "short")]

@@ -6,14 +6,18 @@ of trusted documents. A document's score is the mean over its n-grams of
 ln(p_target / p_raw), in whole millionths, so that every run gives the same
 verdict; it is kept when no base rule fails and the score reaches the threshold.
 
-All of it is DataFrame and SQL functions. Only two things leave the scan: slot
-counts, summed before the shuffle, and the ids of trusted documents, of which
-at most ``max_trusted`` (those with the smallest id hashes) are used, which
-bounds the broadcast. The weights, one number a slot, are a scalar subquery.
+All of it is DataFrame and SQL functions. Slot counts are summed before the
+shuffle. Every trusted document is counted: those whose id shares one of a fixed
+number of marks with a trusted id (a broadcast of that size at most) are joined
+with the trusted ids, so that no other text is ever shuffled. The weights, one
+number a slot, are a scalar subquery.
 
 Defined results: a null or empty text has no words, fails the base rules and
 is not kept; without trusted documents every weight is 0 and only base rules
-decide; repeated rows each get their row; an empty table gives no rows.
+decide; a row with a null id is judged like any other and never trusted;
+repeated rows each get their row and count each time; an empty table gives no
+rows; other columns, whatever their names, are handed on by ``keep_good`` and
+ignored by ``quality_rules``.
 """
 
 from __future__ import annotations
@@ -25,7 +29,8 @@ SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
 SLOTS = 1 << 16
-MAX_TRUSTED = 20_000
+#: Marks of trusted ids; their number is fixed, so they may be broadcast.
+MARKS = 1 << 18
 #: Occurrences in trusted texts by which both counts of a slot are smoothed.
 PRIOR = 4
 #: Least mean log ratio of a kept document, in millionths.
@@ -38,25 +43,40 @@ def words_column(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
-def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
-    """Ids labelled good and not toxic: at most ``limit``, those with the smallest hashes."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids labelled good and not toxic."""
     return (labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
-            .select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+            .select("doc_id").distinct())
 
 
-def slot_counts(docs: DataFrame, trusted: DataFrame, slots: int) -> DataFrame:
-    """slot, raw, target: how often its n-grams occur in all and in trusted documents."""
-    marks = F.broadcast(trusted.select(F.col("doc_id").alias("id"), F.lit(1).alias("mark")))
-    return (docs.join(marks, F.col("doc_id") == F.col("id"), "left")
-            .select(F.coalesce("mark", F.lit(0)).alias("mark"), words_column(F.col("text")).alias("w"))
-            .select("mark", "w", F.posexplode("w").alias("i", "a"))
-            .select("mark", "a", F.get("w", F.col("i") + 1).alias("b"))
-            .select("mark", F.explode(F.array(
+def _of_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The rows of trusted documents."""
+    def mark(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("mark", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(MARKS)))
+
+    marks = mark(trusted.select("doc_id")).select("mark").distinct()
+    return (mark(docs.select("doc_id", "text").where("doc_id is not null"))
+            .join(F.broadcast(marks), "mark", "left_semi")
+            .join(trusted.select("doc_id"), "doc_id", "left_semi"))
+
+
+def _slot_rows(docs: DataFrame, slots: int, name: str) -> DataFrame:
+    """slot, ``name``: how often the word unigrams and bigrams of a slot occur in the texts."""
+    return (docs.select(words_column(F.col("text")).alias("w"))
+            .select("w", F.posexplode("w").alias("i", "a"))
+            .select("a", F.get("w", F.col("i") + 1).alias("b"))
+            .select(F.explode(F.array(
                 F.pmod(F.xxhash64("a"), F.lit(slots)),
                 F.when(F.col("b").isNotNull(), F.pmod(F.xxhash64("a", "b"), F.lit(slots)))
             )).alias("slot"))
             .where("slot is not null")
-            .groupBy("slot").agg(F.count(F.lit(1)).alias("raw"), F.sum("mark").alias("target")))
+            .groupBy("slot").agg(F.count(F.lit(1)).alias(name)))
+
+
+def slot_counts(docs: DataFrame, trusted: DataFrame, slots: int) -> DataFrame:
+    """slot, raw, target: how often its n-grams occur in all and in trusted documents."""
+    return _slot_rows(docs, slots, "raw").join(
+        _slot_rows(_of_trusted(docs, trusted), slots, "target"), "slot", "left")
 
 
 def slot_weights(counts: DataFrame, slots: int) -> DataFrame:
