@@ -4,6 +4,14 @@ Every stage takes what its predecessor kept and its decisions take effect: low
 quality goes, one document of each group of near duplicates stays, documents
 with benchmark items go, personal data is replaced, and what is left is packed
 into sequences. All but the last return the columns of ``documents``.
+
+Defined results of every stage: an empty table gives no rows; other columns,
+whatever their names, are handed on by all but the last. Null and empty texts
+fail the quality rules; given to a later stage they hold no item and no personal
+data, have no near duplicates and are packed as their end id. Rows with a null id
+are judged by their text like any other and never removed as near duplicates.
+Repeated rows are judged alike; the second stage leaves one of them. Texts of
+any length are taken whole.
 """
 
 from __future__ import annotations
