@@ -57,7 +57,8 @@ def _of_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     marks = mark(trusted.select("doc_id")).select("mark").distinct()
     return (mark(docs.select("doc_id", "text").where("doc_id is not null"))
             .join(F.broadcast(marks), "mark", "left_semi")
-            .join(trusted.select("doc_id"), "doc_id", "left_semi"))
+            # one plan at every size: what passes the marks is shuffled once
+            .join(trusted.select("doc_id").hint("merge"), "doc_id", "left_semi"))
 
 
 def _slot_rows(docs: DataFrame, slots: int, name: str) -> DataFrame:
