@@ -11,7 +11,7 @@ from tierwise.llm.ngram_join import (choose_boundary, keep_one_of_each, light_su
                                      ngram_jaccard_join, overlap_needed)
 from tierwise.llm.quality import keep_good, quality_rules, trusted_ids
 from tierwise.llm.scratch import Scratch
-from tierwise.llm.substring_dedup import substring_dedup
+from tierwise.llm.substring_dedup import deep_nodes, neighbour_lengths, substring_dedup, word_units
 from tierwise.llm.suffix_dedup import RunLengthIndex, suffix_dedup, suffix_order
 from tierwise.llm.text import chunks, row_shingles, words
 
@@ -143,6 +143,43 @@ def test_run_length_index_has_exact_matching_statistics():
             assert not common or match[i] == j
 
 
+def test_suffix_tree_nodes_equal_brute_force():
+    rng = np.random.default_rng(7)
+    for size, kinds in ((1, 2), (60, 2), (200, 3), (200, 40)):
+        text = np.concatenate([rng.integers(2, 2 + kinds, size), [0], rng.integers(2, 2 + kinds, size),
+                               np.tile([2, 3], 8), [1]])
+        order = suffix_order(text)
+        lengths = neighbour_lengths(text, order)
+        same = lambda a, b: next((k for k in range(len(text) - max(a, b)) if text[a + k] != text[b + k]),
+                                 len(text) - max(a, b))
+        assert lengths.tolist() == [0] + [same(a, b) for a, b in zip(order[:-1], order[1:])]
+        begin, end, depth = deep_nodes(lengths, 4)
+        groups = {}
+        for i in range(len(text) - 3):
+            groups.setdefault(tuple(text[i:i + 4]), []).append(i)
+        want = sorted(sorted(g) for g in groups.values() if len(g) > 1)
+        assert sorted(sorted(order[b:e].tolist()) for b, e in zip(begin, end)) == want
+        for b, e, d in zip(begin, end, depth):
+            leaves = order[b:e]
+            assert d == min(same(leaves[0], x) for x in leaves[1:]) >= 4
+    assert [len(x) for x in deep_nodes(np.zeros(0, np.int64), 4)] == [0, 0, 0]
+
+
+def test_a_group_of_suffixes_marks_all_but_the_smallest_document():
+    rng = np.random.default_rng(11)
+    for _ in range(40):
+        parts = [rng.integers(0, 3, rng.integers(5, 30)).astype(np.uint64) for _ in range(rng.integers(1, 9))]
+        docs = np.sort(rng.integers(0, 5, len(parts)))
+        offs = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        got = word_units(5).resolve(np.concatenate(parts), offs, docs)
+        first = {}
+        for p, d in zip(parts, docs):
+            for i in range(len(p) - 4):
+                first.setdefault(tuple(p[i:i + 5]), d)
+        want = [i + 5 <= len(p) and first[tuple(p[i:i + 5])] < d for p, d in zip(parts, docs) for i in range(len(p))]
+        assert got.tolist() == want
+
+
 def test_stretches_hold_every_window_once():
     rng = np.random.default_rng(1)
     first = np.array([0, 40, 40, 45, 200])

@@ -4,12 +4,15 @@ A window is 50 consecutive words. Every word covered by a window whose words
 also start in a document with a smaller id is removed; windows are judged on
 the input, not on what is left.
 
-Suffixes (window starts) are dealt to memory-sized groups by a prefix of
-theirs: the anchor gram found in their first 50 words, and for crowded anchors
-also the anchors of longer grams (see ``repeats``). Within a group the suffixes
-are sorted by their words; runs of neighbours that agree on 50 words are the
-subtrees below the internal nodes of string depth 50 or more, the maximal
-repeats of that depth, and a subtree's smallest document is kept.
+Suffixes (window starts) are dealt to memory-sized groups by their first 50
+words: by the anchor gram in them, and for crowded anchors also by the anchors
+of longer grams, as far as needed (see ``repeats``), so suffixes that share 50
+words share a group. A group's suffixes are sorted, and the common-prefix
+lengths of neighbours give its suffix tree: rows whose neighbours share 50 words
+or more are the leaves of one internal node of at least that string depth. The
+uppermost such nodes are read: their leaves share a repeat as long as the node
+is deep, and all but those of the smallest document are marked. Deeper nodes hold
+some of the same leaves and can mark no others.
 
 Defined results: a null or empty text has no words; texts of fewer than 50
 words lose nothing; rows with a null id come after all others; rows that share
@@ -25,9 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwise.llm.repeats import (Units, covered_ranges, first_in_class, removed_units,
-                                  with_ranges, with_row_ids)
+from tierwise.llm.repeats import Units, covered_ranges, removed_units, with_ranges, with_row_ids
 from tierwise.llm.scratch import Scratch
+from tierwise.llm.suffix_dedup import common_lengths, suffix_order
 from tierwise.llm.text import chunks, sequence_hashes, word_hashes, words
 
 WINDOW_WORDS = 50
@@ -39,32 +42,61 @@ def _split(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, starts, ends), first
 
 
-def ranks_at_depth(values: np.ndarray, depth: int) -> np.ndarray:
-    """Equal numbers for positions whose next ``depth`` values are equal, in sorted order of them.
+def neighbour_lengths(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Common-prefix length of each suffix in ``order`` (sorted) with the one before it.
 
-    Ranks of twice the length come from pairs of ranks; positions too near the
-    end are ranked by what is there.
+    Words are compared only where the words before the two suffixes differ; any
+    other suffix shares one word less than the suffix one place to its left.
     """
-    rank = np.unique(values, return_inverse=True)[1].astype(np.int64)
-    have = 1
-    while have < depth:
-        step = min(have, depth - have)
-        after = np.full(len(rank), -1, np.int64)
-        after[:len(rank) - step] = rank[step:]
-        pair = rank * (len(rank) + 1) + after + 1
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        have += step
-    return rank
+    before = np.full(len(symbols), -1, np.int64)
+    before[order[1:]] = order[:-1]
+    alone = before < 0
+    fresh = (before <= 0) | (np.arange(len(symbols)) == 0) | (symbols[before - 1] != np.roll(symbols, 1))
+    heads = np.flatnonzero(fresh)
+    common = np.zeros(len(heads), np.int64)
+    paired = ~alone[heads]
+    common[paired] = common_lengths(symbols, heads[paired], before[heads[paired]])
+    sample = np.cumsum(fresh) - 1
+    return (common[sample] - (np.arange(len(symbols)) - heads[sample]))[order]
+
+
+def deep_nodes(lengths: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The uppermost internal nodes of at least ``depth`` words, by neighbours' common lengths.
+
+    For each node its first leaf and the end of its leaves (rows of the sorted
+    suffixes) and its string depth, the length that all its leaves share.
+    """
+    edge = np.diff(np.concatenate([[0], (lengths >= depth).astype(np.int8), [0]]))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(begin):
+        return begin, end, begin
+    # the smallest length inside [begin, end); every second piece lies between two nodes
+    pieces = np.stack([begin, end], 1).ravel()
+    shared = np.minimum.reduceat(np.append(lengths, 0), pieces)[::2]
+    return begin - 1, end, shared
 
 
 def _resolver(window: int) -> Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
     def resolve(values: np.ndarray, offs: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        owner = np.repeat(np.arange(len(docs)), np.diff(offs))
-        starts = np.flatnonzero(np.arange(len(values)) + window <= offs[1:][owner])
-        node = ranks_at_depth(values, window)[starts]
-        first = first_in_class(node, starts)
+        count = len(docs)
+        # a mark of its own after each stretch ends all common prefixes there; marks sort below all words
+        owner = np.repeat(np.arange(count), np.diff(offs))
+        at = np.arange(len(values)) + owner
+        symbols = np.empty(len(values) + count, np.int64)
+        symbols[at] = np.unique(values, return_inverse=True)[1] + count
+        symbols[offs[1:] + np.arange(count)] = np.arange(count)
+        order = suffix_order(symbols)
+        begin, end, _ = deep_nodes(neighbour_lengths(symbols, order), window)
         found = np.zeros(len(values), bool)
-        found[starts] = docs[owner[first]] < docs[owner[starts]]
+        if not len(begin):
+            return found
+        leaves = np.repeat(begin - np.append(0, np.cumsum(end - begin)[:-1]), end - begin) \
+            + np.arange((end - begin).sum())
+        # no leaf of a deep node is a mark, so each is a word of a stretch
+        place = np.searchsorted(at, order[leaves])
+        doc = docs[owner[place]]
+        heads = np.append(0, np.cumsum(end - begin)[:-1])
+        found[place] = doc > np.repeat(np.minimum.reduceat(doc, heads), end - begin)
         return found
     return resolve
 

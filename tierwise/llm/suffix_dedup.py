@@ -106,7 +106,7 @@ class RunLengthIndex:
         """For each position the suffix before it in sorted order and their common length."""
         heads = self.head_suffix[1:]
         before = self.tail_suffix[:-1]
-        common = _common_lengths(symbols, heads, before)
+        common = common_lengths(symbols, heads, before)
         by_place = np.argsort(heads)
         place, before, common = heads[by_place], before[by_place], common[by_place]
         every = np.arange(self.size)
@@ -120,7 +120,7 @@ class RunLengthIndex:
         return match, np.where(known, np.maximum(common[sample] - moved, 0), 0)
 
 
-def _common_lengths(symbols: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def common_lengths(symbols: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Length of the common prefix of the suffixes at each pair of positions."""
     length = np.zeros(len(a), np.int64)
     live = np.arange(len(a))
