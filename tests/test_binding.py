@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tierwise.plans.cascade import build
-from tierwise.sources.binding import load_sources
+from tierwise.sources.binding import LINES, load_sources, stage_sources
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver data not present")
@@ -88,3 +88,20 @@ def test_matches_oracle(spark, key):
 def test_tier_percentages_sum_to_100(spark):
     pct = [r["PCT"] for r in E.queries()["out_tier_breakdown"](spark, SF).collect()]
     assert abs(sum(pct) - 100.0) <= 0.005 * len(pct) + 1e-9
+
+
+def test_staged_tables_hold_the_bound_rows_and_lines_are_joined_once(spark, tmp_path):
+    staged, bound = stage_sources(spark, SF, str(tmp_path)), load_sources(spark, SF)
+    assert set(staged) == set(bound)
+    for name, df in bound.items():
+        assert staged[name].dtypes == df.dtypes
+        assert staged[name].exceptAll(df).count() == 0 == df.exceptAll(staged[name]).count()
+    # one table for all that is made from lines
+    assert LINES in os.listdir(tmp_path) and "AH_MEMBER_ACTION" not in os.listdir(tmp_path)
+
+
+def test_joins_of_whole_tables_move_rows_at_every_size(spark):
+    bound = load_sources(spark, SF)
+    for name in ("MEMBER_CALL_DATA", "COACH_NOTES_WORKFLOW", "AH_MEMBER_ACTION"):
+        plan = bound[name]._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

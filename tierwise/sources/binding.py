@@ -62,6 +62,8 @@ def pick(index: Column, values: Sequence[str | None]) -> Column:
                             (index + 1).cast("int"))
 
 
+#: The staged table that holds all tables made from order lines.
+LINES = "LINES"
 #: A question that no step of the cascade reads.
 OTHER_QUESTION = "777777"
 
@@ -84,14 +86,25 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The seven source tables, bound to the driver's parquet files."""
+    return _member_sources(spark, sf_dir) | _line_sources(_lines(spark, sf_dir))
+
+
+def _conformed(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: conform(df, SOURCE_SCHEMAS[name]) for name, df in tables.items()}
+
+
+def _member_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Calls, call types, enrollment and eligibility.
+
+    Joins of whole tables here and in ``_lines`` name the merge join, so they move
+    the same share of their rows at every size, small tables included."""
     customer = _read(spark, sf_dir, "customer")
     orders = _read(spark, sf_dir, "orders")
-    lineitem = _read(spark, sf_dir, "lineitem")
 
     ck, ok = F.col("c_custkey"), F.col("o_custkey")
     cust = _customer(F.col("c_mktsegment"))
 
-    calls = orders.join(customer, ok == ck).select(
+    calls = orders.join(customer.hint("merge"), ok == ck).select(
         _member("A", ok).alias("ACCOUNT"),
         F.concat(F.lit("G"), ok.cast("string")).alias("GUID"),
         F.when(ok % 10 == 7, F.concat(F.lit("G"), (ok - 1).cast("string")))
@@ -131,11 +144,23 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         cust.alias("CUSTOMERID"),
     )
 
-    lines = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _conformed({"MEMBER_CALL_DATA": calls, "CALLTYPE_XREF_VW": xref,
+                       "COACHING_ENROLLMENT_MODEL": enrollment, "ELIGMEMBER": elig})
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their order's customer and date: what notes and actions are made from."""
+    orders = _read(spark, sf_dir, "orders").hint("merge")
+    return _read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _line_columns() -> dict[str, list[Column]]:
+    """Coach notes and member actions as columns of ``_lines``, one row a line each."""
+    ok = F.col("o_custkey")
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     supp6 = sk % 6
     # Lines beyond those that answer a question of the cascade answer another one.
-    lm_notes = lines.select(
+    lm_notes = [
         _member("A", ok).alias("ACCOUNT"),
         F.when((pk % 4 != 3) | (ln == 1), pick(supp6, LM_QUESTION_BY_SUPP6))
         .otherwise(OTHER_QUESTION).alias("QUESTION_ID"),
@@ -144,20 +169,20 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(supp6 == 0, pick(pk % 8, FORM_V1_ANSWERS))
         .when(supp6 == 1, pick(pk % 6, FORM_V2_ANSWERS))
         .otherwise(pick(pk % 16, NOTE_TEXTS)).alias("RESPONSE_TEXT"),
-    )
+    ]
 
     dm_question = pick(sk % 2, DM_QUESTION_BY_SUPP2)
-    dm_notes = lines.select(
+    dm_notes = [
         _member("A", ok).alias("ACCOUNT"),
         F.when(pk % 9 == 0, dm_question).otherwise(OTHER_QUESTION).alias("QUESTION_ID"),
         _plus_minutes(F.col("o_orderdate"), pk % 1440).alias("RESPONSE_DATE"),
         F.when(sk % 2 == 0, pick(pk % 4, DM_FOCUS_ANSWERS))
         .otherwise(pick(pk % 16, NOTE_TEXTS)).alias("RESPONSE_TEXT"),
-    )
+    ]
 
     ship = F.col("l_shipdate").cast("date")
     # Lines after an order's second are actions of types that are no goals.
-    actions = lines.select(
+    actions = [
         _member("A", ok).alias("ACCOUNT"),
         ((((F.col("l_orderkey") * 10 + ln) * 100000 + pk) * 10000) + sk)
         .alias("MemberAction_ID"),
@@ -167,32 +192,46 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         pick(pk % 31, ACTION_NAMES).alias("Action_Name"),
         ship.alias("Action_Date"),
         F.when(pk % 5 >= 2, F.date_add(ship, 30)).alias("Close_Date"),
-    )
+    ]
 
-    tables = {
-        "MEMBER_CALL_DATA": calls,
-        "CALLTYPE_XREF_VW": xref,
-        "COACHING_ENROLLMENT_MODEL": enrollment,
-        "ELIGMEMBER": elig,
-        "COACH_NOTES_WORKFLOW": lm_notes,
-        "COACH_NOTES_WORKFLOW_DM": dm_notes,
-        "AH_MEMBER_ACTION": actions,
-    }
-    return {name: conform(df, SOURCE_SCHEMAS[name]) for name, df in tables.items()}
+    return {"COACH_NOTES_WORKFLOW": lm_notes, "COACH_NOTES_WORKFLOW_DM": dm_notes, "AH_MEMBER_ACTION": actions}
+
+
+def _line_sources(lines: DataFrame) -> dict[str, DataFrame]:
+    return _conformed({name: lines.select(*columns) for name, columns in _line_columns().items()})
+
+
+def _staged_name(table: str, column: str) -> str:
+    return column if column == "ACCOUNT" else f"{table}__{column}"  # a line has one account in all tables
+
+
+def _staged_lines(lines: DataFrame) -> DataFrame:
+    """The tables made from ``lines`` side by side, their columns prefixed with the table's name."""
+    wide = lines.select(*[F.struct(*columns).alias(table) for table, columns in _line_columns().items()])
+    stored = {_staged_name(table, f.name): F.col(table)[f.name].cast(f.dataType)
+              for table in _line_columns() for f in SOURCE_SCHEMAS[table].fields}
+    return wide.select(*[column.alias(name) for name, column in stored.items()])
 
 
 def stage_sources(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
     """Writes the bound sources once as parquet under ``root`` (a shared
     folder) and returns them read back: every later scan is a plain parquet
-    scan with pushed filters and pruned columns, as with warehouse tables."""
-    for name, df in load_sources(spark, sf_dir).items():
+    scan with pushed filters and pruned columns, as with warehouse tables.
+
+    Notes and actions are made from the same joined lines, so they are written side
+    by side by one job, where three tables would take three joins of every line."""
+    for name, df in _member_sources(spark, sf_dir).items():
         df.write.mode("overwrite").parquet(f"{root}/{name}")
+    _staged_lines(_lines(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/{LINES}")
     return read_staged(spark, root)
 
 
 def read_staged(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: spark.read.schema(schema).parquet(f"{root}/{name}")
-            for name, schema in SOURCE_SCHEMAS.items()}
+    lines = spark.read.parquet(f"{root}/{LINES}")
+    beside = {table: lines.select(*[F.col(_staged_name(table, c)).alias(c) for c in SOURCE_SCHEMAS[table].names])
+              for table in _line_columns()}
+    return beside | {name: spark.read.schema(schema).parquet(f"{root}/{name}")
+                     for name, schema in SOURCE_SCHEMAS.items() if name not in beside}
 
 
 def read_warehouse(spark: SparkSession, names: dict[str, str] | None = None
