@@ -373,6 +373,23 @@ def test_trees_learn_local_phones_and_masked_emails(spark):
     assert got == {1: "local_phone:5:19", 2: "", 3: "masked_email:0:21", 4: "", 5: ""}
 
 
+def test_training_takes_every_candidate_of_all_documents(spark, monkeypatch):
+    # 75,000 candidates: each line holds a local phone and two runs of digits
+    docs = cases.frame(spark, [(i, "call (017) 555-7713 now\n" * 25) for i in range(1000)])
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda rows, *_, **named: seen.append(
+        (rows.count(), rows.selectExpr("sum(weight) as n").first().n, named)))
+    assert pii.train_pii(docs).trees is None
+    trained = docs.where("pmod(xxhash64(doc_id), 4) > 0").count() * 75
+    assert trained > 50_000 and seen[0][1] == trained and seen[0][0] <= 40 and seen[0][2] == {"weight": "weight"}
+
+
+def test_counted_scores_equal_single_ones():
+    single = [(2.0, 1)] * 95 + [(2.0, 0)] * 4 + [(1.0, 0)] * 3 + [(0.5, 1)] * 60 + [(0.25, 0)] * 9
+    counted = [(2.0, 95, 99), (1.0, 0, 3), (0.5, 60, 60), (0.25, 0, 9)]
+    assert pii.lowest_score(counted, 0.95) == pii.lowest_score(single, 0.95) == 0.5
+
+
 def test_training_without_candidates_adds_nothing(spark):
     assert pii.train_pii(cases.frame(spark, [(1, "no data"), (2, None)])).trees is None
     assert pii.train_pii(cases.frame(spark, [])).trees is None

@@ -6,16 +6,18 @@ others are scored by boosted trees over features of their format and of the
 text around them, and those whose score reaches a calibrated threshold are
 added, unless a base span covers them.
 
-The trees learn from weak labels on a bounded sample of documents: a candidate
+The trees learn from weak labels of every candidate of all documents: one
 counts as personal when it passes a base rule, or by its form and the words
-before it (LABELS). Candidates that a base span covers take no part. The
-threshold is the lowest score at which the held-out candidates that need it,
-those of no base rule, are right often enough; candidates of one score pass or
-fail together. Where the sample shows only one class nothing is added.
+before it (LABELS). Candidates that a base span covers take no part. Those of
+three documents in four train the trees; candidates of equal features are one
+row with their number as its weight. The threshold is the lowest score at which
+the other documents' candidates that need it, those of no base rule, are right
+often enough; scores are counted in steps, and candidates of one step pass or
+fail together. Where there is only one class nothing is added.
 
 All of it is DataFrame and SQL functions: matches and the text between them
 come from one pattern, and positions are sums of their lengths, so nothing is
-exploded or shuffled. No pattern crosses a line break, and all repeat
+exploded or shuffled but the training's counts. No pattern crosses a line break, and all repeat
 possessively, so a match takes time in proportion to its length.
 
 Defined results: a null or empty text has no spans; rows with a null id keep
@@ -52,11 +54,11 @@ KINDS = [*BASE, *EXTRA]
 NEEDS = {"email": "text like '%@%'", "masked_email": r"text rlike '[\\[(]at[\\])]'"}
 DIGIT = "text rlike '[0-9]'"
 
-#: Documents of the training sample (about so many, by their hashes) and candidates used at most.
-SAMPLE_DOCS = 50_000
-SAMPLE_CANDIDATES = 20_000
 #: Least share of right candidates above the threshold in the held-out part.
 PRECISION = 0.95
+#: Steps of a score of 1 at which held-out candidates are counted, which bounds the counts by the
+#: range of scores (a few units), however many candidates there are.
+SCORE_STEPS = 1024
 CONTEXT = 24
 _BLOCK = 256
 
@@ -180,42 +182,44 @@ class PiiModel:
     threshold: float
 
 
-def train_pii(docs: DataFrame, sample_docs: int = SAMPLE_DOCS,
-              candidates: int = SAMPLE_CANDIDATES, precision: float = PRECISION) -> PiiModel:
-    """Trees and threshold from the candidates of about ``sample_docs`` documents at most."""
-    parts = 1 << 30
-    share = int(parts * min(1.0, sample_docs / max(1, docs.count())))
-    chosen = (docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share)
-                         & F.expr(" or ".join([DIGIT, *NEEDS.values()])))
+def train_pii(docs: DataFrame, precision: float = PRECISION) -> PiiModel:
+    """Trees and threshold from every candidate of all documents."""
+    chosen = (docs.where(F.expr(" or ".join([DIGIT, *NEEDS.values()])))
               .select("doc_id", F.col("text").cast("string").alias("text")))
     weak = " or ".join(f"(kind = '{kind}' and {sql})" for kind, sql in LABELS.items())
     found = _found(chosen).withColumn("base_spans", F.expr("filter(found, c -> c.base)"))
+    kinds = [*FEATURES, "base", "label", "fold"]
+    # equal candidates are one row with their number; sorted, so sums are taken in one order
     rows = (found.select("doc_id", "text", F.explode(F.expr(
                 _with_features(f"concat(base_spans, {_REST})"))).alias("f"))
             .select("doc_id", "f.*")
             .withColumn("label", F.expr(f"int(base or {weak})"))
-            .orderBy(F.xxhash64("doc_id", "s", "kind")).limit(candidates)
             .withColumn("fold", F.expr("pmod(xxhash64(doc_id), 4)"))
-            .select(*FEATURES, "base", "label", "fold").persist())
+            .groupBy(*kinds).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+            .sortWithinPartitions(*kinds).persist())
     try:
-        trees = train(rows.where("fold > 0"), list(FEATURES))
+        trees = train(rows.where("fold > 0"), list(FEATURES), weight="weight")
         if trees is None:
             return PiiModel(None, 0.0)
-        held = (rows.where("fold = 0 and not base").select(F.struct(*FEATURES).alias("f"), "label")
-                .select(F.expr(trees.sql("f")).alias("score"), "label").collect())
+        step = f"floor(({trees.sql('f')}) * {SCORE_STEPS}) / {SCORE_STEPS}D"
+        held = (rows.where("fold = 0 and not base").select(F.struct(*FEATURES).alias("f"), "label", "weight")
+                .groupBy(F.expr(step).alias("score"))
+                .agg(F.sum(F.col("weight") * F.col("label")).alias("right"), F.sum("weight").alias("n")).collect())
     finally:
         rows.unpersist()
-    return PiiModel(trees, lowest_score([(r.score, r.label) for r in held], precision))
+    return PiiModel(trees, lowest_score([(r.score, r.right, r.n) for r in held], precision))
 
 
-def lowest_score(scored: list[tuple[float, int]], precision: float) -> float:
-    """The lowest score from which on the share of right ones is ``precision``; infinity without one."""
-    best, right = float("inf"), 0
+def lowest_score(scored: list[tuple], precision: float) -> float:
+    """The lowest score from which on the share of right ones is ``precision``; infinity without one.
+
+    An entry is a score, the number of right ones and that of all (one, if left out)."""
+    best, right, n = float("inf"), 0, 0
     scored = sorted(scored, reverse=True)
-    for n, (score, label) in enumerate(scored, 1):
-        right += label
+    for i, (score, good, *rows) in enumerate(scored, 1):
+        right, n = right + good, n + (rows[0] if rows else 1)
         # rows of one score are accepted together
-        if (n == len(scored) or scored[n][0] < score) and right >= precision * n:
+        if (i == len(scored) or scored[i][0] < score) and right >= precision * n:
             best = score
     return best
 

@@ -1,6 +1,6 @@
 """Gradient-boosted trees trained by Spark ML, as expressions and as arrays.
 
-Training takes a bounded sample. The fitted trees are read from the model and
+Training takes a bounded sample, or all rows where equal ones are counted as one. The fitted trees are read from the model and
 applied either as one SQL expression over feature columns or by numpy.
 """
 
@@ -67,14 +67,20 @@ class Boosted:
 
 
 def train(sample: DataFrame, features: list[str], label: str = "label", rounds: int = 12,
-          depth: int = 3, step: float = 0.3) -> Boosted | None:
-    """Boosted trees for a 0/1 label; None where the sample lacks one of the two classes."""
+          depth: int = 3, step: float = 0.3, weight: str | None = None) -> Boosted | None:
+    """Boosted trees for a 0/1 label; None where the rows lack one of the two classes.
+
+    ``weight`` names the column that says how many equal rows a row stands for."""
     counts = {r[label]: r["count"] for r in sample.groupBy(label).count().collect()}
     if not (counts.get(0) and counts.get(1)):
         return None
     rows = VectorAssembler(inputCols=features, outputCol="x").transform(sample)
-    model = GBTClassifier(featuresCol="x", labelCol=label, maxIter=rounds, maxDepth=depth,
-                          stepSize=step, seed=7).fit(rows.select("x", label))
+    learner = GBTClassifier(featuresCol="x", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, seed=7)
+    kept = ["x", label]
+    if weight:
+        learner.setWeightCol(weight)
+        kept.append(weight)
+    model = learner.fit(rows.select(*kept))
     trees = []
     for weight, tree in zip(model.treeWeights, model.trees):
         lines = tree.toDebugString.strip().split("\n")[1:]
