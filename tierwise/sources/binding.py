@@ -202,11 +202,12 @@ def _line_sources(lines: DataFrame) -> dict[str, DataFrame]:
 
 
 def _staged_name(table: str, column: str) -> str:
-    return column if column == "ACCOUNT" else f"{table}__{column}"  # a line has one account in all tables
+    """A line has one account in all tables; the DM notes share their other names with the LM notes."""
+    return f"DM__{column}" if table == "COACH_NOTES_WORKFLOW_DM" and column != "ACCOUNT" else column
 
 
 def _staged_lines(lines: DataFrame) -> DataFrame:
-    """The tables made from ``lines`` side by side, their columns prefixed with the table's name."""
+    """The tables made from ``lines`` side by side."""
     wide = lines.select(*[F.struct(*columns).alias(table) for table, columns in _line_columns().items()])
     stored = {_staged_name(table, f.name): F.col(table)[f.name].cast(f.dataType)
               for table in _line_columns() for f in SOURCE_SCHEMAS[table].fields}
