@@ -9,6 +9,7 @@ from tierwise.functions import rules as R
 from tierwise.plans import monthly as M
 from tierwise.plans import periods as P
 from tierwise.sources import snapshots as S
+from tierwise.sources.binding import LINES, load_sources, stage_sources
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver data not present")
@@ -78,3 +79,24 @@ def test_files_keep_the_order(spark, tmp_path):
     S.write_report({"t": df}, str(tmp_path))
     back = spark.read.parquet(f"{tmp_path}/t").collect()
     assert [r[0] for r in back] == [r[0] for r in df.collect()]
+
+
+def test_workbook_sections_build_only_what_they_read(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(E, "_MEMO", {})
+    run = M.run_adhoc
+    monkeypatch.setattr(M, "run_adhoc", lambda *a, tables, **k: built.append(tables) or run(*a, tables=tables, **k))
+    monkeypatch.setattr(E, "stage_sources", lambda *a: pytest.fail("goals need no staged sources"))
+    E.queries()["out_goal_domain_status"](spark, "/root/testdata/sf0.001")
+    E.queries()["out_goal_number_status"](spark, "/root/testdata/sf0.001")
+    assert built == [("goals_numbered",)]
+
+
+def test_staging_writes_the_named_tables_only(spark, tmp_path):
+    wanted = {"MEMBER_CALL_DATA", "COACH_NOTES_WORKFLOW"}
+    got = stage_sources(spark, "/root/testdata/sf0.001", str(tmp_path), wanted)
+    assert set(got) == wanted and {p.name for p in tmp_path.iterdir()} == {"MEMBER_CALL_DATA", LINES}
+    bound = load_sources(spark, "/root/testdata/sf0.001")
+    for name, df in got.items():
+        assert df.exceptAll(bound[name]).count() == 0 == bound[name].exceptAll(df).count()
+    assert "MemberAction_ID" not in spark.read.parquet(f"{tmp_path}/{LINES}").columns

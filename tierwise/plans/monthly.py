@@ -11,6 +11,7 @@ the cluster's shared folder and read back.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..sources import snapshots as S
 from ..sources.ledger import RunFolders
 from . import periods as P
 from . import reports as RP
-from .cascade import TOPIC_COLUMNS, build, release, tobacco_flag
+from .cascade import TOPIC_COLUMNS, active_enrollment, build, goals_classified, goals_numbered, release, tobacco_flag
 
 
 def run_refresh(spark: SparkSession, sources: dict[str, DataFrame], root: str,
@@ -53,23 +54,36 @@ def snapshot(spark: SparkSession, root: str, month: str | None = "latest",
     return {"topics": got[S.TOPICS], "tobacco": got[S.TOBACCO], "goals_numbered": got[S.GOALS]}
 
 
+#: The tables of the ad-hoc build that share steps, and so are built together.
+ADHOC_TOPICS, ADHOC_GOALS = ("topics", "tobacco"), ("goals_numbered",)
+
+
 def run_adhoc(sources: dict[str, DataFrame], as_of: dt.date,
-              call_filter: Column | None = None, root: str | None = None) -> dict[str, DataFrame]:
+              call_filter: Column | None = None, root: str | None = None,
+              tables: Sequence[str] = ADHOC_TOPICS + ADHOC_GOALS) -> dict[str, DataFrame]:
     """The workbook build (ad-hoc variant), written once as session tables
     and read back, so the eight sections never re-run the cascade.
 
+    ``tables`` names those wanted; topics and goals share no step, so either is
+    built without the other. Goals are written before they are numbered, which
+    reads them three times.
+
     The tables lie under ``root``, or in a folder of the run's own, which
     ``close_adhoc`` removes once the sections are written (the end of the
     application does otherwise)."""
     spark = next(iter(sources.values())).sparkSession
     folders = None if root else RunFolders(spark, "adhoc")
     root = root or folders.root
-    out = build(sources, as_of, "adhoc", call_filter)
-    topics = S.materialize(out["topics"], f"{root}/topics")
-    res = {"topics": topics,
-           "tobacco": S.materialize(tobacco_flag(topics), f"{root}/tobacco"),
-           "goals_numbered": S.materialize(out["goals_numbered"], f"{root}/goals")}
-    release(out)
+    res = {}
+    if set(ADHOC_TOPICS) & set(tables):
+        out = build(sources, as_of, "adhoc", call_filter)
+        res["topics"] = S.materialize(out["topics"], f"{root}/topics")
+        res["tobacco"] = S.materialize(tobacco_flag(res["topics"]), f"{root}/tobacco")
+        release(out)
+    if set(ADHOC_GOALS) & set(tables):
+        goals = S.materialize(goals_classified(sources), f"{root}/goals-classified")
+        res["goals_numbered"] = S.materialize(
+            goals_numbered(goals, active_enrollment(sources, as_of)), f"{root}/goals")
     return res | {"_folders": folders}
 
 
@@ -136,19 +150,23 @@ def present(key: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*[o() if callable(o) else F.col(o) for o in order])
 
 
+#: The workbook's sections (R1-R8): the tables each reads, and what it makes of them.
+WORKBOOK: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
+    "out_topics_summary": (("topics",), lambda t: RP.topics_summary(t, "GUID", 2)),
+    "out_tier_breakdown": (("topics",), RP.tier_breakdown),
+    "out_tobacco_summary": (("topics", "tobacco"), RP.tobacco_summary),
+    "out_goal_type_domain": (("goals_numbered",), RP.goal_type_domain),
+    "out_goal_domain_status": (("goals_numbered",), RP.goal_domain_status),
+    "out_goal_number_status": (("goals_numbered",), RP.goal_number_status),
+    "out_goal_type_status": (("goals_numbered",), RP.goal_type_status),
+    "out_validation_counts": (("topics", "tobacco", "goals_numbered"), RP.validation_counts),
+}
+
+
 def workbook(out: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The eight workbook sections (R1-R8) over an ad-hoc build."""
-    t, tob, g = out["topics"], out["tobacco"], out["goals_numbered"]
-    return _presented({
-        "out_topics_summary": RP.topics_summary(t, "GUID", 2),
-        "out_tier_breakdown": RP.tier_breakdown(t),
-        "out_tobacco_summary": RP.tobacco_summary(t, tob),
-        "out_goal_type_domain": RP.goal_type_domain(g),
-        "out_goal_domain_status": RP.goal_domain_status(g),
-        "out_goal_number_status": RP.goal_number_status(g),
-        "out_goal_type_status": RP.goal_type_status(g),
-        "out_validation_counts": RP.validation_counts(t, tob, g),
-    })
+    """The workbook sections (R1-R8) whose tables an ad-hoc build holds."""
+    return _presented({key: section(*[out[t] for t in tables])
+                       for key, (tables, section) in WORKBOOK.items() if set(tables) <= set(out)})
 
 
 def dashboard(snap: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -10,7 +10,7 @@ table, with the join to ``orders`` planned by Catalyst.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -206,33 +206,44 @@ def _staged_name(table: str, column: str) -> str:
     return f"DM__{column}" if table == "COACH_NOTES_WORKFLOW_DM" and column != "ACCOUNT" else column
 
 
-def _staged_lines(lines: DataFrame) -> DataFrame:
-    """The tables made from ``lines`` side by side."""
-    wide = lines.select(*[F.struct(*columns).alias(table) for table, columns in _line_columns().items()])
+def _line_tables(tables: Iterable[str]) -> dict[str, list[Column]]:
+    return {name: columns for name, columns in _line_columns().items() if name in tables}
+
+
+def _staged_lines(lines: DataFrame, tables: Iterable[str]) -> DataFrame:
+    """The named tables made from ``lines`` side by side."""
+    made = _line_tables(tables)
+    wide = lines.select(*[F.struct(*columns).alias(table) for table, columns in made.items()])
     stored = {_staged_name(table, f.name): F.col(table)[f.name].cast(f.dataType)
-              for table in _line_columns() for f in SOURCE_SCHEMAS[table].fields}
+              for table in made for f in SOURCE_SCHEMAS[table].fields}
     return wide.select(*[column.alias(name) for name, column in stored.items()])
 
 
-def stage_sources(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
-    """Writes the bound sources once as parquet under ``root`` (a shared
-    folder) and returns them read back: every later scan is a plain parquet
+def stage_sources(spark: SparkSession, sf_dir: str, root: str,
+                  tables: Iterable[str] = tuple(SOURCE_SCHEMAS)) -> dict[str, DataFrame]:
+    """Writes the bound sources (all or the named ones) once as parquet under ``root``
+    (a shared folder) and returns them read back: every later scan is a plain parquet
     scan with pushed filters and pruned columns, as with warehouse tables.
 
     Notes and actions are made from the same joined lines, so they are written side
     by side by one job, where three tables would take three joins of every line."""
     for name, df in _member_sources(spark, sf_dir).items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-    _staged_lines(_lines(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/{LINES}")
-    return read_staged(spark, root)
-
-
-def read_staged(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    lines = spark.read.parquet(f"{root}/{LINES}")
-    beside = {table: lines.select(*[F.col(_staged_name(table, c)).alias(c) for c in SOURCE_SCHEMAS[table].names])
-              for table in _line_columns()}
+        if name in tables:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+    if _line_tables(tables):
+        _staged_lines(_lines(spark, sf_dir), tables).write.mode("overwrite").parquet(f"{root}/{LINES}")
+    return read_staged(spark, root, tables)
+
+
+def read_staged(spark: SparkSession, root: str,
+                tables: Iterable[str] = tuple(SOURCE_SCHEMAS)) -> dict[str, DataFrame]:
+    beside = {}
+    if made := _line_tables(tables):
+        lines = spark.read.parquet(f"{root}/{LINES}")
+        beside = {table: lines.select(*[F.col(_staged_name(table, c)).alias(c) for c in SOURCE_SCHEMAS[table].names])
+                  for table in made}
     return beside | {name: spark.read.schema(schema).parquet(f"{root}/{name}")
-                     for name, schema in SOURCE_SCHEMAS.items() if name not in beside}
+                     for name, schema in SOURCE_SCHEMAS.items() if name in tables and name not in beside}
 
 
 def read_warehouse(spark: SparkSession, names: dict[str, str] | None = None
