@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm import brute, cases
 from pyspark.sql import functions as F
@@ -524,3 +525,14 @@ def test_stages_of_odd_rows_and_of_no_rows(spark):
                 assert sorted((r.doc_id for r in got.collect()), key=str) == want
                 assert got.dtypes == docs.dtypes
             docs = got
+
+
+def test_python_workers_get_texts_in_batches_of_bounded_bytes(spark):
+    Scratch(spark, "batches")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes], pa.int64())], names=["n"])
+
+    long = spark.range(0, 1500, 1, 1).select(F.repeat(F.lit("word "), 4000).alias("text"))
+    assert long.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] <= 8 << 20

@@ -15,12 +15,25 @@ from pyspark.sql import functions as F
 from tierwise.sources.ledger import RunFolders
 
 
+#: Bytes of texts that a Python worker is handed at once, about; a batch counts
+#: in the executor's memory beside the heap, on both sides of the worker's socket.
+BATCH_BYTES = 4 << 20
+BATCH_CONF, SPARKS_OWN = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches hold about ``BATCH_BYTES``, or one row; a limit that the session sets itself stands."""
+    if spark.conf.get(BATCH_CONF) == SPARKS_OWN:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def workers_find_package(spark: SparkSession) -> None:
     """Python workers look for this package where the driver has it.
 
     A cluster job ships the package itself (``--py-files`` or an installed
     wheel); this covers sessions whose workers run where the driver does.
     """
+    bound_batches(spark)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
